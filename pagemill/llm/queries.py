@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets, simhash
+from . import packing, secrets, simhash, substrings, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(secrets.joined_spans(base).cast("binary"), 256).alias("base_sha256"), secrets.joined_spans("spans").alias("spans"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -31,5 +35,9 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_best_fit_packing, op4_simhash_near_dedup)}
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated_words(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_array_dedup, op3_best_fit_packing, op4_simhash_near_dedup, op6_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
