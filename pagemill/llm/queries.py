@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets, simhash, substrings, suffixes, vectors, warc
+from . import decontaminate, languages, packing, quality, secrets, simhash, substrings, suffixes, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,10 +43,31 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated_words(table(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def fold(id_col: str, of: int) -> Column:
+    """crc32 of an id as text, modulo ``of``; null for a null id."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % of
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=fold("id", 5) != 0)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = languages.fit(docs.where(fold("doc_id", 3) != 1))
+    found = languages.identify(docs.select("doc_id", "text"), model, spans=False)
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vectors.link_vectors(table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "n_links", F.col("component").alias("component_id"), (F.col("vec_id") == F.col("component")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_array_dedup, op3_best_fit_packing, op4_simhash_near_dedup, op5_warc_archive, op6_substring_dedup, op10_embedding_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_array_dedup, op3_best_fit_packing, op4_simhash_near_dedup, op5_warc_archive, op6_substring_dedup, op7_benchmark_decontamination, op8_quality_classifier, op9_language_id, op10_embedding_near_dedup)}
 ORACLE_SQL: dict[str, str] = {}
