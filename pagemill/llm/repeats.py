@@ -86,10 +86,10 @@ def sliding_least(values: np.ndarray, span: int) -> np.ndarray:
 
 
 def anchor_runs(values: np.ndarray, offsets: np.ndarray, width: int, part: int) -> tuple[np.ndarray, ...]:
-    """(text, first window, windows, anchor's name, context's name) of all runs, places within a text."""
+    """(text, first window, windows, anchor's name, context's name, anchor's place from the first window) of all runs."""
     none = np.zeros(0, np.int64)
     if len(values) < width:
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     names, span = Names(values), width - part + 1
     low = np.uint64((1 << 24) - 1)
     if len(values) > int(low):
@@ -107,7 +107,7 @@ def anchor_runs(values: np.ndarray, offsets: np.ndarray, width: int, part: int)
     last = np.flatnonzero(end)
     anchor = at[first]
     context = mix(names.of(first, last + width) ^ mix((anchor - first).astype(np.uint64)))
-    return text[first], first - offsets[text[first]], last - first + 1, sub[anchor].view(np.int64), context.view(np.int64)
+    return text[first], first - offsets[text[first]], last - first + 1, sub[anchor].view(np.int64), context.view(np.int64), anchor - first
 
 
 def byte_values(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,8 +159,12 @@ def pieces(values: np.ndarray, offsets: np.ndarray, width: int, most: int):
         yield own, np.array([0, len(own)]), start
 
 
+#: Rows of runs of windows, see ``anchors``.
+RUN = "name bigint, context bigint, id bigint, rid bigint, at int, n int, lead int"
+
+
 def anchors(rows: DataFrame, of: Values, width: int, part: int) -> DataFrame:
-    """Rows (name, context, id, rid, at, n) of all anchors."""
+    """Rows (name, context, id, rid, at, n, lead) of all anchors."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         flat, offsets = flat_bytes(batch.column(2))
@@ -168,13 +172,13 @@ def anchors(rows: DataFrame, of: Values, width: int, part: int) -> DataFrame:
         for a, b in row_blocks(offsets, BLOCK_BYTES):
             values, seq = of(flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             for own, bounds, shift in pieces(values, seq, width, 8 * BLOCK_BYTES):
-                text, at, n, name, context = anchor_runs(own, bounds, width, part)
-                found.append((text + a, at + shift, n, name, context))
-        text, at, n, name, context = (np.concatenate(x) for x in zip(*found, strict=True))
+                text, at, n, name, context, lead = anchor_runs(own, bounds, width, part)
+                found.append((text + a, at + shift, n, name, context, lead))
+        text, at, n, name, context, lead = (np.concatenate(x) for x in zip(*found, strict=True))
         take = pa.array(text)
-        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(context), batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], ["name", "context", "id", "rid", "at", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(context), batch.column(0).take(take), batch.column(1).take(take), *(pa.array(x.astype(np.int32)) for x in (at, n, lead))], ["name", "context", "id", "rid", "at", "n", "lead"])
 
-    return arrow_map(rows, run, "name bigint, context bigint, id bigint, rid bigint, at int, n int")
+    return arrow_map(rows, run, RUN)
 
 
 def squeezed(rows: DataFrame) -> DataFrame:
@@ -188,8 +192,8 @@ def squeezed(rows: DataFrame) -> DataFrame:
 
 
 def by_text(marks: DataFrame) -> DataFrame:
-    """(id, rid, runs): the marks (at, n) of one text together, at most as many as it has tokens."""
-    return marks.groupBy("id", "rid").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
+    """(id, rid, runs): the marks (at, n, lead) of one text together, at most as many as it has tokens."""
+    return marks.groupBy("id", "rid").agg(F.collect_list(F.struct("at", "n", "lead")).alias("runs"))
 
 
 def with_marks(rows: DataFrame, marks: DataFrame, how: str) -> DataFrame:
@@ -198,15 +202,15 @@ def with_marks(rows: DataFrame, marks: DataFrame, how: str) -> DataFrame:
     return a.join(b, (F.col("a.rid") == F.col("b.rid")) & F.col("a.id").eqNullSafe(F.col("b.id")), how).select("a.id", "a.rid", "a.z", "b.runs")
 
 
-def run_lists(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(starts, counts) of each row's runs."""
+def run_lists(column: pa.Array, fields: int = 2) -> list[tuple[np.ndarray, ...]]:
+    """(starts, counts[, leads]) of each row's runs."""
     out, empty = [], np.zeros(0, np.int64)
     for row in column:
         if not row.is_valid or not len(row.values):
-            out.append((empty, empty))
+            out.append((empty,) * fields)
         else:
             v = row.values
-            out.append(tuple(v.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1)))
+            out.append(tuple(v.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(fields)))
     return out
 
 

@@ -1,11 +1,16 @@
 """Suffix-array dedup of byte strings that start twice anywhere in a corpus.
 
-Suffixes are compared by their leading tokens, names of stretches of bytes, and by as much as a
-match of ``width`` bytes needs. Only suffixes that can matter are sorted: ``repeats`` settles whole runs
-through anchors and leaves those where texts begin or cease to agree. These are range-partitioned at
-splitters that Spark samples, each bucket is sorted by multikey quicksort, and a suffix repeats if its
-neighbour in the order has the same tokens. Splitters reach into text and place, so equal suffixes
-may fill several buckets: the ends of buckets are compared with each other.
+Suffixes are sorted by their leading tokens, which are names of stretches of bytes, and only as far as
+a match of ``width`` bytes needs. They are range-partitioned at splitters that Spark samples, each
+bucket is sorted by multikey quicksort, and equal neighbours repeat. Splitters reach into text and
+place, so equal suffixes may fill several buckets; the ends of buckets are compared with each other.
+
+Sorting every suffix of a corpus would move many times its bytes, so suffixes stand for runs of them,
+in three levels of the same sort. A row is (name, context): the name is of bytes that all the run's
+windows share, the context of all bytes they cover. A name that occurs once settles the run: nothing in
+it repeats. A context that occurs twice settles it too: all of it repeats. Only where a name has
+several contexts, one run of each goes to the next level, as runs of a tenth of the length and at last
+as single windows. The first level's runs are those of ``repeats``.
 """
 
 from __future__ import annotations
@@ -20,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, arrow_map, schema_of
-from .repeats import byte_values, candidates, covered, keyed, opened, run_lists, with_marks
+from .repeats import RUN, Names, anchors, byte_values, by_text, covered, keyed, mix, run_lists, with_marks
 
-PART = 100
+PART, STEP = 100, 12
 SMALL = 1 << 12
+RUN_NAMES = [x.split()[0] for x in RUN.split(", ")]
 
 
 def multikey_quicksort(keys: list[np.ndarray]) -> np.ndarray:
@@ -32,12 +38,14 @@ def multikey_quicksort(keys: list[np.ndarray]) -> np.ndarray:
     todo = [(np.arange(len(out)), 0, 0)]
     while todo:
         rows, place, depth = todo.pop()
-        if len(rows) <= SMALL or depth == len(keys):
-            order = np.lexsort([k[rows] for k in keys[:depth:-1]] + [keys[depth][rows]]) if depth < len(keys) else np.arange(len(rows))
-            out[place : place + len(rows)] = rows[order]
+        if depth == len(keys):
+            out[place : place + len(rows)] = rows
             continue
         token = keys[depth][rows]
-        sample = np.sort(token[:: max(1, len(token) // 63)])
+        if len(rows) <= SMALL:
+            out[place : place + len(rows)] = rows[np.lexsort([*(k[rows] for k in keys[:depth:-1]), token])]
+            continue
+        sample = np.sort(token[:: len(token) // 63])
         pivot = sample[len(sample) // 2]
         less, same = token < pivot, token == pivot
         a, b = int(less.sum()), int(same.sum())
@@ -45,41 +53,96 @@ def multikey_quicksort(keys: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def sorted_repeats(suffixes: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows (id, rid, at, n=1) of suffixes whose tokens (t1, t2) occur more than once."""
-    names = ["bucket", "edge", "t1", "t2", "id", "rid", "at", "again"]
+def settle(runs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Runs (rows of ``RUN``) that repeat whole, and one run of each context of names with several contexts.
+
+    Both as (id, rid, at, n, lead). A context cut by a splitter may give one run for each bucket.
+    """
+    ddl = f"bucket int, edge tinyint, whole boolean, open boolean, {RUN}"
+    names = [f.name for f in schema_of(ddl)]
 
     def bucket(batches):
         got = [b for b in batches if b.num_rows]
         if not got:
             return
         t = pa.Table.from_batches(got)
-        t1, t2 = (t.column(c).to_numpy() for c in ("t1", "t2"))
-        order = multikey_quicksort([t1, t2, t.column("rid").to_numpy(), t.column("at").to_numpy()])
-        t1, t2 = t1[order], t2[order]
-        same = (t1[1:] == t1[:-1]) & (t2[1:] == t2[:-1])
-        again = np.zeros(len(order), bool)
-        again[1:] |= same
-        again[:-1] |= same
+        name, context = (t.column(c).to_numpy() for c in ("name", "context"))
+        order = multikey_quicksort([name, context])
+        name, context = name[order], context[order]
+        first_name, first = np.ones(len(order), bool), np.ones(len(order), bool)
+        first_name[1:] = name[1:] != name[:-1]
+        first[1:] = first_name[1:] | (context[1:] != context[:-1])
+        size = np.diff(np.append(np.flatnonzero(first), len(order)))
+        whole = np.repeat(size > 1, size)
+        group = np.cumsum(first_name) - 1
+        several = np.bincount(group, weights=first)[group] > 1
+        open_ = several & first
         edge = np.zeros(len(order), np.int8)
         edge[0] |= 1
         edge[-1] |= 2
-        keep = again | (edge > 0)
+        keep = whole | open_ | (edge > 0)
+        # A bucket's last row may stand for its context, though it is not the first of it.
+        open_[-1] |= several[-1]
         t = t.take(pa.array(order[keep])).combine_chunks()
         part = np.full(int(keep.sum()), TaskContext.get().partitionId(), np.int32)
-        yield from pa.Table.from_arrays([pa.array(part), pa.array(edge[keep]), *(t.column(c) for c in names[2:7]), pa.array(again[keep])], names).to_batches()
+        yield from pa.Table.from_arrays([pa.array(part), pa.array(edge[keep]), pa.array(whole[keep]), pa.array(open_[keep]), *(t.column(c) for c in names[4:])], names).to_batches()
 
-    dealt = suffixes.repartitionByRange("t1", "t2", "rid", "at")
-    found = scratch.put(dealt.mapInArrow(bucket, schema_of("bucket int, edge tinyint, t1 bigint, t2 bigint, id bigint, rid bigint, at int, again boolean")))
+    found = scratch.put(runs.repartitionByRange("name", "context", "rid", "at").mapInArrow(bucket, schema_of(ddl)))
     edges = found.where("edge > 0").orderBy("bucket", "edge").collect()  # two rows a bucket at most
-    more = []
+    mark = ["id", "rid", "at", "n", "lead"]
+    whole, opened, spread = [], [], {}
     for a, b in zip(edges, edges[1:], strict=False):
-        if a.bucket != b.bucket and (a.t1, a.t2) == (b.t1, b.t2):
-            more += [(x.id, x.rid, x.at) for x in (a, b) if not x.again]
-    repeated = found.where("again").select("id", "rid", "at")
-    if more:
-        repeated = repeated.union(suffixes.sparkSession.createDataFrame(more, "id bigint, rid bigint, at int"))
-    return repeated.withColumn("n", F.lit(1))
+        if a.bucket != b.bucket and (a.name, a.context) == (b.name, b.context):
+            whole += [tuple(x[c] for c in mark) for x in (a, b) if not x.whole]
+    for x in edges:
+        spread.setdefault(x.name, []).append(x)
+    for xs in spread.values():
+        if len({x.bucket for x in xs}) > 1 and (any(x.open for x in xs) or len({x.context for x in xs}) > 1):
+            opened += [tuple(x[c] for c in mark) for x in xs if not x.open]
+    kind = schema_of("id bigint, rid bigint, at int, n int, lead int")
+
+    def with_edges(df: DataFrame, more: list[tuple]) -> DataFrame:
+        return df.union(runs.sparkSession.createDataFrame(more, kind)) if more else df
+
+    return with_edges(found.where("whole").select(*mark), whole), with_edges(found.where("open").select(*mark), opened)
+
+
+def finer(texts: DataFrame, width: int, step: int) -> DataFrame:
+    """Runs of at most ``step`` windows, in place of the runs of texts (id, rid, z, runs of at, n, lead).
+
+    Runs are counted from the anchor, so equal windows fall into like runs wherever a run begins.
+    """
+
+    def run(batches):
+        unpress = zstandard.ZstdDecompressor()
+        for batch in batches:
+            cols, size = [], 0
+            for i, runs in enumerate(run_lists(batch.column(3), 3)):
+                starts, counts, leads = runs
+                names = Names(byte_values(np.frombuffer(unpress.decompress(batch.column(2)[i].as_py()), np.uint8), None)[0])
+                if step == 1:
+                    at = np.unique(np.concatenate([np.arange(s, s + n) for s, n in zip(starts, counts, strict=True)]))
+                    head = names.of(at, at + width // 2)
+                    cols.append((head.view(np.int64), mix(head ^ names.of(at, at + width)).view(np.int64), np.full(len(at), i), at, np.ones(len(at), np.int64)))
+                else:
+                    for s, n, lead in zip(starts, counts, leads, strict=True):
+                        far = lead - np.arange(n)  # from a window to the anchor, falling
+                        group = far // step
+                        cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+                        m = np.diff(np.append(cut, n))
+                        core = s + lead - group[cut] * step
+                        a = s + cut
+                        name = mix(names.of(core, core - step + 1 + width) + group[cut].astype(np.uint64))
+                        context = mix(names.of(a, a + m - 1 + width) ^ mix((core - a).astype(np.uint64)))
+                        cols.append((name.view(np.int64), context.view(np.int64), np.full(len(a), i), a, m))
+                size += sum(len(c[0]) for c in cols[-len(starts) :])
+                if cols and (size > 200_000 or i == batch.num_rows - 1):
+                    name, context, row, at, n = (np.concatenate(x) for x in zip(*cols, strict=True))
+                    take = pa.array(row)
+                    yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(context), batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(np.zeros(len(at), np.int32))], RUN_NAMES)
+                    cols, size = [], 0
+
+    return texts.mapInArrow(run, schema_of(RUN))
 
 
 def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 400, keep_bytes: bool = False) -> DataFrame:
@@ -90,17 +153,25 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     empty; texts shorter than ``width`` stay whole. A row repeated under one id is a text of its own, so
     both go. Null ids and other columns do no harm; an empty table gives an empty one.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "suffixes")
+    scratch = Scratch(docs.sparkSession, "suffixes")
     rows = keyed(docs, id_col, text_col)
-    part = min(PART, max(1, width // 2))
-    met = candidates(scratch, rows, byte_values, width, part, need_ids=False)
-    groups = met.groupBy("name", "context").agg(F.count("*").alias("times"), F.min(F.struct("id", "rid", "at", "n")).alias("one"), F.first("mixed").alias("mixed"))
-    groups = scratch.put(groups.where("times > 1 or mixed"))
-    whole = met.join(groups.where("times > 1").select("name", "context"), ["name", "context"]).select("id", "rid", "at", "n")
-    one_each = groups.where("mixed").select("one.*")
-    single = sorted_repeats(scratch.put(opened(rows, one_each, byte_values, width)), scratch)
-    marks = whole.union(single)
+    step = min(STEP, max(1, width // 8))
+    runs = scratch.put(anchors(rows, byte_values, width, min(PART, max(1, width // 2))))
+    marks, opened = settle(runs, scratch)
+    scratch.drop(runs)
+    if step > 1:
+        texts = scratch.put(with_marks(rows, opened, "inner"))
+        runs = scratch.put(finer(texts, width, step))
+        whole, opened = settle(runs, scratch)
+        scratch.drop(runs)
+        marks = marks.union(whole)
+        again = by_text(opened).alias("b").join(texts.drop("runs").alias("a"), (F.col("a.rid") == F.col("b.rid")) & F.col("a.id").eqNullSafe(F.col("b.id")))
+        texts = again.select("a.id", "a.rid", "a.z", "b.runs")
+    else:
+        texts = with_marks(rows, opened, "inner")
+    runs = scratch.put(finer(texts, width, 1))
+    marks = marks.union(settle(runs, scratch)[0])
+    scratch.drop(runs)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         unpress, out = zstandard.ZstdDecompressor(), []
