@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, arrow_map, schema_of
 
 #: Words whose ids a task keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 class WordIds(dict):
@@ -187,5 +187,6 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             names.append("ids")
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    ranked = pieces.join(ranks, ["part", "length"]).select("id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank"), *["ids"] * keep_ids)
+    ranked = pieces.join(ranks.hint("merge"), ["part", "length"])  # the counts grow with the number of partitions
+    ranked = ranked.select("id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank"), *["ids"] * keep_ids)
     return arrow_map(ranked, place, f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint{extra}").withColumnRenamed("id", id_col)
