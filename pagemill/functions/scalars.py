@@ -65,7 +65,7 @@ def word_count(c: Column | str) -> Column:
 
 
 def keywords(c: Column | str, most: int = 20) -> Column:
-    return F.slice(F.transform(F.split(_col(c), ","), F.trim), 1, most)
+    return F.slice(F.transform(F.split(_col(c), ","), lambda k: F.trim(k)), 1, most)
 
 
 def epoch_to_time(c: Column | str) -> Column:

@@ -323,3 +323,407 @@ _cr("metric_recorded", "select name, label, sum(v)::bigint as value from (select
 @query("select event_type as name, arg_max(value, ts) as latest, max(value) as max, min(value) as min, round(avg(value), 6) as avg, count(*) as count from events where not isnan(value) group by event_type")
 def metric_range_summary(spark, d):
     return metrics.range_summary(A.table(spark, d, "events").select("ts", F.col("event_type").alias("name"), "value"))
+
+
+# --- vectors, chunks -------------------------------------------------------------------------------------
+
+
+def _query_vector(spark, d) -> list[float]:
+    return [float(x) for x in A.table(spark, d, "embeddings").where("vec_id = 7").first().embedding]
+
+
+_SIM = "list_cosine_similarity(embedding::double[], (select embedding::double[] from embeddings where vec_id = 7))"
+
+
+@query(f"with {CHUNKS}, {PAGES} select c.url, c.chunk_index, round({_SIM}, 4) as similarity, pg.domain, pg.title, c.heading_ctx, c.chunk_text from ch c left join pg on pg.url = c.url where {_SIM} >= 0.1 order by {_SIM} desc, c.url, c.chunk_index limit 20")
+def vector_search(spark, d):
+    from .operators import search
+
+    found = search.search(A.page_chunks(spark, d), A.pages(spark, d), _query_vector(spark, d), 20, 0.1)
+    return found.select("url", "chunk_index", "similarity", "domain", "title", "heading_ctx", "chunk_text")
+
+
+@query(f"with {CHUNKS}, {PAGES} select c.url, c.chunk_index, round({_SIM}, 4) as similarity, pg.domain from ch c join pg on pg.url = c.url where {_SIM} >= -1 and pg.domain = (select domain from pg where id = 7) order by {_SIM} desc, c.url, c.chunk_index limit 5")
+def vector_search_domain(spark, d):
+    from .operators import search
+
+    pages = A.pages(spark, d)
+    domain = pages.where("id = 7").first().domain
+    return search.search(A.page_chunks(spark, d), pages, _query_vector(spark, d), 5, -1.0, domain).select("url", "chunk_index", "similarity", "domain")
+
+
+@query(f"with {CHUNKS}, {PAGES} select c.id, c.url, c.chunk_index, pg.title, pg.domain, pg.language, pg.crawled_at from ch c left join pg on pg.url = c.url where c.embedding is not null")
+def chunk_search_view(spark, d):
+    from .operators import search
+
+    return search.search_view(A.page_chunks(spark, d), A.pages(spark, d)).select("id", "url", "chunk_index", "title", "domain", "language", "crawled_at")
+
+
+@query(f"with {CHUNKS}, {PAGES} select c.url, pg.title, pg.domain, c.chunk_index, c.chunk_text, c.heading_ctx from ch c left join pg on pg.url = c.url where c.url = (select url from pages where page_id = 7)")
+def chunks_of_page(spark, d):
+    from .operators import search
+
+    return search.chunks_of(A.page_chunks(spark, d), A.pages(spark, d), A.raw_pages(spark, d).where("page_id = 7").first().url)
+
+
+@query(f"with {CHUNKS} select count(distinct url) as urls_embedded, count(*) as total_chunks, avg(len(embedding)) as avg_dimension, min(created_at) as first_created, max(created_at) as last_created, round(count(*)::double / count(distinct url), 2) as avg_chunks_per_url from ch where embedding is not null")
+def embedding_stats(spark, d):
+    return reports.embedding_stats(A.page_chunks(spark, d))
+
+
+@query(f"with {CHUNKS} select c.id, c.url, p.page_id from ch c left join pages p on p.url = c.url")
+def backfill_page_ids(spark, d):
+    from .operators import merge
+
+    chunks = A.page_chunks(spark, d).withColumn("page_id", F.lit(None).cast("long"))
+    pages = A.raw_pages(spark, d).select("url", F.col("page_id").alias("id"))
+    return merge.backfill_page_ids(chunks, pages).select("id", "url", "page_id")
+
+
+@query()
+def search_context(spark, d):
+    from .operators import search
+
+    return search.format_context(search.search(A.page_chunks(spark, d), A.pages(spark, d), _query_vector(spark, d), 20, 0.1))
+
+
+@query()
+def vector_search_probed(spark, d):
+    from .operators import search
+
+    chunks, q = A.page_chunks(spark, d), _query_vector(spark, d)
+    centres = search.learn_centres(chunks, 8)
+    return search.search(search.probe(search.assign_lists(chunks, centres), centres, q, 3), A.pages(spark, d), q, 5, 0.1).select("url", "chunk_index", "similarity")
+
+
+# --- scalar functions, URLs, HTML, chunker ---------------------------------------------------------------
+
+
+def _fold_sql(domain: str, n: int) -> str:
+    out = "0::bigint"
+    for i in range(1, 33, 4):
+        out = f"(({out}) * 65536 + ('0x' || substr(md5({domain}), {i}, 4))::bigint) % {n}"
+    return out
+
+
+_NET = "regexp_extract(url, '^(?:[^:/?#]+:)?//([^/?#]*)', 1)"
+
+
+@query(f"select page_id, {_NET} as netloc, coalesce(nullif(regexp_extract(url, '^(?:[^:/?#]+:)?//[^/?#]*([^?#]*)', 1), ''), '/') as path, {_NET} || '/' || {_KEY} || '.html' as object_key, md5(url) as url_hash, {_fold_sql(_NET, 7)} as shard, substr(md5(url), 1, 8) as session_id, 'https://' || {_NET} || '/' as domain_url from pages")
+def url_functions(spark, d):
+    from .functions import scalars as S
+
+    n = S.netloc("url")
+    return A.raw_pages(spark, d).select("page_id", n.alias("netloc"), S.path_of("url").alias("path"), S.object_key("url", "html").alias("object_key"), S.url_hash("url").alias("url_hash"), S.shard_of_domain(n, 7).cast("long").alias("shard"), S.session_id("url").alias("session_id"), S.domain_url(n).alias("domain_url"))
+
+
+@query("select doc_id, array_to_string(list_transform(string_split(left(text, 60), ','), lambda x: trim(x, ' '))[1:5], '|') as keywords, regexp_replace(left(text, 80), '[^\\x00-\\x7F]', '', 'g') as ascii_text, trim(regexp_replace(text, '\\s+', ' ', 'g')) as collapsed, case when doc_id % 3 <> 0 then to_timestamp(1700000000 + doc_id)::timestamp end as at, left(text, 10) as cut from documents")
+def text_functions(spark, d):
+    from .functions import scalars as S
+
+    t = A.table(spark, d, "documents")
+    at = S.epoch_to_time(F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") + 1700000000).otherwise(0))
+    return t.select("doc_id", F.array_join(S.keywords(F.substring("text", 1, 60), 5), "|").alias("keywords"), S.ascii_only(F.substring("text", 1, 80)).alias("ascii_text"), S.collapse("text").alias("collapsed"), at.alias("at"), F.substring("text", 1, 10).alias("cut"))
+
+
+_ROBOTS = "case event_id % 5 when 0 then 'User-agent: *' when 1 then 'Crawl-Delay: ' || event_id % 50 when 2 then 'request-rate: 1/' || event_id % 40 when 3 then 'crawl-delay: 2.5 visit-time: ' || event_id % 9 else null end"
+
+
+@query(f"with r as (select event_id, lower(coalesce({_ROBOTS}, '')) as t from events) select event_id, greatest(least(coalesce(nullif(regexp_extract(t, 'crawl-delay:\\s*(\\d+\\.?\\d*)', 1), '')::double, 1.0), 30), least(coalesce(nullif(regexp_extract(t, 'request-rate:\\s*1/(\\d+)', 1), '')::double, 0), 30), least(coalesce(nullif(regexp_extract(t, 'visit-time:\\s*(\\d+)', 1), '')::double, 0), 30)) as delay from r")
+def robots_delay(spark, d):
+    from .functions.scalars import crawl_delay
+
+    return A.table(spark, d, "events").select("event_id", crawl_delay(F.expr(_ROBOTS)).alias("delay"))
+
+
+@query("select event_id, case when event_id <= 100 then 1000 when event_id <= 1000 then 900 when event_id <= 10000 then 800 when event_id <= 100000 then 700 else 600 end as priority, case when event_id % 9 = 0 then 'priority_custom' when event_id <= 1000 then 'priority_high' when event_id <= 10000 then 'priority_medium' when event_id <= 100000 then 'priority_normal' else 'priority_low' end as queue, (event_id % 300 > 100 and (event_id % 7) * 20.0 / nullif(event_id % 300, 0) > 0.5) or event_id % 100 > 90 as restart from events")
+def priorities(spark, d):
+    from .functions import scalars as S
+
+    n = F.col("event_id")
+    p = S.rank_priority(n)
+    return A.table(spark, d, "events").select("event_id", p.alias("priority"), S.queue_of(p, F.when(n % 9 == 0, "custom").otherwise("root")).alias("queue"), S.restart_needed(n % 300, (n % 7) * 20.0, n % 100).alias("restart"))
+
+
+@query()
+def normalised_urls(spark, d):
+    from .functions.urls import normalise
+
+    return A.raw_pages(spark, d).select("page_id", normalise("url").alias("url"))
+
+
+@query("select page_id, url as text from pages")
+def compressed_round_trip(spark, d):
+    from .sources.readers import compress, decompress
+
+    return A.raw_pages(spark, d).select("page_id", decompress(compress("url")).alias("text"))
+
+
+@query()
+def extracted_pages(spark, d):
+    from . import api
+
+    p = api.process(A.raw_pages(spark, d))
+    return p.select("page_id", "success", "processor_type", "extracted.*")
+
+
+@query()
+def page_metadata(spark, d):
+    from .functions.html import metadata
+
+    return A.raw_pages(spark, d).select("page_id", metadata("html").alias("m")).select("page_id", "m.*")
+
+
+@query()
+def legacy_extraction(spark, d):
+    from .functions.html import legacy
+
+    return A.raw_pages(spark, d).select("page_id", legacy("html", "url").alias("m")).select("page_id", "m.*")
+
+
+@query()
+def discovered_links(spark, d):
+    from . import api
+    from .streaming.pipeline import discovered
+
+    return discovered(api.process(A.raw_pages(spark, d)))
+
+
+@query()
+def document_chunks(spark, d):
+    from .functions.chunking import chunk_rows
+
+    docs = A.table(spark, d, "documents").select(F.concat(F.lit("doc:"), "doc_id").alias("url"), F.col("text").alias("markdown"))
+    return chunk_rows(docs)
+
+
+@query()
+def chunk_vectors(spark, d):
+    from . import api
+
+    return api.embed(api.process(A.raw_pages(spark, d)))
+
+
+# --- frontier --------------------------------------------------------------------------------------------
+
+FOUND = CR + ", u as (select 'https://' || domain || '/p/' || id % 40 as url, domain, id as arrival from (select id, 'd' || id % 23 || '.example.com' as domain from cr)), dn as (select distinct url from u where arrival % 17 = 0), wt as (select distinct url from u where arrival % 19 = 0)"
+
+
+def _found(spark, d):
+    u = A.crawl_results(spark, d).withColumn("domain", F.concat(F.lit("d"), F.col("id") % 23, F.lit(".example.com")))
+    u = u.select(F.concat(F.lit("https://"), "domain", F.lit("/p/"), F.col("id") % 40).alias("url"), F.col("id").alias("arrival"), F.lit("seed").alias("source_url"))
+    h = F.md5(F.col("url").cast("binary")).alias("url_hash")
+    return u, u.where("arrival % 17 = 0").select(h), u.where("arrival % 19 = 0").select(h)
+
+
+@query(f"with {FOUND}, k as (select u.*, dn.url is not null as a, wt.url is not null as b from u left join dn using (url) left join wt using (url)), o as (select *, case when a then 'dedup_completed' when b or row_number() over (partition by url order by arrival) > 1 then 'dedup_pending' end as outcome from k), c as (select *, case when outcome is null and row_number() over (partition by domain, outcome is null order by arrival) > 9 then 'domain_limit' else coalesce(outcome, 'added') end as final from o) select url, arrival, final as outcome from c")
+def discovered_outcomes(spark, d):
+    from .operators import frontier
+
+    u, done, wait = _found(spark, d)
+    return frontier.add_discovered(u, done, wait, 3, most=9).select("url", "arrival", "outcome")
+
+
+_SCOPED = "o as (select u.*, case when row_number() over (partition by url order by arrival) > 1 then 'dedup_pending' when domain <> 'd3.example.com' or not starts_with('/p/' || arrival % 40, '/p/1') then 'scope_filtered' when arrival % 5 > 3 then 'scope_depth_limit' end as outcome from u)"
+
+
+@query(f"with {FOUND}, {_SCOPED}, c as (select *, case when outcome is null and row_number() over (partition by outcome is null order by arrival) > 4 then 'scope_page_limit' else coalesce(outcome, 'added') end as final from o) select url, arrival, final as outcome from c")
+def scoped_outcomes(spark, d):
+    from .operators import frontier
+
+    u, done, _ = _found(spark, d)
+    scope = F.struct(F.lit("https://d3.example.com/").alias("seed_url"), F.lit("d3.example.com").alias("allowed_domain"), F.lit("/p/1").alias("path_prefix"), F.lit(3).alias("max_depth"), F.lit(4).alias("max_pages"))
+    none = done.where("false")
+    return frontier.add_scoped(u.withColumn("scope", scope).withColumn("current_depth", F.col("arrival") % 5), none, none, 3).select("url", "arrival", "outcome")
+
+
+QUEUES = CR + ", qs as (select id, (id % 3)::int as shard, 'https://q/' || id as url, case when id % 11 = 0 then 'priority_custom' when id <= 1000 then 'priority_high' when id <= 3000 then 'priority_medium' when id <= 6000 then 'priority_normal' else 'priority_low' end as queue, (1000 - id % 97)::int as priority from cr where id % 2 = 0), st as (select (id % 3)::int as shard, domain, case id % 10 when 1 then 'processing' when 3 then 'failed' else 'completed' end as state from cr where id % 2 = 1)"
+
+
+def _queues(spark, d):
+    n = F.col("id")
+    c = A.crawl_results(spark, d)
+    queue = F.when(n % 11 == 0, "priority_custom").when(n <= 1000, "priority_high").when(n <= 3000, "priority_medium").when(n <= 6000, "priority_normal").otherwise("priority_low")
+    q = c.where("id % 2 = 0").select(n, (n % 3).cast("int").alias("shard"), F.concat(F.lit("https://q/"), n).alias("url"), queue.alias("queue"), (1000 - n % 97).cast("int").alias("priority"))
+    s = c.where("id % 2 = 1").select((n % 3).cast("int").alias("shard"), "domain", F.when(n % 10 == 1, "processing").when(n % 10 == 3, "failed").otherwise("completed").alias("state"))
+    return q, s
+
+
+_Q = ("priority_high", "priority_custom", "priority_medium", "priority_normal", "priority_low")
+_QRANK = "list_position(['" + "','".join(_Q) + "'], queue)"
+_QCOLS = ", ".join(f"sum((what = '{x}')::int)::bigint as {x}" for x in (*_Q, "processing", "completed", "failed"))
+
+
+@query(f"with {QUEUES}, l as (select shard, queue as what from qs union all select shard, state from st), g as (select shard, {_QCOLS} from l group by shard union all select null, {_QCOLS} from l) select *, {' + '.join(_Q)} as total_pending, round(completed * 100.0 / (completed + failed), 2) as success_rate from g")
+def queue_stats(spark, d):
+    from .operators import frontier
+
+    return frontier.queue_stats(*_queues(spark, d))
+
+
+@query(f"with {QUEUES} select shard, count(*) as load from (select shard from qs union all select shard from st where state = 'processing') group by shard")
+def shard_loads(spark, d):
+    from .operators import frontier
+
+    q, s = _queues(spark, d)
+    return frontier.shard_loads(q, s.where("state = 'processing'"), 3)
+
+
+@query(f"with {QUEUES}, g as (select domain, sum((state = 'completed')::int)::bigint as success, sum((state = 'failed')::int)::bigint as failed from st group by domain) select *, success + failed as total, round(case when success + failed > 0 then success * 100.0 / (success + failed) else 0 end, 2) as success_rate from g order by total desc, domain limit 20")
+def domain_summary(spark, d):
+    from .operators import frontier
+
+    return frontier.domain_summary(_queues(spark, d)[1])
+
+
+@query(f"with {QUEUES}, b as (select *, row_number() over (partition by queue order by priority desc, url desc) as r from qs), k as (select url, row_number() over (order by {_QRANK}, r) as position from b where r <= 20) select url, position from k where position <= 50")
+def next_batch(spark, d):
+    from .operators import frontier
+
+    return frontier.next_batch(_queues(spark, d)[0].withColumn("shard", F.lit(0)), 50).select("url", F.col("position").cast("long"))
+
+
+@query(f"with {QUEUES} select url from qs order by {_QRANK}, priority desc, url desc limit 30")
+def next_unsharded(spark, d):
+    from .operators import frontier
+
+    return frontier.next_unsharded(_queues(spark, d)[0], 30).select("url")
+
+
+@query(f"with {QUEUES} select url, 500 as priority from qs where id <= 900 order by id, url limit 20")
+def due_retries(spark, d):
+    from .operators import frontier
+
+    return frontier.due_retries(_queues(spark, d)[0].withColumn("due", F.col("id").cast("double")), 900.0).select("url", "priority")
+
+
+@query(f"select page_id + 1 as rank, {_NET} as domain, 'https://' || {_NET} || '/' as url, case when page_id < 100 then 1000 else 900 end as priority, 'priority_high' as queue from pages where page_id < 400")
+def prepared_queue(spark, d):
+    from .operators import frontier
+    from .functions.scalars import netloc
+
+    ranks = A.raw_pages(spark, d).where("page_id < 400").select((F.col("page_id") + 1).alias("rank"), netloc("url").alias("domain"))
+    return frontier.prepare(ranks, 3).select("rank", "domain", "url", "priority", "queue")
+
+
+@query()
+def rebalanced(spark, d):
+    from .operators import frontier
+
+    q, s = _queues(spark, d)
+    q = q.where("shard <> 2 or id % 100 = 2").withColumn("shard", F.when(F.col("shard") == 1, 0).otherwise(F.col("shard")))
+    return frontier.rebalance(q, s.where("false"), 3).where("moved").select("url", "queue", "shard")
+
+
+# --- upserts ---------------------------------------------------------------------------------------------
+
+UPS = PAGES + ", t as (select url, domain, title, static_score, crawled_at, version from (select *, 3 as version from pg where id % 2 = 0)), ar as (select url, 'x' as domain, 'new' || k as title, static_score + k as static_score, crawled_at + to_days(k) as crawled_at, k as processed_at from pg, (values (1), (2)) v(k) where id % 3 = 0), n as (select url, arg_max(title, processed_at) as title, arg_max(static_score, processed_at) as static_score, arg_min(domain, processed_at) as domain, arg_min(crawled_at, processed_at) as crawled_at, count(*) as k from ar group by url)"
+
+
+@query(f"with {UPS} select coalesce(t.url, n.url) as url, coalesce(t.domain, n.domain) as domain, coalesce(n.title, t.title) as title, coalesce(n.static_score, t.static_score) as static_score, coalesce(t.crawled_at, n.crawled_at) as crawled_at, (coalesce(t.version, 0) + coalesce(n.k, 0))::int as version from t full join n on t.url = n.url")
+def upserted_pages(spark, d):
+    from .operators import merge
+
+    p = A.pages(spark, d)
+    target = p.where("id % 2 = 0").select("url", "domain", "title", "static_score", "crawled_at", F.lit(3).alias("version"))
+    k = F.explode(F.array(F.lit(1), F.lit(2)))
+    batch = p.where("id % 3 = 0").withColumn("k", k).select("url", F.lit("x").alias("domain"), F.concat(F.lit("new"), "k").alias("title"), (F.col("static_score") + F.col("k")).alias("static_score"), (F.col("crawled_at") + F.make_dt_interval(F.col("k"))).alias("crawled_at"), F.col("k").alias("processed_at"))
+    return merge.upsert_pages(target, batch)
+
+
+@query(f"with {CHUNKS}, n as (select url, chunk_index, 'fresh' as chunk_text from ch where id % 5 = 0 and url is not null) select ch.url, ch.chunk_index, coalesce(n.chunk_text, ch.chunk_text) as chunk_text from ch left join n using (url, chunk_index) where ch.url is not null")
+def upserted_chunks(spark, d):
+    from .operators import merge
+
+    c = A.page_chunks(spark, d).where("url is not null")
+    target = c.select("url", "chunk_index", "chunk_text", "created_at")
+    return merge.upsert_chunks(target, target.where(F.regexp_extract("chunk_text", r"(\d+)", 1).cast("int") % 5 == 0).withColumn("chunk_text", F.lit("fresh"))).select("url", "chunk_index", "chunk_text")
+
+
+@query(f"with {CR}, a as (select domain as url, arg_min(id, crawl_time) as first_id from cr group by domain) select url, first_id from a")
+def first_arrivals(spark, d):
+    from .operators import merge
+
+    return merge.first_by_url(A.crawl_results(spark, d).select(F.col("domain").alias("url"), "id", "crawl_time"), "crawl_time").select("url", F.col("id").alias("first_id"))
+
+
+@query(f"with {CR} select url, error_message, error_type from cr where not success and worker_id is null")
+def dead_letters(spark, d):
+    from .operators import merge
+
+    _, bad = merge.split_valid(A.crawl_results(spark, d).where("not success"), ("worker_id",))
+    return merge.dead_letters(bad, F.col("error_type"), F.col("error_message"), F.col("crawl_time")).select("url", "error_message", "error_type")
+
+
+@query(f"with {CR} select domain, id from cr qualify row_number() over (partition by domain order by crawl_time desc) <= 2")
+def last_history(spark, d):
+    from .operators import merge
+
+    return merge.last_n(A.crawl_results(spark, d), "domain", "crawl_time", 2).select("domain", "id")
+
+
+@query()
+def stored_pages(spark, d):
+    from . import api
+    from .operators import merge
+
+    p = api.process(A.raw_pages(spark, d)).withColumns({"status_code": F.lit(200), "content_type": F.lit("text/html"), "original_timestamp": F.col("page_id") + 1.7e9, "processor_timestamp": F.col("page_id") + 1.7e9 + 1})
+    return merge.page_records(p)
+
+
+# --- streams ---------------------------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    import tempfile
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
+    path = f"{d.rstrip('/')}/{name}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", "*.parquet").parquet(f"{d.rstrip('/')}/{name}.parquet*")
+
+
+@query("select date_trunc('hour', ts) as stat_hour, count(*) as total_processed, sum((event_type <> 'error')::int)::bigint as fast_processed, sum((event_type = 'error')::int)::bigint as rich_processed from events group by 1")
+def stream_hourly_counters(spark, d):
+    """Hourly counters of a stream, which equal those of the whole table."""
+    from .streaming.pipeline import hourly_counters
+
+    e = _stream(spark, d, "events").select(F.col("ts").cast("timestamp").alias("processed_at"), F.when(F.col("event_type") == "error", "rich").otherwise("fast").alias("processor"))
+    out = _folder(spark, "hourly")
+    q = hourly_counters(e).writeStream.outputMode("complete").option("checkpointLocation", out + "/c").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(out + "/t")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(out + "/t")
+
+
+@query(f"with {SCORED} select page_id, score, route from s")
+def stream_routes(spark, d):
+    """Pages routed by a stream into two topics, read together."""
+    from .streaming.pipeline import start_router
+
+    out = _folder(spark, "router")
+    start_router(_stream(spark, d, "pages"), out + "/t", out + "/c").awaitTermination()
+    read = [spark.read.parquet(f"{out}/t/process.{k}") for k in ("fast", "rich")]
+    return read[0].unionByName(read[1]).select("page_id", "score", "route")
+
+
+@query("select 'd' || event_id % 23 as key, event_id::varchar as url, case when row_number() over (partition by event_id % 23 order by event_id) <= 100 then 'added' else 'domain_limit' end as outcome from events where event_id < 5000")
+def stream_domain_cap(spark, d):
+    """A cap per domain over a stream, with one counter of state a domain."""
+    from .streaming.pipeline import cap_per_key
+
+    e = _stream(spark, d, "events").where("event_id < 5000").select(F.concat(F.lit("d"), F.col("event_id") % 23).alias("domain"), F.col("event_id").cast("string").alias("url"), F.col("event_id").alias("arrival"))
+    out = _folder(spark, "cap")
+    q = cap_per_key(e, "domain", 100).writeStream.outputMode("append").option("checkpointLocation", out + "/c").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/t/batch={i}")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(out + "/t").select("key", "url", "outcome")
+
+
+@query(f"with {CR} select id, crawl_time from cr where not success and error_type in ('timeout', 'connection_error')")
+def retry_due(spark, d):
+    from .streaming.pipeline import retry_times
+
+    return retry_times(A.crawl_results(spark, d).where("not success"), 0.0).select("id", "crawl_time")
