@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import arrow_udf
+
 MOST_CHARS, LEAST_CHARS, MOST_CHUNKS, LEAST_MARKDOWN = 500, 50, 20, 200
 _heading = re.compile(r"^(#{1,6})\s+(.+)$", re.MULTILINE)
 
@@ -22,7 +24,8 @@ def sections(text: str) -> Iterator[tuple[str, str]]:
     before = text[: found[0].start()] if found else text
     if before.strip():
         yield before.strip(), ""
-    for m, following in zip(found, [*found[1:], None], strict=True):
+    for i, m in enumerate(found):
+        following = found[i + 1] if i + 1 < len(found) else None
         level = len(m[1])
         path = [x for x in path if x[0] < level] + [(level, m[2].strip())]
         body = text[m.end() : following.start() if following else len(text)].strip()
@@ -83,7 +86,7 @@ def chunks(text: str | None, most: int = MOST_CHARS, least: int = LEAST_CHARS) -
     return [{"text": t.strip(), "heading_ctx": c, "chunk_index": i} for i, (t, c) in enumerate(merged) if t.strip()]
 
 
-@F.pandas_udf("array<struct<text:string,heading_ctx:string,chunk_index:int>>")
+@arrow_udf("array<struct<text:string,heading_ctx:string,chunk_index:int>>")
 def _chunks(text: pd.Series) -> pd.Series:
     return text.map(chunks)
 

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrow import arrow_udf
+
 #: Query parameters that only track visitors.
 TRACKING = frozenset((
     "utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "utm_source_platform", "utm_creative_format", "utm_marketing_tactic",
@@ -38,12 +40,12 @@ def clean_urls(urls) -> list[str]:
     return list(dict.fromkeys(u for u in map(clean_url, urls) if u))
 
 
-@F.pandas_udf("string")
+@arrow_udf("string")
 def _clean(urls: pd.Series) -> pd.Series:
     return urls.map(clean_url)
 
 
-@F.pandas_udf("array<string>")
+@arrow_udf("array<string>")
 def clean_all(urls: pd.Series) -> pd.Series:
     """``clean_urls`` of each list; a null list gives an empty one."""
     return urls.map(lambda x: [] if x is None else clean_urls(x))
@@ -69,12 +71,12 @@ def seed_url(seed: str | None) -> str | None:
     return found.split("?")[0] if found else None
 
 
-@F.pandas_udf("string")
+@arrow_udf("string")
 def normalise_seed(seeds: pd.Series) -> pd.Series:
     return seeds.map(seed_url)
 
 
-@F.pandas_udf("string")
+@arrow_udf("string")
 def absolute(base: pd.Series, link: pd.Series) -> pd.Series:
     """The link seen from its page; null if it can't be joined."""
 

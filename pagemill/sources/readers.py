@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import scalars, urls
+from ..functions.arrow import arrow_udf
 
 
 def rank_list(spark: SparkSession, path: str) -> DataFrame:
@@ -86,7 +87,7 @@ def write_rank_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
-@F.pandas_udf("binary")
+@arrow_udf("binary")
 def compress(text: pd.Series) -> pd.Series:
     """Zstandard frames of texts; null stays null."""
     import zstandard
@@ -95,7 +96,7 @@ def compress(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else press.compress(t.encode("utf-8", "replace")))
 
 
-@F.pandas_udf("string")
+@arrow_udf("string")
 def decompress(data: pd.Series) -> pd.Series:
     """Texts of Zstandard frames, broken characters replaced; what is no frame counts as plain text."""
     import zstandard
