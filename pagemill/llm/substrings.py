@@ -31,10 +31,13 @@ def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str
     scratch = Scratch(docs.sparkSession, "substrings")
     rows = keyed(docs, id_col, text_col)
     met = candidates(scratch, rows.where("id is not null"), word_values, width, width // 2, need_ids=True)
-    groups = scratch.put(met.groupBy("name", "context").agg(F.min(F.struct("id", "rid", "at", "n", "lead")).alias("one"), F.max("id").alias("last"), F.first("mixed").alias("mixed")))
-    later = groups.where("last > one.id").select("name", "context", F.col("one.id").alias("first_id"))
-    whole = met.join(later, ["name", "context"]).where("id > first_id").select("id", "rid", "at", "n", "lead")
-    windows = scratch.put(opened(rows, groups.where("mixed").select("one.*"), word_values, width))
+    groups = met.groupBy("name", "context").agg(F.min("id").alias("first_id"), F.max("id").alias("last"), F.first("mixed").alias("mixed"))
+    met = scratch.put(met.join(groups.where("last > first_id or mixed").drop("last", "mixed"), ["name", "context"]))
+    mark = ["id", "rid", "at", "n", "lead"]
+    whole = met.where("id > first_id").select(*mark)
+    # Of a context, all runs in its first document: each may repeat an earlier one in part.
+    opened_ = met.where("mixed and id = first_id").select(*mark)
+    windows = scratch.put(opened(rows, opened_, word_values, width))
     first = windows.groupBy("t1", "t2").agg(F.min("id").alias("first_id"), F.max("id").alias("last")).where("last > first_id").drop("last")
     single = windows.join(first, ["t1", "t2"]).where("id > first_id").select("id", "rid", "at", F.lit(1).alias("n"), F.lit(0).alias("lead"))
 
