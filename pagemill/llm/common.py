@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,10 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Rows of a scratch file, where their number is known before.
+FILE_ROWS = 500_000
+
+
 class Scratch:
     """Tables written under the shared folder: they cut lineage and survive lost executors.
 
@@ -35,7 +40,10 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def put(self, df: DataFrame) -> DataFrame:
+    def put(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """Writes and reads back; about ``rows`` rows, where that is known, make few files."""
+        if rows is not None:
+            df = df.coalesce(1 + rows // FILE_ROWS)
         self.n += 1
         path = self.path(f"t{self.n}")
         df.write.option("compression", "zstd").parquet(path)
@@ -43,6 +51,10 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def hold(self, df: DataFrame) -> DataFrame:
+        """Keeps a frame that several steps read on the executors' disks; lost parts are computed again."""
+        return df.persist(StorageLevel.DISK_ONLY)
+
     def drop(self, *frames: DataFrame) -> None:
         jvm = self.spark._jvm
         for df in frames:
@@ -110,11 +122,11 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 
     down = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = scratch.put(down)
-    mark = None
+    mark: tuple | None = None
     while True:
         big = star(now, True).where("u <> v").distinct()
         step = star(big, False).where("u <> v").distinct()
-        then = scratch.put(step)
+        then = scratch.put(step, mark and mark[0])
         found = then.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         scratch.drop(now)
         now = then

@@ -169,8 +169,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 arrays += [pa.array([part] * len(rows), pa.int32()), *([pa.array(cols[6], pa.list_(pa.int64()))] if keep_ids else [])]
                 yield pa.RecordBatch.from_arrays(arrays, ["id", "piece", "start", "length", "ids_crc32", "nth", "part", *["ids"] * keep_ids])
 
-    pieces = scratch.put(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(cut, schema_of(f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, nth bigint, part int{extra}")))
-    by_part = scratch.put(pieces.groupBy("part", "length").agg(F.count("*").alias("n")))
+    pieces = scratch.hold(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(cut, schema_of(f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, nth bigint, part int{extra}")))
+    by_part = scratch.hold(pieces.groupBy("part", "length").agg(F.count("*").alias("n")))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranks = by_part.select("part", "length", before.alias("before"))
     counts = {r.length: r.n for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows

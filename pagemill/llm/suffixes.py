@@ -67,7 +67,7 @@ def settle(runs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
             return
         t = pa.Table.from_batches(got)
         name, context = (t.column(c).to_numpy() for c in ("name", "context"))
-        order = multikey_quicksort([name, context])
+        order = multikey_quicksort([name, context, t.column("rid").to_numpy(), t.column("at").to_numpy()])
         name, context = name[order], context[order]
         first_name, first = np.ones(len(order), bool), np.ones(len(order), bool)
         first_name[1:] = name[1:] != name[:-1]
@@ -87,7 +87,7 @@ def settle(runs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
         part = np.full(int(keep.sum()), TaskContext.get().partitionId(), np.int32)
         yield from pa.Table.from_arrays([pa.array(part), pa.array(edge[keep]), pa.array(whole[keep]), pa.array(open_[keep]), *(t.column(c) for c in names[4:])], names).to_batches()
 
-    found = scratch.put(runs.repartitionByRange("name", "context", "rid", "at").mapInArrow(bucket, schema_of(ddl)))
+    found = scratch.hold(runs.repartitionByRange("name", "context", "rid", "at").mapInArrow(bucket, schema_of(ddl)))
     edges = found.where("edge > 0").orderBy("bucket", "edge").collect()  # two rows a bucket at most
     mark = ["id", "rid", "at", "n", "lead"]
     whole, opened, spread = [], [], {}
@@ -156,22 +156,22 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     scratch = Scratch(docs.sparkSession, "suffixes")
     rows = keyed(docs, id_col, text_col)
     step = min(STEP, max(1, width // 8))
-    runs = scratch.put(anchors(rows, byte_values, width, min(PART, max(1, width // 2))))
+    runs = scratch.hold(anchors(rows, byte_values, width, min(PART, max(1, width // 2))))
     marks, opened = settle(runs, scratch)
-    scratch.drop(runs)
+    runs.unpersist()
     if step > 1:
-        texts = scratch.put(with_marks(rows, opened, "inner"))
-        runs = scratch.put(finer(texts, width, step))
+        texts = scratch.hold(with_marks(rows, opened, "inner"))
+        runs = scratch.hold(finer(texts, width, step))
         whole, opened = settle(runs, scratch)
-        scratch.drop(runs)
+        runs.unpersist()
         marks = marks.union(whole)
         again = by_text(opened).alias("b").join(texts.drop("runs").alias("a"), (F.col("a.rid") == F.col("b.rid")) & F.col("a.id").eqNullSafe(F.col("b.id")))
         texts = again.select("a.id", "a.rid", "a.z", "b.runs")
     else:
         texts = with_marks(rows, opened, "inner")
-    runs = scratch.put(finer(texts, width, 1))
+    runs = scratch.hold(finer(texts, width, 1))
     marks = marks.union(settle(runs, scratch)[0])
-    scratch.drop(runs)
+    runs.unpersist()
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         unpress, out = zstandard.ZstdDecompressor(), []
