@@ -194,7 +194,9 @@ def mark_completed(states: DataFrame, results: DataFrame, now: float) -> DataFra
     hit = F.col("_ok").isNotNull() & (F.col("state") == "processing")
     failed = hit & ~F.col("_ok")
     attempts = F.coalesce("attempts", F.lit(0)) + F.when(failed, 1).otherwise(0)
-    return out.withColumn("state", F.when(hit & F.col("_ok"), "completed").when(failed, "failed").otherwise(F.col("state"))).withColumn("due", F.when(failed & F.col("_rec") & (attempts <= RETRIES), F.lit(float(now) + RETRY_MINUTES * 60)).otherwise(F.col("due"))).withColumn("attempts", attempts).drop("_ok", "_rec")
+    state = F.when(hit & F.col("_ok"), "completed").when(failed, "failed").otherwise(F.col("state"))
+    due = F.when(failed & F.col("_rec") & (attempts <= RETRIES), F.lit(float(now) + RETRY_MINUTES * 60)).otherwise(F.col("due"))
+    return out.withColumns({"state": state, "due": due, "attempts": attempts}).drop("_ok", "_rec")
 
 
 def cleanup(states: DataFrame, now: float, hours: float = 24) -> DataFrame:

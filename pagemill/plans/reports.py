@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import percent, ratio
 
-OK = F.col("success")
+def ok() -> Column:
+    return F.col("success")
 
 
 def _n(flag: Column) -> Column:
@@ -35,53 +36,53 @@ def _share(df: DataFrame, key: str, n: str = "count") -> DataFrame:
 
 def error_stats(results: DataFrame) -> DataFrame:
     """Failures by error type, as a share of all failures, with and without a type."""
-    g = results.where(~OK).groupBy("error_type").agg(F.count("*").alias("count"), _avg().alias("avg_response_time"), F.round(F.max("response_time"), 2).alias("max_response_time"), F.min("crawl_time").alias("first_seen"), F.max("crawl_time").alias("last_seen"))
+    g = results.where(~ok()).groupBy("error_type").agg(F.count("*").alias("count"), _avg().alias("avg_response_time"), F.round(F.max("response_time"), 2).alias("max_response_time"), F.min("crawl_time").alias("first_seen"), F.max("crawl_time").alias("last_seen"))
     return _share(g, "error_type").where("error_type is not null").orderBy(F.desc("count"), "error_type")
 
 
 def domain_failure_stats(results: DataFrame, least: int = 3) -> DataFrame:
-    g = results.groupBy("domain").agg(F.count("*").alias("total_attempts"), _n(OK).alias("successes"), _n(~OK).alias("failures"), _avg().alias("avg_response_time"), F.array_join(F.sort_array(F.collect_set("error_type")), ",").alias("error_types")).where(F.col("total_attempts") >= least)
+    g = results.groupBy("domain").agg(F.count("*").alias("total_attempts"), _n(ok()).alias("successes"), _n(~ok()).alias("failures"), _avg().alias("avg_response_time"), F.array_join(F.sort_array(F.collect_set("error_type")), ",").alias("error_types")).where(F.col("total_attempts") >= least)
     return g.withColumn("failure_rate", percent(F.col("failures"), F.col("total_attempts")))
 
 
 def hourly_success(results: DataFrame) -> DataFrame:
-    g = results.groupBy(F.date_trunc("hour", "crawl_time").alias("hour")).agg(F.count("*").alias("total"), _n(OK).alias("successes"), _n(~OK).alias("failures"), _avg().alias("avg_response_time"))
+    g = results.groupBy(F.date_trunc("hour", "crawl_time").alias("hour")).agg(F.count("*").alias("total"), _n(ok()).alias("successes"), _n(~ok()).alias("failures"), _avg().alias("avg_response_time"))
     return g.withColumn("success_rate", percent(F.col("successes"), F.col("total")))
 
 
 def worker_performance(results: DataFrame) -> DataFrame:
-    g = results.where("worker_id is not null").groupBy("worker_id").agg(F.count("*").alias("total_requests"), _n(OK).alias("successes"), _n(~OK).alias("failures"), _avg().alias("avg_response_time"), F.round(F.expr("percentile_cont(0.95) within group (order by response_time)"), 2).alias("p95_response_time"))
+    g = results.where("worker_id is not null").groupBy("worker_id").agg(F.count("*").alias("total_requests"), _n(ok()).alias("successes"), _n(~ok()).alias("failures"), _avg().alias("avg_response_time"), F.round(F.expr("percentile_cont(0.95) within group (order by response_time)"), 2).alias("p95_response_time"))
     return g.withColumn("success_rate", percent(F.col("successes"), F.col("total_requests")))
 
 
 def recent_error_stats(results: DataFrame, as_of: str, minutes: int = 60) -> DataFrame:
-    g = recent(results, as_of, f"{minutes} MINUTES").where(~OK & F.col("error_type").isNotNull()).groupBy("error_type").agg(F.count("*").alias("count"), _avg().alias("avg_response_time"))
+    g = recent(results, as_of, f"{minutes} MINUTES").where(~ok() & F.col("error_type").isNotNull()).groupBy("error_type").agg(F.count("*").alias("count"), _avg().alias("avg_response_time"))
     return _share(g, "error_type")
 
 
 def domain_status(results: DataFrame, domain: str) -> DataFrame:
     """One row about one domain; zeros and nulls if it was never tried."""
-    g = results.where(F.col("domain") == domain).agg(F.count("*").alias("total_attempts"), _n(OK).alias("successes"), _n(~OK).alias("failures"), F.max(F.when(OK, F.col("crawl_time"))).alias("last_success"), F.max(F.when(~OK, F.col("crawl_time"))).alias("last_failure"), F.array_join(F.sort_array(F.collect_set("error_type")), ",").alias("common_errors"))
+    g = results.where(F.col("domain") == domain).agg(F.count("*").alias("total_attempts"), _n(ok()).alias("successes"), _n(~ok()).alias("failures"), F.max(F.when(ok(), F.col("crawl_time"))).alias("last_success"), F.max(F.when(~ok(), F.col("crawl_time"))).alias("last_failure"), F.array_join(F.sort_array(F.collect_set("error_type")), ",").alias("common_errors"))
     return g.withColumn("failure_rate", percent(F.col("failures"), F.col("total_attempts")))
 
 
 def overall(results: DataFrame) -> DataFrame:
-    g = results.agg(F.count("*").alias("total_requests"), _n(OK).alias("successes"), _n(~OK).alias("failures"), _avg().alias("avg_response_time_sec"))
+    g = results.agg(F.count("*").alias("total_requests"), _n(ok()).alias("successes"), _n(~ok()).alias("failures"), _avg().alias("avg_response_time_sec"))
     return g.withColumn("success_rate_pct", percent(F.col("successes"), F.col("total_requests")))
 
 
 def error_distribution(results: DataFrame) -> DataFrame:
     """Failures by type; a missing type is a group too."""
-    return _share(results.where(~OK).groupBy("error_type").agg(F.count("*").alias("count")), "error_type")
+    return _share(results.where(~ok()).groupBy("error_type").agg(F.count("*").alias("count")), "error_type")
 
 
 def top_failing_domains(results: DataFrame, least: int = 3, n: int = 20) -> DataFrame:
-    g = results.groupBy("domain").agg(F.count("*").alias("attempts"), _n(~OK).alias("failures")).where(F.col("attempts") >= least)
+    g = results.groupBy("domain").agg(F.count("*").alias("attempts"), _n(~ok()).alias("failures")).where(F.col("attempts") >= least)
     return g.withColumn("failure_rate_pct", percent(F.col("failures"), F.col("attempts"))).orderBy(F.desc("failure_rate_pct"), "domain").limit(n)
 
 
 def hourly_recent(results: DataFrame, as_of: str, hours: int = 24) -> DataFrame:
-    g = recent(results, as_of, f"{hours} HOURS").groupBy(F.date_trunc("hour", "crawl_time").alias("hour")).agg(F.count("*").alias("total"), _n(OK).alias("successes"))
+    g = recent(results, as_of, f"{hours} HOURS").groupBy(F.date_trunc("hour", "crawl_time").alias("hour")).agg(F.count("*").alias("total"), _n(ok()).alias("successes"))
     return g.withColumn("success_rate_pct", percent(F.col("successes"), F.col("total")))
 
 
@@ -89,7 +90,7 @@ def response_times(results: DataFrame) -> DataFrame:
     def at(q: float) -> Column:
         return F.round(F.expr(f"percentile_cont({q}) within group (order by response_time)"), 2)
 
-    return results.where("response_time is not null").groupBy(F.when(OK, "Success").otherwise("Failure").alias("status")).agg(F.count("*").alias("count"), _avg().alias("avg_time_sec"), at(0.5).alias("median_sec"), at(0.95).alias("p95_sec"), F.round(F.max("response_time"), 2).alias("max_sec"))
+    return results.where("response_time is not null").groupBy(F.when(ok(), "Success").otherwise("Failure").alias("status")).agg(F.count("*").alias("count"), _avg().alias("avg_time_sec"), at(0.5).alias("median_sec"), at(0.95).alias("p95_sec"), F.round(F.max("response_time"), 2).alias("max_sec"))
 
 
 def timeout_domains(results: DataFrame, n: int = 20) -> DataFrame:
@@ -101,17 +102,17 @@ def status_distribution(results: DataFrame) -> DataFrame:
 
 
 def worker_comparison(results: DataFrame) -> DataFrame:
-    g = results.where("worker_id is not null").groupBy("worker_id").agg(F.count("*").alias("total"), _n(OK).alias("successes"), _avg().alias("avg_response_time"))
+    g = results.where("worker_id is not null").groupBy("worker_id").agg(F.count("*").alias("total"), _n(ok()).alias("successes"), _avg().alias("avg_response_time"))
     return g.withColumn("success_rate_pct", percent(F.col("successes"), F.col("total")))
 
 
 def error_trend(results: DataFrame, as_of: str, minutes: int = 60, bucket: int = 5) -> DataFrame:
-    g = recent(results, as_of, f"{minutes} MINUTES").groupBy(F.window("crawl_time", f"{bucket} minutes").start.alias("time_bucket")).agg(F.count("*").alias("total"), _n(~OK).alias("failures"))
+    g = recent(results, as_of, f"{minutes} MINUTES").groupBy(F.window("crawl_time", f"{bucket} minutes").start.alias("time_bucket")).agg(F.count("*").alias("total"), _n(~ok()).alias("failures"))
     return g.withColumn("failure_rate_pct", percent(F.col("failures"), F.col("total")))
 
 
 def retry_candidates(results: DataFrame, as_of: str, hours: int = 6, least: int = 3, n: int = 20) -> DataFrame:
-    g = recent(results.where(~OK), as_of, f"{hours} HOURS").groupBy("domain").agg(F.count("*").alias("failure_count"), F.max("crawl_time").alias("last_failure"), F.array_join(F.sort_array(F.collect_set("error_type")), ",").alias("error_types"))
+    g = recent(results.where(~ok()), as_of, f"{hours} HOURS").groupBy("domain").agg(F.count("*").alias("failure_count"), F.max("crawl_time").alias("last_failure"), F.array_join(F.sort_array(F.collect_set("error_type")), ",").alias("error_types"))
     return g.where(F.col("failure_count") >= least).orderBy(F.desc("failure_count"), "domain").limit(n)
 
 
@@ -202,7 +203,7 @@ def score_histogram(scored: DataFrame) -> DataFrame:
 
 def run_statistics(results: DataFrame, seconds: float) -> DataFrame:
     """Rates of a run: success rate, requests a second, mean time; 0 where a denominator is 0."""
-    return results.agg(F.count("*").alias("total"), _n(OK).alias("succeeded"), F.round(ratio(_n(OK), F.count("*")), 4).alias("success_rate"), F.round(F.count("*") / F.lit(float(seconds)), 4).alias("requests_per_second"), F.round(F.coalesce(F.avg("response_time"), F.lit(0.0)), 4).alias("avg_time"))
+    return results.agg(F.count("*").alias("total"), _n(ok()).alias("succeeded"), F.round(ratio(_n(ok()), F.count("*")), 4).alias("success_rate"), F.round(F.count("*") / F.lit(float(seconds)), 4).alias("requests_per_second"), F.round(F.coalesce(F.avg("response_time"), F.lit(0.0)), 4).alias("avg_time"))
 
 
 def size_statistics(pages: DataFrame) -> DataFrame:
@@ -212,7 +213,7 @@ def size_statistics(pages: DataFrame) -> DataFrame:
 
 def pool_statistics(results: DataFrame) -> DataFrame:
     """Each worker of a pool and the pool itself (null worker), by grouping sets in one pass."""
-    g = results.where("worker_id is not null").rollup("worker_id").agg(F.count("*").alias("processed"), _n(~OK).alias("failed"), F.grouping("worker_id").cast("int").alias("is_pool"))
+    g = results.where("worker_id is not null").rollup("worker_id").agg(F.count("*").alias("processed"), _n(~ok()).alias("failed"), F.grouping("worker_id").cast("int").alias("is_pool"))
     return g.withColumn("error_rate", F.round(ratio(F.col("failed"), F.col("processed")), 4))
 
 
