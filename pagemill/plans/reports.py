@@ -20,6 +20,11 @@ def _n(flag: Column) -> Column:
     return F.count_if(flag)
 
 
+def _sum(flag: Column) -> Column:
+    """Rows that hold, null where there is no row at all."""
+    return F.sum(F.when(flag, 1).otherwise(0))
+
+
 def _avg(c: str = "response_time") -> Column:
     return F.round(F.avg(c), 2)
 
@@ -61,13 +66,13 @@ def recent_error_stats(results: DataFrame, as_of: str, minutes: int = 60) -> Dat
 
 
 def domain_status(results: DataFrame, domain: str) -> DataFrame:
-    """One row about one domain; zeros and nulls if it was never tried."""
-    g = results.where(F.col("domain") == domain).agg(F.count("*").alias("total_attempts"), _n(ok()).alias("successes"), _n(~ok()).alias("failures"), F.max(F.when(ok(), F.col("crawl_time"))).alias("last_success"), F.max(F.when(~ok(), F.col("crawl_time"))).alias("last_failure"), F.array_join(F.sort_array(F.collect_set("error_type")), ",").alias("common_errors"))
+    """One row about one domain; no attempts and nulls if it was never tried."""
+    g = results.where(F.col("domain") == domain).agg(F.count("*").alias("total_attempts"), _sum(ok()).alias("successes"), _sum(~ok()).alias("failures"), F.max(F.when(ok(), F.col("crawl_time"))).alias("last_success"), F.max(F.when(~ok(), F.col("crawl_time"))).alias("last_failure"), F.array_join(F.sort_array(F.collect_set("error_type")), ",").alias("common_errors"))
     return g.withColumn("failure_rate", percent(F.col("failures"), F.col("total_attempts")))
 
 
 def overall(results: DataFrame) -> DataFrame:
-    g = results.agg(F.count("*").alias("total_requests"), _n(ok()).alias("successes"), _n(~ok()).alias("failures"), _avg().alias("avg_response_time_sec"))
+    g = results.agg(F.count("*").alias("total_requests"), _sum(ok()).alias("successes"), _sum(~ok()).alias("failures"), _avg().alias("avg_response_time_sec"))
     return g.withColumn("success_rate_pct", percent(F.col("successes"), F.col("total_requests")))
 
 
