@@ -77,6 +77,14 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema_of(ddl))
 
 
+def apart(grouped: DataFrame, *keys: str) -> DataFrame:
+    """Long keys of a grouped frame written anew, so that a join deals it out again beside the other side.
+
+    Joined as it stands, a group would share its stage with the join, and Spark could not split a hot key.
+    """
+    return grouped.withColumns({k: F.col(k).bitwiseXOR(F.lit(0).cast("long")) for k in keys})
+
+
 def utf8(text) -> F.Column:
     """UTF-8 bytes of a text column, null as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")
@@ -114,7 +122,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         if large:
             pairs = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        joined = pairs.join(least, "u")
+        joined = pairs.join(apart(least, "u"), "u")
         if large:
             return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = least.where("m < u").select("u", F.col("m").alias("v"))

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, flat_bytes, row_blocks, schema_of, utf8
+from .common import Scratch, apart, arrow_map, flat_bytes, row_blocks, schema_of, utf8
 
 BLOCK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -251,7 +251,7 @@ def candidates(scratch: Scratch, rows: DataFrame, of: Values, width: int, part:
 
     ``need_ids``: only names that occur under two different ids count.
     """
-    found = scratch.hold(anchors(rows, of, width, part))
+    found = scratch.put(anchors(rows, of, width, part))
     groups = found.groupBy("name").agg(F.count("*").alias("times"), F.min("context").alias("c1"), F.max("context").alias("c2"), *([F.min("id").alias("i1"), F.max("id").alias("i2")] if need_ids else []))
     again = groups.where("i1 < i2" if need_ids else "times > 1").select("name", (F.col("c1") != F.col("c2")).alias("mixed"))
-    return scratch.hold(found.join(again, "name"))
+    return scratch.hold(found.join(apart(again, "name"), "name"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, components, utf8
+from .common import Scratch, apart, arrow_map, components, utf8
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: (segment that is equal, segment that may differ in a bit)
@@ -131,7 +131,7 @@ def links_of(prints: DataFrame, scratch: Scratch, most_bits: int = 2) -> DataFra
     keys = arrow_map(prints.select("fp"), expand, "key bigint, fp bigint, own boolean")
     # A key is of use only where several fingerprints meet and one has it as its own.
     shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("any")).where("n > 1 and any").select("key", "n")
-    met = scratch.hold(keys.join(shared, "key"))
+    met = scratch.hold(keys.join(apart(shared, "key"), "key"))
     light, heavy = met.where(F.col("n") <= CROWDED), met.where(F.col("n") > CROWDED)
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= most_bits
     paired = light.where("own").select("key", F.col("fp").alias("u")).join(light.select("key", F.col("fp").alias("v")), "key").where((F.col("u") != F.col("v")) & near)
@@ -156,7 +156,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = scratch.hold(marked.groupBy("fp").agg(F.min("id").alias("least")))
     roots = components(scratch.hold(links_of(nodes, scratch, most_bits)), scratch)
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component")), "root").select("fp", "component")
+    named = rooted.join(apart(rooted.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("fp", "component")
     return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component")
 
 

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map
+from .common import Scratch, apart, arrow_map
 from .repeats import candidates, covered, keyed, opened, run_lists, with_marks, word_values
 
 
@@ -32,14 +32,14 @@ def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = keyed(docs, id_col, text_col)
     met = candidates(scratch, rows.where("id is not null"), word_values, width, width // 2, need_ids=True)
     groups = met.groupBy("name", "context").agg(F.min("id").alias("first_id"), F.max("id").alias("last"), F.first("mixed").alias("mixed"))
-    met = scratch.hold(met.join(groups.where("last > first_id or mixed").drop("last", "mixed"), ["name", "context"]))
+    met = scratch.hold(met.join(apart(groups.where("last > first_id or mixed").drop("last", "mixed"), "name", "context"), ["name", "context"]))
     mark = ["id", "rid", "at", "n", "lead"]
     whole = met.where("id > first_id").select(*mark)
     # Of a context, all runs in its first document: each may repeat an earlier one in part.
     opened_ = met.where("mixed and id = first_id").select(*mark)
-    windows = scratch.hold(opened(rows, opened_, word_values, width))
+    windows = opened(rows, opened_, word_values, width)  # read twice, named anew rather than kept
     first = windows.groupBy("t1", "t2").agg(F.min("id").alias("first_id"), F.max("id").alias("last")).where("last > first_id").drop("last")
-    single = windows.join(first, ["t1", "t2"]).where("id > first_id").select("id", "rid", "at", F.lit(1).alias("n"), F.lit(0).alias("lead"))
+    single = windows.join(apart(first, "t1", "t2"), ["t1", "t2"]).where("id > first_id").select("id", "rid", "at", F.lit(1).alias("n"), F.lit(0).alias("lead"))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         unpress, out = zstandard.ZstdDecompressor(), []

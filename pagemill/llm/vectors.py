@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, components, schema_of
+from .common import Scratch, apart, arrow_map, components, schema_of
 
 #: Rows of the fitting sample, turns of the rotation, side of a block.
 SAMPLE_ROWS, TURNS, SIDE = 20_000, 40, 1024
@@ -128,7 +128,7 @@ def _link_length(nodes: DataFrame, scratch: Scratch, cosine: float, tables: int,
 
     probes = arrow_map(nodes.select("node", "v"), probe, "key bigint, node bigint, own boolean")
     sizes = probes.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.col("own").cast("long")).alias("m")).where("n > 1 and m > 0")
-    met = scratch.put(probes.join(sizes, "key"))
+    met = scratch.put(probes.join(apart(sizes, "key"), "key"))
     # Blocks: own members by chunks, probes by chunks; chunk numbers come from the node, sizes stay near SIDE.
     rows_n = F.ceil(F.col("m") / SIDE).cast("int")
     cols_n = F.ceil(F.col("n") / SIDE).cast("int")
