@@ -66,7 +66,17 @@ def linked_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         root = new
 
 
-def link_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, tables: int = 4, bits: int = 64) -> DataFrame:
+def table_shape(vectors: int, bits: int) -> tuple[int, int, int]:
+    """(rotations, tables of each, bits of a table): tables widen with the number of vectors, so that buckets keep their size.
+
+    Wider parts are missed more often, so they come in more tables, by further rotations.
+    """
+    width = min(max(16, int(vectors).bit_length() + 2), 28, bits)
+    each = max(1, bits // width)
+    return -(-(4 if width <= 16 else 6 if width <= 22 else 9) // each), each, width
+
+
+def link_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, bits: int = 64) -> DataFrame:
     """One row per vector: (id, n_links, component), component the smallest id reachable over links.
 
     Null and zero vectors and those with null or non-finite components have no links and are their own
@@ -83,7 +93,7 @@ def link_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     counts = forests = None
     for d in sorted(dims):
         own = nodes.where(F.size("v") == d)
-        c, f = _link_length(own, scratch, cosine, tables, min(bits, 64), d)
+        c, f = _link_length(own, scratch, cosine, bits, d)
         counts = c if counts is None else counts.union(c)
         forests = f if forests is None else forests.union(f)
     if counts is None:
@@ -98,26 +108,26 @@ def link_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     return joined.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component"))
 
 
-def _link_length(nodes: DataFrame, scratch: Scratch, cosine: float, tables: int, bits: int, d: int) -> tuple[DataFrame, DataFrame]:
+def _link_length(nodes: DataFrame, scratch: Scratch, cosine: float, bits: int, d: int) -> tuple[DataFrame, DataFrame]:
     """(node, n) link counts, to be summed, and links (u, v) of a spanning forest, for vectors of one length."""
     sample = nodes.orderBy(F.xxhash64("node")).limit(SAMPLE_ROWS).select("v").toPandas()["v"]
     base = unit(pa.array(list(sample), pa.list_(pa.float64())))
-    mean, matrix = learn_rotation(base, min(bits, d))
-    width = -(-matrix.shape[1] // tables)
-
-    def parts(code: np.ndarray) -> np.ndarray:
-        """The code's parts as integers, one column a table."""
-        out = np.zeros((len(code), tables), np.int64)
-        for t in range(tables):
-            own = code[:, t * width : (t + 1) * width].astype(np.int64)
-            out[:, t] = (own << np.arange(own.shape[1])).sum(axis=1)
+    rotations, each, width = table_shape(nodes.count(), min(bits, d))
+    learned = [learn_rotation(base, min(bits, d), seed) for seed in range(7, 7 + rotations)]
+    tables = rotations * each
+
+    def encode(v: np.ndarray) -> np.ndarray:
+        """The codes' parts as integers, one column a table."""
+        out = np.zeros((len(v), tables), np.int64)
+        for r, (mean, matrix) in enumerate(learned):
+            code = (v - mean) @ matrix >= 0
+            for t in range(each):
+                own = code[:, t * width : (t + 1) * width].astype(np.int64)
+                out[:, r * each + t] = (own << np.arange(own.shape[1])).sum(axis=1)
         return out
 
     flips = np.concatenate([[0], 1 << np.arange(width)])
 
-    def encode(v: np.ndarray) -> np.ndarray:
-        return parts((v - mean) @ matrix >= 0)
-
     def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
         p = encode(unit(batch.column(1)))
         n = len(p)
