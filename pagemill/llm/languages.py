@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, schema_of
+from .common import arrow_map, flat_bytes, row_blocks, schema_of
 
 #: Labelled rows to fit on, at most; partitions that count them; hash buckets of trigrams.
 FIT_ROWS, FIT_PARTS, BUCKETS = 20_000, 12, 1 << 16
-#: Cost of a switch between words, in log units; characters handled at once.
-PENALTY, PIECE = 12.0, 1 << 19
+#: Cost of a switch between words, in log units; characters and bytes of texts handled at once.
+PENALTY, PIECE, BATCH_BYTES = 12.0, 1 << 19, 8 << 20
 UNKNOWN = -40.0
 
 #: Where the blocks of scripts begin, in order of code points, and their names.
@@ -201,7 +201,11 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", out: tuple[s
     at = rest.index(text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, sure, found = label(model, batch.column(at).to_pylist())
+        langs, sure, found = [], [], []
+        _, offsets = flat_bytes(batch.column(at).fill_null("").cast(pa.binary()))
+        for a, b in row_blocks(offsets, BATCH_BYTES):
+            for out_, more in zip((langs, sure, found), label(model, batch.column(at)[a:b].to_pylist()), strict=True):
+                out_ += more
         arrays = [*batch.columns, pa.array(langs), pa.array(sure, pa.float64())]
         if spans:
             kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
