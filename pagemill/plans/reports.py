@@ -224,3 +224,15 @@ def pool_statistics(results: DataFrame) -> DataFrame:
 
 def index_totals(results: DataFrame) -> DataFrame:
     return results.agg(F.count("*").alias("n_rows"), F.count_distinct("domain").alias("n_domains"))
+
+
+def crawl_summary(results: DataFrame) -> DataFrame:
+    """Totals of a crawl: domains, pages, errors, their rate and the mean time between; rates are 0 without pages."""
+    return results.agg(F.count_distinct("domain").alias("domains"), F.count("*").alias("pages"), _n(~ok()).alias("errors"), F.round(ratio(_n(~ok()), F.count("*")), 4).alias("error_rate"), F.round(F.coalesce(F.avg("response_time"), F.lit(0.0)), 4).alias("avg_delay"))
+
+
+def dashboard(results: DataFrame) -> DataFrame:
+    """Per shard: tried, succeeded, failed, the most frequent error (smaller name on a tie) and its count."""
+    g = results.groupBy("shard_id", "error_type").agg(F.count("*").alias("n"), _n(ok()).alias("s"))
+    best = F.max_by(F.col("error_type"), F.when(F.col("error_type").isNotNull(), F.struct(F.col("n"), F.lit(0) - F.ascii("error_type"))))
+    return g.groupBy("shard_id").agg(F.sum("n").alias("tried"), F.sum("s").alias("succeeded"), (F.sum("n") - F.sum("s")).alias("failed"), best.alias("top_error"), F.max(F.when(F.col("error_type").isNotNull(), F.col("n"))).alias("top_error_count"))

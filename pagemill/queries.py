@@ -727,3 +727,17 @@ def retry_due(spark, d):
     from .streaming.pipeline import retry_times
 
     return retry_times(A.crawl_results(spark, d).where("not success"), 0.0).select("id", "crawl_time")
+
+
+_cr("crawl_summary", f"select count(distinct domain) as domains, count(*) as pages, {BADN}::bigint as errors, round({BADN} / count(*)::double, 4) as error_rate, round(avg(response_time), 4) as avg_delay from cr", reports.crawl_summary)
+_cr("shard_dashboard", "with_g", lambda r: reports.dashboard(r).drop("top_error"))
+ORACLE["shard_dashboard"] = f"with {CR}, g as (select shard_id, error_type, count(*) as n, sum(success::int) as s from cr group by all) select shard_id, sum(n)::bigint as tried, sum(s)::bigint as succeeded, (sum(n) - sum(s))::bigint as failed, max(case when error_type is not null then n end) as top_error_count from g group by shard_id"
+
+
+@query("select page_id, regexp_extract(url, '^(?:[^:/?#]+:)?//([^/?#]*)', 1) as key, strlen(html) as raw_size from pages where page_id % 5 <> 0")
+def raw_page_messages(spark, d):
+    from .sources.readers import raw_page_messages as messages
+
+    p = A.raw_pages(spark, d).withColumns({"success": F.col("page_id") % 5 != 0, "status_code": F.lit(200), "timestamp": F.lit(0.0)})
+    ids = p.select("url", "page_id")
+    return messages(p).join(ids, "url").select("page_id", "key", F.col("metadata.raw_size").alias("raw_size"))

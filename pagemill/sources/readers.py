@@ -123,3 +123,17 @@ def raw_html(messages: DataFrame) -> DataFrame:
     found += [F.col("html")] if "html" in messages.columns else []
     rows = messages.withColumn("html", F.coalesce(*found))
     return rows.where("html is not null and html <> ''")
+
+
+def raw_page_messages(crawled: DataFrame) -> DataFrame:
+    """Messages of fetched pages (url, html, status_code, headers, ...): compressed HTML with its sizes."""
+    rows = crawled.where("success").withColumn("html_compressed", compress("html"))
+    size, packed = F.octet_length("html").cast("long"), F.octet_length("html_compressed").cast("long")
+    metadata = F.struct(size.alias("raw_size"), packed.alias("compressed_size"), F.round(compression_ratio(size, packed), 4).alias("saved"))
+    keep = [c for c in ("url", "html_compressed", "status_code", "headers", "crawl_time_ms", "timestamp") if c in rows.columns]
+    return rows.select(scalars.netloc("url").alias("key"), *keep, metadata.alias("metadata"))
+
+
+def raw_page_failures(crawled: DataFrame) -> DataFrame:
+    """Dead letters of pages that could not be fetched, keyed by host."""
+    return crawled.where("not success").select(scalars.netloc("url").alias("key"), "url", "error_type", F.substring("error_message", 1, 1000).alias("error_message"), "timestamp")
