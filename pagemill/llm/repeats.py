@@ -185,7 +185,7 @@ def squeezed(rows: DataFrame) -> DataFrame:
     """(id, rid, z): texts compressed for their way through a shuffle."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        press = zstandard.ZstdCompressor(level=1).compress
+        press = zstandard.ZstdCompressor(level=4).compress
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([press(x) for x in batch.column(2).to_pylist()], pa.binary())], ["id", "rid", "z"])
 
     return arrow_map(rows, run, "id bigint, rid bigint, z binary")
@@ -252,6 +252,8 @@ def candidates(scratch: Scratch, rows: DataFrame, of: Values, width: int, part:
     ``need_ids``: only names that occur under two different ids count.
     """
     found = scratch.put(anchors(rows, of, width, part))
-    groups = found.groupBy("name").agg(F.count("*").alias("times"), F.min("context").alias("c1"), F.max("context").alias("c2"), *([F.min("id").alias("i1"), F.max("id").alias("i2")] if need_ids else []))
+    groups = found.groupBy("name").agg(*([] if need_ids else [F.count("*").alias("times")]), F.min("context").alias("c1"), F.max("context").alias("c2"), *([F.min("id").alias("i1"), F.max("id").alias("i2")] if need_ids else []))
     again = groups.where("i1 < i2" if need_ids else "times > 1").select("name", (F.col("c1") != F.col("c2")).alias("mixed"))
-    return scratch.hold(found.join(apart(again, "name"), "name"))
+    # Written, so that the shuffles of all anchors can go; few rows are left, so few files are made.
+    files = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+    return scratch.put(found.join(apart(again, "name"), "name").coalesce(files))
