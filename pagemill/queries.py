@@ -712,10 +712,20 @@ def stream_routes(spark, d):
 
 @query("select 'd' || event_id % 23 as key, event_id::varchar as url, case when row_number() over (partition by event_id % 23 order by event_id) <= 100 then 'added' else 'domain_limit' end as outcome from events where event_id < 5000")
 def stream_domain_cap(spark, d):
-    """A cap per domain over a stream, with one counter of state a domain."""
+    """A cap per domain over the first 5000 events of a stream, with one counter of state a domain."""
+    return _domain_cap(spark, _stream(spark, d, "events").where("event_id < 5000"))
+
+
+@query("select 'd' || event_id % 23 as key, event_id::varchar as url, case when row_number() over (partition by event_id % 23 order by event_id) <= 100 then 'added' else 'domain_limit' end as outcome from events")
+def stream_domain_cap_all(spark, d):
+    """The same cap over all events."""
+    return _domain_cap(spark, _stream(spark, d, "events"))
+
+
+def _domain_cap(spark: SparkSession, events: DataFrame) -> DataFrame:
     from .streaming.pipeline import cap_per_key
 
-    e = _stream(spark, d, "events").where("event_id < 5000").select(F.concat(F.lit("d"), F.col("event_id") % 23).alias("domain"), F.col("event_id").cast("string").alias("url"), F.col("event_id").alias("arrival"))
+    e = events.select(F.concat(F.lit("d"), F.col("event_id") % 23).alias("domain"), F.col("event_id").cast("string").alias("url"), F.col("event_id").alias("arrival"))
     out = _folder(spark, "cap")
     q = cap_per_key(e, "domain", 100).writeStream.outputMode("append").option("checkpointLocation", out + "/c").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/t/batch={i}")).trigger(availableNow=True).start()
     q.awaitTermination()

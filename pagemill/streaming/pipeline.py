@@ -85,16 +85,24 @@ _CAP_STATE = "n bigint"
 def cap_per_key(rows: DataFrame, key: str, most: int, outcome: str = "domain_limit") -> DataFrame:
     """Streamed rows (url, arrival) with the outcome of a cap per key over the whole stream: (key, url, outcome).
 
-    State is one counter per key. Exact repeats of a URL should be dropped before, by ``dropDuplicates``.
+    The first by arrival among all rows of a trigger are added, however many chunks a key's rows come in; kept
+    are ``most`` rows and a chunk at a time. State is one counter per key. Exact repeats of a URL should be
+    dropped before, by ``dropDuplicates``.
     """
 
     def count(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         n = state.get[0] if state.exists else 0
+        first = None
         for pdf in batches:
-            pdf = pdf.sort_values(["arrival", "url"])
-            place = n + pd.RangeIndex(1, len(pdf) + 1)
-            n = min(most, n + len(pdf))
-            yield pd.DataFrame({"key": k[0], "url": pdf["url"].to_numpy(), "outcome": ["added" if p <= most else outcome for p in place]})
+            rows = pdf[["arrival", "url"]]
+            rows = (rows if first is None else pd.concat([first, rows])).sort_values(["arrival", "url"])
+            first, over = rows.iloc[: most - n], rows.iloc[most - n :]
+            if len(over):
+                yield pd.DataFrame({"key": k[0], "url": over["url"].to_numpy(), "outcome": outcome})
+        if first is not None:
+            n += len(first)
+            if len(first):
+                yield pd.DataFrame({"key": k[0], "url": first["url"].to_numpy(), "outcome": "added"})
         state.update((n,))
 
     return rows.groupBy(key).applyInPandasWithState(count, _CAP_OUT, _CAP_STATE, "append", GroupStateTimeout.NoTimeout)
