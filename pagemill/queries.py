@@ -599,10 +599,19 @@ def due_retries(spark, d):
 
 @query(f"select page_id + 1 as rank, {_NET} as domain, 'https://' || {_NET} || '/' as url, case when page_id < 100 then 1000 else 900 end as priority, 'priority_high' as queue from pages where page_id < 400")
 def prepared_queue(spark, d):
+    return _prepared(A.raw_pages(spark, d).where("page_id < 400"))
+
+
+@query(f"with r as (select page_id + 1 as rank, {_NET} as domain from pages), p as (select *, case when rank <= 100 then 1000 when rank <= 1000 then 900 when rank <= 10000 then 800 when rank <= 100000 then 700 else 600 end as priority from r) select rank, domain, 'https://' || domain || '/' as url, priority, case when priority >= 900 then 'priority_high' when priority >= 800 then 'priority_medium' when priority >= 700 then 'priority_normal' else 'priority_low' end as queue from p")
+def prepared_queue_all(spark, d):
+    return _prepared(A.raw_pages(spark, d))
+
+
+def _prepared(pages: DataFrame) -> DataFrame:
     from .operators import frontier
     from .functions.scalars import netloc
 
-    ranks = A.raw_pages(spark, d).where("page_id < 400").select((F.col("page_id") + 1).alias("rank"), netloc("url").alias("domain"))
+    ranks = pages.select((F.col("page_id") + 1).alias("rank"), netloc("url").alias("domain"))
     return frontier.prepare(ranks, 3).select("rank", "domain", "url", "priority", "queue")
 
 

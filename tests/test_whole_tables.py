@@ -27,3 +27,9 @@ def test_stream_cap_over_chunks(spark, tmp_path):
     finally:
         spark.conf.set(size, before)
     assert len(got) == 9000 and sum(r[2] == "added" for r in got) == 2300
+
+
+def test_prepared_queue_of_all_tiers(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"https://h{i}.com/a", b"<p>") for i in (0, 99, 100, 399, 400, 999, 1000, 9999, 10000, 99999, 100000, 250000)], "page_id long, url string, html binary")
+    got = same_rows(spark, tmp_path, "pages", pages, "prepared_queue_all")
+    assert {r[4] for r in got} == {"priority_high", "priority_medium", "priority_normal", "priority_low"}
