@@ -429,6 +429,14 @@ def text_functions(spark, d):
 _ROBOTS = "case event_id % 5 when 0 then 'User-agent: *' when 1 then 'Crawl-Delay: ' || event_id % 50 when 2 then 'request-rate: 1/' || event_id % 40 when 3 then 'crawl-delay: 2.5 visit-time: ' || event_id % 9 else null end"
 
 
+@query("select doc_id, array_to_string(list_transform(string_split(text, ','), lambda x: trim(x, ' '))[1:5], '|') as keywords, regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') as ascii_text from documents")
+def text_functions_whole(spark, d):
+    """Keywords and ASCII letters of whole texts."""
+    from .functions import scalars as S
+
+    return A.table(spark, d, "documents").select("doc_id", F.array_join(S.keywords("text", 5), "|").alias("keywords"), S.ascii_only("text").alias("ascii_text"))
+
+
 @query(f"with r as (select event_id, lower(coalesce({_ROBOTS}, '')) as t from events) select event_id, greatest(least(coalesce(nullif(regexp_extract(t, 'crawl-delay:\\s*(\\d+\\.?\\d*)', 1), '')::double, 1.0), 30), least(coalesce(nullif(regexp_extract(t, 'request-rate:\\s*1/(\\d+)', 1), '')::double, 0), 30), least(coalesce(nullif(regexp_extract(t, 'visit-time:\\s*(\\d+)', 1), '')::double, 0), 30)) as delay from r")
 def robots_delay(spark, d):
     from .functions.scalars import crawl_delay

@@ -33,3 +33,10 @@ def test_prepared_queue_of_all_tiers(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"https://h{i}.com/a", b"<p>") for i in (0, 99, 100, 399, 400, 999, 1000, 9999, 10000, 99999, 100000, 250000)], "page_id long, url string, html binary")
     got = same_rows(spark, tmp_path, "pages", pages, "prepared_queue_all")
     assert {r[4] for r in got} == {"priority_high", "priority_medium", "priority_normal", "priority_low"}
+
+
+def test_text_functions_of_whole_texts(spark, tmp_path):
+    texts = ["é" * 90 + " tail, " + "b " * 60 + ", c, d,e , f, g", "a" * 70 + ",ü\n, x", "", ",,", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: r[1:] for r in same_rows(spark, tmp_path, "documents", docs, "text_functions_whole")}
+    assert got[0][1].startswith(" tail, b b") and got[1] == ("a" * 70 + "|ü\n|x", "a" * 70 + ",\n, x")
