@@ -1,6 +1,7 @@
 """Operators on single documents against brute force, and the pipeline."""
 
 import hashlib
+import io
 import re
 import struct
 import zlib
@@ -147,13 +148,37 @@ def test_archive_format():
     import zstandard
 
     records = [warc.record("response", i, "u", f"<html>{i} some shared words in every page {i * i}</html>".encode() * 9, "d", None) for i in range(400)]
-    data = warc.archive(records)
-    assert data[:4] == bytes.fromhex("5d2a4d18")
-    n = struct.unpack_from("<I", data, 4)[0]
-    assert n and zstandard.ZstdCompressionDict(data[8 : 8 + n]).dict_id()
-    assert [b for _, b in warc.read_archive(data)] == [r.split(b"\r\n\r\n", 1)[1][:-4] for r in records]
-    assert len(data) < sum(len(zstandard.compress(r)) for r in records)
-    assert [h["X-Page-Id"] for h, _ in warc.read_archive(warc.archive(records[:2]))] == ["0", "1"]
+    for own in (records, records[:3], records[:1]):
+        data = b"".join(warc.archive(own))
+        assert data[:4] == bytes.fromhex("5d2a4d18")
+        n = struct.unpack_from("<I", data, 4)[0]
+        words = zstandard.ZstdCompressionDict(zstandard.decompress(data[8 : 8 + n]))
+        assert len(words)
+        # Any record can be read alone, given the dictionary.
+        alone = zstandard.ZstdDecompressor(dict_data=words).decompressobj()
+        assert alone.decompress(data[8 + n :]) == own[0]
+        got = list(warc.read_archive(io.BytesIO(data)))
+        assert [b for _, b in got] == [r.split(b"\r\n\r\n", 1)[1][:-4] for r in own]
+        assert [h["X-Page-Id"] for h, _ in got] == [str(i) for i in range(len(own))]
+    assert len(b"".join(warc.archive(records))) < sum(len(zstandard.compress(r)) for r in records)
+
+
+def test_archives_of_many_revisits(spark, tmp_path):
+    page = "<html>" + "the same page " * 12
+    df = spark.range(50_000).selectExpr("id as page_id", "concat('http://h/', id) as url", f"'{page}' as html").repartition(1)
+    index = warc.write_archives(df, f"file://{tmp_path}/archives")
+    sizes = [r.records for r in index.collect()]
+    assert sum(sizes) == 50_000 and max(sizes) <= warc.ARCHIVE_RECORDS and len(sizes) > 1
+    got = warc.read_archives(index).groupBy("record_type", "refers_to").count().collect()
+    assert sorted((r.record_type, r.refers_to, r["count"]) for r in got) == [("response", None, 1), ("revisit", 0, 49_999)]
+
+
+def test_ids_with_several_payloads(spark):
+    """A row is a revisit by its own payload, not by that of another row with its id."""
+    big, other = "<p>" + "hello " * 40, "<p>" + "world " * 40
+    df = spark.createDataFrame([(1, "u", big), (2, "u", big), (2, "u", other)], "page_id long, url string, html string")
+    got = sorted((r.page_id, r.record_type, bytes(r.block)) for r in warc.archive_and_read(df).collect())
+    assert got == [(1, "response", big.encode()), (2, "response", other.encode()), (2, "revisit", b"")]
 
 
 def test_warc_of_the_table(spark):
