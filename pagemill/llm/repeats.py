@@ -7,8 +7,9 @@ that pick it is one small row: (name of the sub-window, name of the run's whole
 
 * An anchor whose name occurs once settles all its windows: none repeats.
 * Anchors with the same context settle all windows of the run at once, whatever their number.
-* Where a name has several contexts, one run of each context is opened: its windows, named in full by
-  128 bits, are compared one by one. Copies that differ in places open only the runs at those places.
+* Where a name has several contexts, one run of each context is opened: its windows go on to longer
+  anchors or are compared one by one, named in full by 128 bits. Copies that differ in places open
+  only the runs at those places.
 
 Row keys are (id, hash of id and text), so that repeated ids do no harm.
 """
@@ -23,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, apart, arrow_map, flat_bytes, row_blocks, schema_of, utf8
+from .common import Scratch, arrow_map, flat_bytes, row_blocks, schema_of, utf8
 
 BLOCK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -85,8 +86,11 @@ def sliding_least(values: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(behind[: n - span + 1], ahead[span - 1 : n])
 
 
-def anchor_runs(values: np.ndarray, offsets: np.ndarray, width: int, part: int) -> tuple[np.ndarray, ...]:
-    """(text, first window, windows, anchor's name, context's name, anchor's place from the first window) of all runs."""
+def anchor_runs(values: np.ndarray, offsets: np.ndarray, width: int, part: int, alive: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(text, first window, windows, anchor's name, context's name, anchor's place from the first window) of all runs.
+
+    ``alive``: which windows count, all if it is not given.
+    """
     none = np.zeros(0, np.int64)
     if len(values) < width:
         return none, none, none, none, none, none
@@ -99,6 +103,8 @@ def anchor_runs(values: np.ndarray, offsets: np.ndarray, width: int, part: int)
     at = (least & low).astype(np.int64)
     text = np.searchsorted(offsets, np.arange(len(at)), "right") - 1
     fits = np.arange(len(at)) + width <= offsets[text + 1]
+    if alive is not None:
+        fits &= alive
     new = fits.copy()
     new[1:] &= ~fits[:-1] | (at[1:] != at[:-1])
     first = np.flatnonzero(new)
@@ -161,24 +167,35 @@ def pieces(values: np.ndarray, offsets: np.ndarray, width: int, most: int):
 
 #: Rows of runs of windows, see ``anchors``.
 RUN = "name bigint, context bigint, id bigint, rid bigint, at int, n int, lead int"
+TOKENS = "token1 bigint, token2 bigint"
+
 
+def leading_tokens(flat: np.ndarray, at: np.ndarray, most: int) -> list[np.ndarray]:
+    """The first 16 bytes, or ``most``, at each place as two big-endian words whose signed order is that of the bytes."""
+    k = min(16, most)
+    head = np.zeros((len(at), 16), np.uint8)
+    head[:, :k] = flat[at[:, None] + np.arange(k)]
+    return [(w.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64) for w in head.view(">u8").T]
 
-def anchors(rows: DataFrame, of: Values, width: int, part: int) -> DataFrame:
-    """Rows (name, context, id, rid, at, n, lead) of all anchors."""
+
+def anchors(rows: DataFrame, of: Values, width: int, part: int, tokens: bool = False) -> DataFrame:
+    """Rows (name, context, id, rid, at, n, lead) of all anchors; ``tokens``, for bytes: the anchors' leading ones before."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         flat, offsets = flat_bytes(batch.column(2))
         found = []
         for a, b in row_blocks(offsets, BLOCK_BYTES):
-            values, seq = of(flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            block, places = flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            values, seq = of(block, places)
             for own, bounds, shift in pieces(values, seq, width, 8 * BLOCK_BYTES):
                 text, at, n, name, context, lead = anchor_runs(own, bounds, width, part)
-                found.append((text + a, at + shift, n, name, context, lead))
-        text, at, n, name, context, lead = (np.concatenate(x) for x in zip(*found, strict=True))
+                found.append((text + a, at + shift, n, name, context, lead, *(leading_tokens(block, places[text] + shift + at + lead, part) if tokens else ())))
+        text, at, n, name, context, lead, *first = (np.concatenate(x) for x in zip(*found, strict=True))
         take = pa.array(text)
-        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(context), batch.column(0).take(take), batch.column(1).take(take), *(pa.array(x.astype(np.int32)) for x in (at, n, lead))], ["name", "context", "id", "rid", "at", "n", "lead"])
+        arrays = [*map(pa.array, first), pa.array(name), pa.array(context), batch.column(0).take(take), batch.column(1).take(take), *(pa.array(x.astype(np.int32)) for x in (at, n, lead))]
+        return pa.RecordBatch.from_arrays(arrays, [*["token1", "token2"] * tokens, "name", "context", "id", "rid", "at", "n", "lead"])
 
-    return arrow_map(rows, run, RUN)
+    return arrow_map(rows, run, f"{TOKENS}, {RUN}" if tokens else RUN)
 
 
 def squeezed(rows: DataFrame) -> DataFrame:
@@ -196,9 +213,16 @@ def by_text(marks: DataFrame) -> DataFrame:
     return marks.groupBy("id", "rid").agg(F.collect_list(F.struct("at", "n", "lead")).alias("runs"))
 
 
-def with_marks(rows: DataFrame, marks: DataFrame, how: str) -> DataFrame:
-    """Texts (squeezed) joined with their marks."""
-    a, b = squeezed(rows).alias("a"), by_text(marks).alias("b")
+def dealt_texts(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, rid, z) held in the order in which ``with_marks`` joins: only marks are shuffled from then on."""
+    keys = ["rid", F.coalesce("id", F.lit(0).cast("long")), F.isnull("id")]  # as Spark itself writes a null-safe key
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return scratch.hold(squeezed(rows).repartition(n, *keys).sortWithinPartitions(*keys))
+
+
+def with_marks(texts: DataFrame, marks: DataFrame, how: str) -> DataFrame:
+    """Dealt texts joined with their marks: (id, rid, z, runs)."""
+    a, b = texts.alias("a"), by_text(marks).hint("merge").alias("b")
     return a.join(b, (F.col("a.rid") == F.col("b.rid")) & F.col("a.id").eqNullSafe(F.col("b.id")), how).select("a.id", "a.rid", "a.z", "b.runs")
 
 
@@ -214,10 +238,17 @@ def run_lists(column: pa.Array, fields: int = 2) -> list[tuple[np.ndarray, ...]]
     return out
 
 
-def opened(rows: DataFrame, marks: DataFrame, of: Values, width: int) -> DataFrame:
-    """Rows (t1, t2, id, rid, at) of all windows of the marked runs; t1 and t2 name a window's halves."""
-    half = width // 2
-    ddl = "t1 bigint, t2 bigint, id bigint, rid bigint, at int"
+def alive_windows(starts: np.ndarray, counts: np.ndarray, windows: int) -> np.ndarray:
+    """Which windows the runs hold."""
+    change = np.zeros(windows + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + counts, -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def per_text(texts: DataFrame, marks: DataFrame, of: Values, fn: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, ...]], ddl: str) -> DataFrame:
+    """Rows (id, rid, *columns) that ``fn(values, starts, counts)`` gives as columns for each marked text."""
+    names = [f.name for f in schema_of(ddl)]
 
     def run(batches):
         unpress = zstandard.ZstdDecompressor()
@@ -225,17 +256,41 @@ def opened(rows: DataFrame, marks: DataFrame, of: Values, width: int) -> DataFra
             cols, size = [], 0
             for i, (starts, counts) in enumerate(run_lists(batch.column(3))):
                 text = np.frombuffer(unpress.decompress(batch.column(2)[i].as_py()), np.uint8)
-                values, _ = of(text, np.array([0, len(text)]))
-                at = np.unique(np.concatenate([np.arange(s, s + n) for s, n in zip(starts, counts, strict=True)]))
-                names = Names(values)
-                cols.append((names.of(at, at + half).view(np.int64), names.of(at + half, at + width).view(np.int64), np.full(len(at), i), at.astype(np.int32)))
-                size += len(at)
+                found = fn(of(text, np.array([0, len(text)]))[0], starts, counts)
+                cols.append((np.full(len(found[0]), i), *found))
+                size += len(found[0])
                 if size > 200_000 or i == batch.num_rows - 1:
-                    t1, t2, row, at = (np.concatenate(x) for x in zip(*cols, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(t1), pa.array(t2), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(at)], ["t1", "t2", "id", "rid", "at"])
+                    row, *rest = (np.concatenate(x) for x in zip(*cols, strict=True))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), *map(pa.array, rest)], names)
                     cols, size = [], 0
 
-    return with_marks(rows, marks, "inner").mapInArrow(run, schema_of(ddl))
+    return with_marks(texts, marks, "inner").mapInArrow(run, schema_of(ddl))
+
+
+def extended(texts: DataFrame, marks: DataFrame, of: Values, width: int, part: int) -> DataFrame:
+    """Anchors of ``part`` tokens of the windows in the marked runs, as rows (id, rid, name, context, at, n, lead)."""
+
+    def longer(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+        alive, found = alive_windows(starts, counts, len(values) - width + 1), []
+        for own, bounds, shift in pieces(values, np.array([0, len(values)]), width, 8 * BLOCK_BYTES):
+            here = np.zeros(len(own) - part + 1 - (width - part), bool)
+            here[:] = alive[shift : shift + len(here)]
+            _, at, n, name, context, lead = anchor_runs(own, bounds, width, part, here)
+            found.append((name, context, *(x.astype(np.int32) for x in (at + shift, n, lead))))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    return per_text(texts, marks, of, longer, "id bigint, rid bigint, name bigint, context bigint, at int, n int, lead int")
+
+
+def opened(texts: DataFrame, marks: DataFrame, of: Values, width: int) -> DataFrame:
+    """Rows (id, rid, t1, t2, at) of all windows of the marked runs; t1 and t2 name a window's halves."""
+    half = width // 2
+
+    def single(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+        at, names = np.flatnonzero(alive_windows(starts, counts, len(values) - width + 1)), Names(values)
+        return names.of(at, at + half).view(np.int64), names.of(at + half, at + width).view(np.int64), at.astype(np.int32)
+
+    return per_text(texts, marks, of, single, "id bigint, rid bigint, t1 bigint, t2 bigint, at int")
 
 
 def covered(starts: np.ndarray, counts: np.ndarray, width: int, tokens: int) -> np.ndarray:
@@ -244,16 +299,3 @@ def covered(starts: np.ndarray, counts: np.ndarray, width: int, tokens: int) ->
     np.add.at(change, starts, 1)
     np.add.at(change, starts + counts - 1 + width, -1)
     return np.cumsum(change[:-1]) > 0
-
-
-def candidates(scratch: Scratch, rows: DataFrame, of: Values, width: int, part: int, need_ids: bool) -> DataFrame:
-    """Anchors whose name repeats, with ``mixed``: whether the name has several contexts.
-
-    ``need_ids``: only names that occur under two different ids count.
-    """
-    found = scratch.put(anchors(rows, of, width, part))
-    groups = found.groupBy("name").agg(*([] if need_ids else [F.count("*").alias("times")]), F.min("context").alias("c1"), F.max("context").alias("c2"), *([F.min("id").alias("i1"), F.max("id").alias("i2")] if need_ids else []))
-    again = groups.where("i1 < i2" if need_ids else "times > 1").select("name", (F.col("c1") != F.col("c2")).alias("mixed"))
-    # Written, so that the shuffles of all anchors can go; few rows are left, so few files are made.
-    files = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
-    return scratch.put(found.join(apart(again, "name"), "name").coalesce(files))

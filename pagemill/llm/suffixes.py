@@ -1,21 +1,24 @@
 """Suffix-array dedup of byte strings that start twice anywhere in a corpus.
 
-Suffixes are sorted by their leading tokens, which are names of stretches of bytes, and only as far as
-a match of ``width`` bytes needs. They are range-partitioned at splitters that Spark samples, each
-bucket is sorted by multikey quicksort, and equal neighbours repeat. Splitters reach into text and
+Suffixes are sorted by their leading tokens, only as far as a match of ``width`` bytes needs: first by
+their 16 leading bytes, as two big-endian words, then by 64-bit names of the longer stretches that follow.
+They are range-partitioned at splitters that Spark samples, in as many buckets as their number asks for;
+each bucket is sorted by multikey quicksort, and equal neighbours repeat. Splitters reach into text and
 place, so equal suffixes may fill several buckets; the ends of buckets are compared with each other.
+Equal suffixes agree in 16 bytes and in two independent names, 128 bits; names alone decide nothing.
 
 Sorting every suffix of a corpus would move many times its bytes, so suffixes stand for runs of them,
-in three levels of the same sort. A row is (name, context): the name is of bytes that all the run's
-windows share, the context of all bytes they cover. A name that occurs once settles the run: nothing in
-it repeats. A context that occurs twice settles it too: all of it repeats. Only where a name has
-several contexts, one run of each goes to the next level, as runs of a tenth of the length and at last
-as single windows. The first level's runs are those of ``repeats``.
+in three levels of the same sort. A row is (leading tokens, name, context): tokens and name are of bytes
+that all the run's windows share, the context is of all bytes they cover. A name that occurs once settles
+the run: nothing in it repeats. A context that occurs twice settles it too: all of it repeats. Only where
+a name has several contexts, one run of each goes to the next level, as runs of a tenth of the length and
+at last as single windows. The first level's runs are those of ``repeats``.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, arrow_map, schema_of
-from .repeats import RUN, Names, anchors, byte_values, by_text, covered, keyed, mix, run_lists, with_marks
+from .repeats import RUN, TOKENS, Names, anchors, byte_values, covered, dealt_texts, keyed, leading_tokens, mix, run_lists, with_marks
 
 PART, STEP = 100, 12
 SMALL = 1 << 12
-RUN_NAMES = [x.split()[0] for x in RUN.split(", ")]
+#: Suffixes of a bucket, about: what a task sorts in memory.
+BUCKET_ROWS = 1 << 19
+ROW = f"{TOKENS}, {RUN}"
+ROW_NAMES = [f.split()[0] for f in ROW.split(", ")]
+ORDER = ["token1", "token2", "name", "context", "rid", "at"]
 
 
 def multikey_quicksort(keys: list[np.ndarray]) -> np.ndarray:
@@ -53,12 +60,12 @@ def multikey_quicksort(keys: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def settle(runs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Runs (rows of ``RUN``) that repeat whole, and one run of each context of names with several contexts.
+def settle(runs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Runs (rows of ``ROW``) that repeat whole, one run of each context of names with several contexts, and the table of both.
 
-    Both as (id, rid, at, n, lead). A context cut by a splitter may give one run for each bucket.
+    Runs as (id, rid, at, n, lead). A context cut by a splitter may give one run for each bucket.
     """
-    ddl = f"bucket int, edge tinyint, whole boolean, open boolean, {RUN}"
+    ddl = f"bucket int, edge tinyint, whole boolean, open boolean, {ROW}"
     names = [f.name for f in schema_of(ddl)]
 
     def bucket(batches):
@@ -66,12 +73,13 @@ def settle(runs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
         if not got:
             return
         t = pa.Table.from_batches(got)
-        name, context = (t.column(c).to_numpy() for c in ("name", "context"))
-        order = multikey_quicksort([name, context, t.column("rid").to_numpy(), t.column("at").to_numpy()])
-        name, context = name[order], context[order]
+        keys = [t.column(c).to_numpy() for c in ORDER]
+        order = multikey_quicksort(keys)
         first_name, first = np.ones(len(order), bool), np.ones(len(order), bool)
-        first_name[1:] = name[1:] != name[:-1]
-        first[1:] = first_name[1:] | (context[1:] != context[:-1])
+        first_name[1:] = False
+        for k in keys[:3]:
+            first_name[1:] |= k[order[1:]] != k[order[:-1]]
+        first[1:] = first_name[1:] | (keys[3][order[1:]] != keys[3][order[:-1]])
         size = np.diff(np.append(np.flatnonzero(first), len(order)))
         whole = np.repeat(size > 1, size)
         group = np.cumsum(first_name) - 1
@@ -87,24 +95,26 @@ def settle(runs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
         part = np.full(int(keep.sum()), TaskContext.get().partitionId(), np.int32)
         yield from pa.Table.from_arrays([pa.array(part), pa.array(edge[keep]), pa.array(whole[keep]), pa.array(open_[keep]), *(t.column(c) for c in names[4:])], names).to_batches()
 
-    found = scratch.hold(runs.repartitionByRange("name", "context", "rid", "at").mapInArrow(bucket, schema_of(ddl)))
+    session = runs.sparkSession
+    buckets = max(int(session.conf.get("spark.sql.shuffle.partitions")), runs.count() // BUCKET_ROWS)
+    found = scratch.hold(runs.repartitionByRange(buckets, *ORDER).mapInArrow(bucket, schema_of(ddl)))
     edges = found.where("edge > 0").orderBy("bucket", "edge").collect()  # two rows a bucket at most
     mark = ["id", "rid", "at", "n", "lead"]
     whole, opened, spread = [], [], {}
     for a, b in zip(edges, edges[1:], strict=False):
-        if a.bucket != b.bucket and (a.name, a.context) == (b.name, b.context):
+        if a.bucket != b.bucket and all(a[k] == b[k] for k in ORDER[:4]):
             whole += [tuple(x[c] for c in mark) for x in (a, b) if not x.whole]
     for x in edges:
-        spread.setdefault(x.name, []).append(x)
+        spread.setdefault(tuple(x[k] for k in ORDER[:3]), []).append(x)
     for xs in spread.values():
         if len({x.bucket for x in xs}) > 1 and (any(x.open for x in xs) or len({x.context for x in xs}) > 1):
             opened += [tuple(x[c] for c in mark) for x in xs if not x.open]
     kind = schema_of("id bigint, rid bigint, at int, n int, lead int")
 
     def with_edges(df: DataFrame, more: list[tuple]) -> DataFrame:
-        return df.union(runs.sparkSession.createDataFrame(more, kind)) if more else df
+        return df.union(session.createDataFrame(more, kind)) if more else df
 
-    return with_edges(found.where("whole").select(*mark), whole), with_edges(found.where("open").select(*mark), opened)
+    return with_edges(found.where("whole").select(*mark), whole), with_edges(found.where("open").select(*mark), opened), found
 
 
 def finer(texts: DataFrame, width: int, step: int) -> DataFrame:
@@ -117,13 +127,14 @@ def finer(texts: DataFrame, width: int, step: int) -> DataFrame:
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:
             cols, size = [], 0
-            for i, runs in enumerate(run_lists(batch.column(3), 3)):
-                starts, counts, leads = runs
-                names = Names(byte_values(np.frombuffer(unpress.decompress(batch.column(2)[i].as_py()), np.uint8), None)[0])
+            for i, (starts, counts, leads) in enumerate(run_lists(batch.column(3), 3)):
+                text = np.frombuffer(unpress.decompress(batch.column(2)[i].as_py()), np.uint8)
+                names = Names(byte_values(text, None)[0])
                 if step == 1:
                     at = np.unique(np.concatenate([np.arange(s, s + n) for s, n in zip(starts, counts, strict=True)]))
                     head = names.of(at, at + width // 2)
-                    cols.append((head.view(np.int64), mix(head ^ names.of(at, at + width)).view(np.int64), np.full(len(at), i), at, np.ones(len(at), np.int64)))
+                    cols.append((*leading_tokens(text, at, width), head.view(np.int64), mix(head ^ names.of(at, at + width)).view(np.int64), np.full(len(at), i), at, np.ones(len(at), np.int64)))
+                    size += len(at)
                 else:
                     for s, n, lead in zip(starts, counts, leads, strict=True):
                         far = lead - np.arange(n)  # from a window to the anchor, falling
@@ -134,15 +145,15 @@ def finer(texts: DataFrame, width: int, step: int) -> DataFrame:
                         a = s + cut
                         name = mix(names.of(core, core - step + 1 + width) + group[cut].astype(np.uint64))
                         context = mix(names.of(a, a + m - 1 + width) ^ mix((core - a).astype(np.uint64)))
-                        cols.append((name.view(np.int64), context.view(np.int64), np.full(len(a), i), a, m))
-                size += sum(len(c[0]) for c in cols[-len(starts) :])
+                        cols.append((*leading_tokens(text, core, width - step + 1), name.view(np.int64), context.view(np.int64), np.full(len(a), i), a, m))
+                        size += len(a)
                 if cols and (size > 200_000 or i == batch.num_rows - 1):
-                    name, context, row, at, n = (np.concatenate(x) for x in zip(*cols, strict=True))
+                    token1, token2, name, context, row, at, n = (np.concatenate(x) for x in zip(*cols, strict=True))
                     take = pa.array(row)
-                    yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(context), batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(np.zeros(len(at), np.int32))], RUN_NAMES)
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, (token1, token2, name, context)), batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(np.zeros(len(at), np.int32))], ROW_NAMES)
                     cols, size = [], 0
 
-    return texts.mapInArrow(run, schema_of(RUN))
+    return texts.mapInArrow(run, schema_of(ROW))
 
 
 def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 400, keep_bytes: bool = False) -> DataFrame:
@@ -156,21 +167,21 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     scratch = Scratch(docs.sparkSession, "suffixes")
     rows = keyed(docs, id_col, text_col)
     step = min(STEP, max(1, width // 8))
-    runs = scratch.put(anchors(rows, byte_values, width, min(PART, max(1, width // 2))))
-    marks, opened = settle(runs, scratch)
-    if step > 1:
-        texts = scratch.hold(with_marks(rows, opened, "inner"))
-        runs = scratch.hold(finer(texts, width, step))
-        whole, opened = settle(runs, scratch)
-        runs.unpersist()
-        marks = marks.union(whole)
-        again = by_text(opened).alias("b").join(texts.drop("runs").alias("a"), (F.col("a.rid") == F.col("b.rid")) & F.col("a.id").eqNullSafe(F.col("b.id")))
-        texts = again.select("a.id", "a.rid", "a.z", "b.runs")
-    else:
-        texts = with_marks(rows, opened, "inner")
-    runs = scratch.hold(finer(texts, width, 1))
-    marks = marks.union(settle(runs, scratch)[0])
-    runs.unpersist()
+    part = min(PART, max(1, width // 2))
+    first = scratch.put(anchors(rows, byte_values, width, part, tokens=True))
+    whole, opened, found = settle(first, scratch)
+    texts = dealt_texts(rows, scratch)
+    gone, held = [whole], [found]
+    for s in [step, 1] if step > 1 else [1]:
+        runs = scratch.hold(finer(with_marks(texts, opened, "inner"), width, s))
+        whole, opened, found = settle(runs, scratch)
+        gone.append(whole)
+        held += [runs, found]
+    # Written, so that what the levels held can go.
+    marks = scratch.put(reduce(DataFrame.union, gone).repartition(max(8, int(scratch.spark.conf.get("spark.sql.shuffle.partitions")) // 8)))
+    for frame in held:
+        frame.unpersist()
+    scratch.drop(first)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         unpress, out = zstandard.ZstdDecompressor(), []
@@ -187,5 +198,5 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3])]
         return pa.RecordBatch.from_arrays(arrays + [pa.array(cols[4], pa.binary())] * keep_bytes, ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_bytes)
 
-    out = arrow_map(with_marks(rows, marks, "left"), cut, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * keep_bytes)
+    out = arrow_map(with_marks(texts, marks, "left"), cut, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * keep_bytes)
     return out.withColumnRenamed("id", id_col)
