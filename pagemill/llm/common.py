@@ -15,14 +15,22 @@ from pyspark.sql import types as T
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where none is set, a temporary folder stands in for it if the session runs in this process alone;
+    executors of a cluster would not see it, so there it is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="pagemill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+#: A translation of bytes that lower-cases A-Z.
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Rows of a scratch file, where their number is known before.
 FILE_ROWS = 500_000
 
@@ -85,6 +93,11 @@ def apart(grouped: DataFrame, *keys: str) -> DataFrame:
     return grouped.withColumns({k: F.col(k).bitwiseXOR(F.lit(0).cast("long")) for k in keys})
 
 
+def sampled(share: float, *columns: str) -> F.Column:
+    """Whether a row falls into a sample of that share, by a hash of columns; shares may be as small as 1e-15."""
+    return F.lit(True) if share >= 1 else F.xxhash64(*columns).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(int(share * (1 << 63)))
+
+
 def utf8(text) -> F.Column:
     """UTF-8 bytes of a text column, null as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")

@@ -5,8 +5,9 @@ one piece at least stands unharmed in any text that holds the item within the bu
 pieces come from names of stretches at every place of a text, looked up in a table of the pieces;
 each hit proposes a place, where Myers' bit-parallel distance decides.
 
-Texts are read once per block of items; a block is at most ``BLOCK_ITEM_BYTES`` long, so what tasks
-hold and the driver sends is bounded whatever the size of the benchmark. Nothing is shuffled.
+Texts are read once per block of items. Items fall into blocks by a hash, of half ``BLOCK_ITEM_BYTES`` on
+average, so that what tasks hold and the driver sends does not grow with the benchmark; only a single item
+longer than a block makes a longer one. Nothing is shuffled.
 """
 
 from __future__ import annotations

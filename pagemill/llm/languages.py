@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, flat_bytes, row_blocks, schema_of
+from .common import arrow_map, flat_bytes, row_blocks, sampled, schema_of
 
 #: Labelled rows to fit on, at most; partitions that count them; hash buckets of trigrams.
 FIT_ROWS, FIT_PARTS, BUCKETS = 20_000, 12, 1 << 16
+#: Languages a model holds at most; more labels are taken for a mistake.
+MOST_LANGS = 1000
 #: Cost of a switch between words, in log units; characters and bytes of texts handled at once.
 PENALTY, PIECE, BATCH_BYTES = 12.0, 1 << 19, 8 << 20
 UNKNOWN = -40.0
@@ -138,9 +140,16 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float = PENALTY) ->
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on rows of ``docs`` with a language, at most about ``FIT_ROWS`` of them, chosen by a hash of the id."""
+    """Fit on rows of ``docs`` with a language, at most about ``FIT_ROWS`` of them, chosen by a hash of id and text.
+
+    Null texts and null languages are left out; empty texts, repeated rows and null ids do no harm. Without a
+    labelled row the model knows no language, and every text is ``und``. An empty sample of labelled rows,
+    or more than ``MOST_LANGS`` languages, is an error.
+    """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()}
+    if len(sizes) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
     langs, total = sorted(sizes), sum(sizes.values())
     if not langs:
         return Model(["und"], np.zeros((1, BUCKETS)), np.zeros((1, len(SCRIPT_NAMES))))
@@ -150,16 +159,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     def count(batches):
         counts = np.zeros((len(langs), BUCKETS), np.int64)
         scripts = np.zeros((len(langs), len(SCRIPT_NAMES)), np.int64)
+        n = 0
         for batch in batches:
+            n += batch.num_rows
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for i in range(0, len(text), PIECE):
                     bucket, _, points = letters_of(text[i : i + PIECE])
                     counts[number[lang]] += np.bincount(bucket, minlength=BUCKETS)
                     scripts[number[lang]] += np.bincount(letter_tables()[1][points], minlength=len(SCRIPT_NAMES))
-        yield pa.RecordBatch.from_arrays([pa.array([counts.astype("<i4").tobytes()]), pa.array([scripts.astype("<i4").tobytes()])], ["counts", "scripts"])
+        yield pa.RecordBatch.from_arrays([pa.array([counts.astype("<i4").tobytes()]), pa.array([scripts.astype("<i4").tobytes()]), pa.array([n])], ["counts", "scripts", "n"])
 
-    sample = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < int(share * 1_000_000)).select("text", "lang")
-    parts = sample.repartition(FIT_PARTS).mapInArrow(count, schema_of("counts binary, scripts binary")).collect()
+    sample = rows.where(sampled(share, "id", "text")).select("text", "lang")
+    parts = sample.repartition(FIT_PARTS).mapInArrow(count, schema_of("counts binary, scripts binary, n bigint")).collect()
+    if not sum(p.n for p in parts):
+        raise ValueError("the sample of labelled rows is empty")
     counts = sum((np.frombuffer(p.counts, "<i4").reshape(len(langs), -1).astype(np.int64) for p in parts), np.zeros((len(langs), BUCKETS), np.int64))
     scripts = sum((np.frombuffer(p.scripts, "<i4").reshape(len(langs), -1).astype(np.int64) for p in parts), np.zeros((len(langs), len(SCRIPT_NAMES)), np.int64))
     return Model(langs, counts, scripts)

@@ -139,7 +139,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A document is its ids and then ``end_id``; only one longer than ``capacity`` is cut, from its end, so
     that just its first piece may be shorter. Null and empty texts are one piece of length 1. Null ids and
     repeated rows are packed row by row; other columns are ignored; an empty table gives an empty one.
-    ``keep_ids`` adds each piece's ids as an array. Tokenised pieces are written once to a scratch table.
+    ``keep_ids`` adds each piece's ids as an array. Tokenised pieces are held on the executors' disks: what a
+    lost executor held is tokenised again, with the same result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, schema_of, utf8
+from .common import Scratch, arrow_map, sampled, schema_of, utf8
 
 FIT_ROWS, FIT_PARTS, FEATURES, RIDGE, BINS = 60_000, 12, 256, 1e-3, 1000
 SEED = 11
@@ -126,13 +126,20 @@ def _sums(rows: DataFrame, of, shape: tuple[int, ...]) -> np.ndarray:
 
 
 def fit(described: DataFrame, labels: DataFrame, label_col: str, aside: Column) -> Model:
-    """Fit on rows (id, x) joined with labels (id, label); rows that hold ``aside`` calibrate."""
+    """Fit on rows (id, x) joined with labels (id, label); rows that hold ``aside`` calibrate.
+
+    Of more than ``FIT_ROWS`` labels a sample of about so many is used, chosen by a hash of the id: few enough
+    to be broadcast, so the statistics stay where they are. An empty sample of labels is an error; labels
+    that meet no document give a model that scores 0.5.
+    """
     scratch = Scratch(described.sparkSession, "quality-fit")
     known = labels.where(F.col(label_col).isNotNull()).groupBy("id").agg(F.max(label_col).cast("double").alias("y"))
     n = known.count()
     if n > FIT_ROWS:
-        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(FIT_ROWS / n * 1_000_000))
-    rows = scratch.put(described.join(known, "id").select("x", "y", aside.alias("aside")).repartition(FIT_PARTS))
+        known = known.where(sampled(FIT_ROWS / n, "id"))
+        if known.isEmpty():
+            raise ValueError("the sample of labels is empty")
+    rows = scratch.put(described.join(F.broadcast(known), "id").select("x", "y", aside.alias("aside")).repartition(FIT_PARTS))
     learn, check = rows.where("not aside").select("x", "y"), rows.where("aside").select("x", "y")
     k = N_STATISTICS
     s = _sums(learn, lambda x, y: np.stack([np.full(k, len(x)), x.sum(0), (x * x).sum(0)]), (3, k))
