@@ -1,12 +1,15 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: MinHash keys propose pairs, the sets decide.
-
-A text is the set of its shingles' 64-bit hashes; equal sets are one node from the start. A node has
-``BANDS`` keys, each of ``ROWS`` minima over its set. A pair of similarity s shares no key with probability
-(1 - s ** ROWS) ** BANDS: three in a million at 0.8, fewer above. Every pair that shares a key and whose sizes
-allow the similarity is decided by its whole sets, so no link is wrong.
-
-Nodes under one key first meet the least of them. Only nodes that these links leave in different
-components meet each other, so a group of near copies costs its size and not the square of it.
+"""Near-duplicates by the Jaccard similarity of word shingles, for ``simhash.near_duplicates`` with a ``similarity``.
+
+Fingerprints within two bits find few pairs at 0.8, where about ten of 64 bits differ, so there MinHash keys
+propose pairs, and whole sets decide them. A text is the set of its shingles' 64-bit hashes; equal sets
+are one node from the start. A node has ``BANDS`` keys, each of ``ROWS`` minima over its set. A pair of
+similarity s shares no key with probability (1 - s ** ROWS) ** BANDS: three in a million at 0.8, fewer above.
+
+Nodes under one key first meet that one of them that meets most others in all, as the original among its
+edited copies does. Only nodes that these links leave in different components go on, and they are joined
+exactly, by prefix filtering: tokens are ordered by how few of the nodes hold them, two sets of the similarity
+share one of their first tokens, and its places bound what they can share. So a group of near copies costs
+its size and not the square of it, and no pair that shares a key is lost.
 """
 
 from __future__ import annotations
@@ -14,11 +17,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, apart, arrow_map, components, utf8
-from .simhash import _lower
+from .common import LOWER, Scratch, apart, arrow_map, components, utf8
 
 BANDS, ROWS = 32, 5
 _FACTORS = np.random.default_rng(42).integers(1 << 31, size=(BANDS * ROWS, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -28,7 +30,7 @@ BLOCK = 1024
 
 def shingle_set(text: bytes, words_in_shingle: int, seed: int = 42) -> np.ndarray:
     """Sorted distinct hashes of the shingles; one of the whole text when it is shorter, none without words."""
-    words = text.translate(_lower).split()
+    words = text.translate(LOWER).split()
     if not words:
         return np.zeros(0, np.uint64)
     joined, k, digest = b" ".join(words), words_in_shingle, xxhash.xxh64_intdigest
@@ -106,6 +108,36 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return arrow_map(pairs.join(left, "u").join(right, "v").where(fit).select("u", "v", "a", "b"), run, "u bigint, v bigint")
 
 
+def _unlinked(nodes: DataFrame, sets: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """Pairs (u, v), u > v, of nodes (node, root) with different roots that may be similar: all that are, few others."""
+    share = float(least)
+
+    def tokens(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+        size = np.array([len(x) for x in found], np.int64)
+        row = pa.array(np.repeat(np.arange(len(found)), size))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), batch.column(0).take(row), pa.array(size).take(row)], ["token", "node", "n"])
+
+    held = sets.join(nodes.select("node"), "node", "left_semi").select("node", "members")
+    rows = arrow_map(held, tokens, "token bigint, node bigint, n bigint")
+    often = rows.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
+    common = rows.join(apart(often, "token"), "token")
+    # Tokens of one node only come first of all and meet nobody; they are counted, not kept.
+    of_node = Window.partitionBy("node")
+    place = F.col("n") - F.count("*").over(of_node) + F.row_number().over(of_node.orderBy("often", "token")) - 1
+    prefix = F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1
+    kept = common.select("token", "node", "n", place.alias("place")).where(F.col("place") < prefix)
+    kept = scratch.put(kept.join(apart(nodes, "node"), "node").select("token", "node", "root", "n", "place"))
+    u, v = (kept.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", "n", "place")]) for side in "uv")
+    needed = F.ceil((F.col("n_u") + F.col("n_v")) * (share / (1 + share)) - 1e-9)
+    most = F.least(F.col("n_u") - F.col("place_u"), F.col("n_v") - F.col("place_v"))
+    fit = F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * share - 1e-6
+    met = u.join(v, "token").where((F.col("node_u") > F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & (most >= needed) & fit)
+    out = scratch.put(met.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct())
+    scratch.drop(kept)
+    return out
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One row per document: (id, node, component), component the smallest id reachable over links.
 
@@ -118,26 +150,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A table that is written has a known size, so a join need not deal out the other side to a small one.
     marked = scratch.hold(_marked(docs, id_col, text_col, words_in_shingle))
     nodes = scratch.hold(marked.groupBy("node").agg(F.min("id").alias("least"), F.min("copy").alias("copy")))
-    keys = marked.select("node", "n", F.explode("keys").alias("key"))
-    shared = scratch.put(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key", "low"))
+    keys = marked.select("node", F.explode("keys").alias("key"))
+    shared = scratch.put(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("times")).where("low <> high").select("key", "times"))
     met = scratch.put(keys.join(apart(shared, "key"), "key").distinct())
-    first = scratch.put(met.where("node <> low").select(F.col("node").alias("u"), F.col("low").alias("v")).distinct())
-    copies = scratch.put(nodes.join(met.select("node").distinct(), "node", "left_semi").select("copy"))
+    degree = met.groupBy("node").agg(F.sum("times").alias("degree"))
+    ranked = scratch.put(met.select("key", "node").join(apart(degree, "node"), "node"))
+    pivots = ranked.groupBy("key").agg(F.max(F.struct("degree", "node"))["node"].alias("pivot"))
+    star = ranked.select("key", "node").join(apart(pivots, "key"), "key").where("node <> pivot")
+    first = scratch.put(star.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct())
+    copies = scratch.put(nodes.join(degree, "node", "left_semi").select("copy"))
     sets = scratch.put(_sets(docs, text_col, copies, words_in_shingle))
     links = scratch.put(_verified(first, sets, least))
     roots = scratch.put(components(links, scratch))
-    # What the stars left apart meets under each key; the least of a key has met all there.
-    rooted = met.where("node <> low").join(roots, met.node == roots.node, "left").select("key", met.node, "n", F.coalesce("root", met.node).alias("root"))
+    # What the stars left apart: nodes that share a key with one of another component.
+    rooted = met.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     split = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    rest = scratch.put(rooted.join(apart(split, "key"), "key"))
-    one = rest.select("key", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("root").alias("root_u"))
-    two = rest.select("key", F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("root").alias("root_v"))
-    fit = F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * F.lit(least) - F.lit(1e-9)
-    across = one.join(two, "key").where((F.col("u") > F.col("v")) & (F.col("root_u") != F.col("root_v")) & fit)
-    # ``first`` has the greater node first, as ``across`` has.
-    second = scratch.put(across.select("u", "v").distinct().join(first, ["u", "v"], "left_anti"))
+    rest = scratch.put(rooted.join(apart(split, "key"), "key").select("node", "root").distinct())
+    # Pairs of a star that failed may come again here; the sets decide as before.
+    second = _unlinked(rest, sets, least, scratch)
     links = scratch.put(links.union(_verified(second, sets, least)))
-    scratch.drop(sets, met, rest, first, second, shared, copies)
+    scratch.drop(sets, met, ranked, rest, first, second, shared, copies)
     roots = components(links, scratch)
     named = nodes.join(roots, nodes.node == roots.node, "left").select(nodes.node, "least", F.coalesce("root", nodes.node).alias("root"))
     out = named.join(apart(named.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("node", "component")

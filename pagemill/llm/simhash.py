@@ -21,7 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, apart, arrow_map, components, utf8
+from . import shingles
+from .common import LOWER, Scratch, apart, arrow_map, components, utf8
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: (segment that is equal, segment that may differ in a bit)
@@ -31,8 +32,6 @@ GENERATOR = 0xAE3
 #: Fingerprints under one key from which it is refined.
 CROWDED = 48
 
-_lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-
 
 def syndromes(words: np.ndarray) -> np.ndarray:
     """Remainders of 23-bit words by the generator."""
@@ -93,7 +92,7 @@ BITS = _bit_table()
 
 def fingerprint(text: bytes, words_in_shingle: int, seed: int) -> int:
     """Bits set in over half the shingles' hashes; 0 without words."""
-    words = text.translate(_lower).split()
+    words = text.translate(LOWER).split()
     if not words:
         return 0
     if len(words) <= words_in_shingle:
@@ -144,13 +143,17 @@ def links_of(prints: DataFrame, scratch: Scratch, most_bits: int = 2) -> DataFra
     return pairs.union(stars).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 3, most_bits: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 3, most_bits: int = 2, similarity: float | None = None) -> DataFrame:
     """One row per document: (id, fp, component), component the smallest id reachable over links.
 
+    Links are fingerprints within ``most_bits``. With ``similarity`` they are sets of shingles with a Jaccard
+    similarity of that or more instead, see ``shingles``: two bits do not reach 0.8; ``fp`` is then a hash of the set.
     Null texts and texts without words have fingerprint 0 and are linked like any other; shorter texts
     than a shingle hash whole. Rows with a null id have a component as others do, but never name it
     unless all ids in it are null. Other columns are ignored; an empty table gives an empty one.
     """
+    if similarity is not None:
+        return shingles.near_duplicates(docs, id_col, text_col, words_in_shingle, similarity).withColumnRenamed("node", "fp")
     scratch = Scratch(docs.sparkSession, "simhash")
     marked = scratch.hold(fingerprints(docs, id_col, text_col, words_in_shingle))
     nodes = scratch.hold(marked.groupBy("fp").agg(F.min("id").alias("least")))
@@ -158,5 +161,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.join(apart(rooted.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("fp", "component")
     return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component")
-
-
