@@ -70,4 +70,38 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_array_dedup, op3_best_fit_packing, op4_simhash_near_dedup, op5_warc_archive, op6_substring_dedup, op7_benchmark_decontamination, op8_quality_classifier, op9_language_id, op10_embedding_near_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _spans_sql() -> str:
+    """SQL of all spans (doc_id, k, kind, x, y) of the rules: matches and the gaps between them give their places."""
+    # Fixed patterns: the rules as the other engine's expressions, spelled out again.
+    assign = """(?i:password|passwd|secret|token|api_?key)["']?\\x20*[:=]\\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    kinds = (
+        ("assign", assign.replace("'", "''"), 1, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24), ("pem", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\\s]+-----END (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
+        ("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}", 0, 1), ("forge", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    )
+    each = " union all ".join(f"select doc_id, {k} as k, '{kind}' as kind, {least} as least, regexp_extract_all(text, '{p}') as m, regexp_extract_all(text, '{p}', {group}) as g, regexp_split_to_array(text, '{p}') as gap from t" for k, (kind, p, group, least) in enumerate(kinds))
+    return f"""t as (select doc_id, coalesce(text, '') as text from documents), found as ({each}),
+ flat as (select doc_id, k, kind, least, unnest(m) as m, unnest(g) as g, unnest(gap[1:len(m)]) as gap, generate_subscripts(m, 1) as i from found where len(m) > 0),
+ placed as (select *, sum(length(gap)) over w + sum(length(m)) over w - length(m) as x from flat window w as (partition by doc_id, k order by i)),
+ spans as (select doc_id, k, kind, x::bigint as x, (x + length(m))::bigint as y from placed where length(g) >= least)"""
+
+
+_JOINED = "string_agg(kind || ':' || x || ':' || y, ',' order by x, k)"
+
+#: What SQL can say; the others rest on fingerprints, models, tokens or 400-byte strings and have brute-force tests.
+ORACLE_SQL: dict[str, str] = {
+    "op1_secret_scan": f"""with {_spans_sql()} select t.doc_id, count(*) filter (where kind = 'assign') as n_assign, count(*) filter (where kind = 'access') as n_access, count(*) filter (where kind = 'hex') as n_hex,
+ sha256(coalesce({_JOINED} filter (where k < 3), '')) as base_sha256, coalesce({_JOINED} filter (where kind is not null), '') as spans from t left join spans using (doc_id) group by t.doc_id""",
+    "op5_warc_archive": """with d as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+ f as (select payload_digest, min(page_id) as first from d where payload_bytes >= 100 group by 1)
+ select page_id, payload_bytes, payload_digest, case when page_id > first then 'revisit' else 'response' end as record_type, case when page_id > first then first end as refers_to from d left join f using (payload_digest)""",
+    "op6_substring_dedup": r"""with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents), p as (select doc_id, len(words) as n, unnest(words) as word, generate_subscripts(words, 1) as i from w),
+ s as (select *, case when i + 49 <= n then md5(string_agg(word, ' ') over (partition by doc_id order by i rows between current row and 49 following)) end as win from p), f as (select win, min(doc_id) as first from s where win is not null group by win),
+ c as (select s.doc_id, i, word, max((coalesce(f.first < s.doc_id, false))::int) over (partition by s.doc_id order by i rows between 49 preceding and current row) as gone from s left join f using (win)),
+ g as (select doc_id, count(*) as n_words, sum(gone)::bigint as n_removed, string_agg(word, ' ' order by i) filter (where gone = 0) as kept from c group by doc_id)
+ select w.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from w left join g using (doc_id)""",
+    "op10_embedding_near_dedup": """with recursive v as (select vec_id, embedding::double[] as e from embeddings), ok as (select * from v where e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+ l as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95), r(n, c) as (select vec_id, vec_id from v union select l.b, r.c from r join l on l.a = r.n)
+ select vec_id, (select count(*) from l where l.a = vec_id) as n_links, (select min(c) from r where n = vec_id) as component_id, (select min(c) from r where n = vec_id) = vec_id as kept from v""",
+}

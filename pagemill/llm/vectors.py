@@ -73,7 +73,26 @@ def table_shape(vectors: int, bits: int) -> tuple[int, int, int]:
     """
     width = min(max(16, int(vectors).bit_length() + 2), 28, bits)
     each = max(1, bits // width)
-    return -(-(4 if width <= 16 else 6 if width <= 22 else 9) // each), each, width
+    return -(-(4 if width <= 16 else 6 if width <= 18 else 8 if width <= 22 else 12) // each), each, width
+
+
+class Coder:
+    """Rotations learned from a sample of unit vectors, and the parts of codes that are keys of the tables."""
+
+    def __init__(self, sample: np.ndarray, vectors: int, bits: int):
+        rotations, self.each, self.width = table_shape(vectors, bits)
+        self.learned = [learn_rotation(sample, bits, seed) for seed in range(7, 7 + rotations)]
+        self.tables = rotations * self.each
+
+    def encode(self, v: np.ndarray) -> np.ndarray:
+        """The codes' parts as integers, one column a table."""
+        out = np.zeros((len(v), self.tables), np.int64)
+        for r, (mean, matrix) in enumerate(self.learned):
+            code = (v - mean) @ matrix >= 0
+            for t in range(self.each):
+                own = code[:, t * self.width : (t + 1) * self.width].astype(np.int64)
+                out[:, r * self.each + t] = (own << np.arange(own.shape[1])).sum(axis=1)
+        return out
 
 
 def link_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, bits: int = 64) -> DataFrame:
@@ -100,11 +119,11 @@ def link_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
         return every.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     roots = components(forests, scratch)
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = named.join(named.groupBy("root").agg(F.min("least").alias("component")), "root")
+    named = named.join(apart(named.groupBy("root").agg(F.min("least").alias("component")), "root"), "root")
     named = named.join(counts.groupBy("node").agg(F.sum("n").alias("n")), "node", "left")
     named = named.select("node", "component", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
     marked = every.withColumn("node", F.when(usable(), F.xxhash64("v"))).select("id", "node")
-    joined = marked.join(named, "node", "left")
+    joined = marked.join(apart(named, "node"), "node", "left")  # so that a very common vector can be split
     return joined.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component"))
 
 
@@ -112,21 +131,9 @@ def _link_length(nodes: DataFrame, scratch: Scratch, cosine: float, bits: int, d
     """(node, n) link counts, to be summed, and links (u, v) of a spanning forest, for vectors of one length."""
     sample = nodes.orderBy(F.xxhash64("node")).limit(SAMPLE_ROWS).select("v").toPandas()["v"]
     base = unit(pa.array(list(sample), pa.list_(pa.float64())))
-    rotations, each, width = table_shape(nodes.count(), min(bits, d))
-    learned = [learn_rotation(base, min(bits, d), seed) for seed in range(7, 7 + rotations)]
-    tables = rotations * each
-
-    def encode(v: np.ndarray) -> np.ndarray:
-        """The codes' parts as integers, one column a table."""
-        out = np.zeros((len(v), tables), np.int64)
-        for r, (mean, matrix) in enumerate(learned):
-            code = (v - mean) @ matrix >= 0
-            for t in range(each):
-                own = code[:, t * width : (t + 1) * width].astype(np.int64)
-                out[:, r * each + t] = (own << np.arange(own.shape[1])).sum(axis=1)
-        return out
-
-    flips = np.concatenate([[0], 1 << np.arange(width)])
+    coder = Coder(base, nodes.count(), min(bits, d))
+    encode, tables = coder.encode, coder.tables
+    flips = np.concatenate([[0], 1 << np.arange(coder.width)])
 
     def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
         p = encode(unit(batch.column(1)))

@@ -10,6 +10,7 @@ import pytest
 import xxhash
 
 from pagemill.llm import queries, repeats, simhash, substrings, suffixes, vectors
+from pagemill.llm.vectors import Coder, link_vectors
 
 DOCS = "doc_id long, text string, fp long, id long, component string"
 
@@ -223,3 +224,37 @@ def test_empty_tables(spark):
     assert not substrings.remove_repeated_words(none).collect()
     assert not simhash.near_duplicates(none).collect()
     assert not vectors.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect()
+
+
+@pytest.mark.parametrize("vectors", [500, 50_000, 1_000_000, 30_000_000, 1_000_000_000])
+@pytest.mark.parametrize("cosine", [0.95, 0.97, 0.99])
+def test_recall_of_the_tables_of_any_size(vectors, cosine):
+    """Pairs at a cosine meet in a table of the shape that so many vectors get: 4000 pairs of 64 dimensions."""
+    rng = np.random.default_rng(3)
+    a, noise = rng.normal(size=(2, 4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    noise -= (noise * a).sum(axis=1, keepdims=True) * a
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    b = cosine * a + np.sqrt(1 - cosine**2) * noise
+    coder = Coder(rng.normal(size=(3000, 64)) / 8, vectors, 64)
+    x, y = coder.encode(a), coder.encode(b)
+    met = (np.bitwise_count((x ^ y).astype(np.uint64)) <= 1).any(axis=1).mean()
+    assert met >= {0.95: 0.92, 0.97: 0.97, 0.99: 0.995}[cosine], met
+
+
+def test_planted_links_of_many_dimensions(spark):
+    """Pairs planted at cosines from 0.93 to 0.99 among 3000 vectors, against all pairs."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(3000, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    cosine = rng.uniform(0.93, 0.995, 600)
+    noise = rng.normal(size=(600, 64))
+    noise -= (noise * v[:600]).sum(axis=1, keepdims=True) * v[:600]
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    v[600:1200] = cosine[:, None] * v[:600] + np.sqrt(1 - cosine**2)[:, None] * noise
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(4)
+    found = {r.vec_id: r.n_links for r in link_vectors(rows).collect()}
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    assert all(found[i] <= want[i] for i in range(3000)) and want.sum() > 700
+    assert sum(found.values()) >= 0.95 * want.sum()
