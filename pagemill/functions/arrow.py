@@ -4,18 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Bytes a core, up to which rows of few files are dealt out.
+SPREAD_BYTES = 64 << 20
 
-def arrow_udf(ddl: str) -> Callable:
-    """Decorates a function of pandas series; the result takes columns and gives a column of type ``ddl``."""
+
+def arrow_udf(ddl: str, once: bool = False) -> Callable:
+    """Decorates a function of pandas series; the result takes columns and gives a column of type ``ddl``.
+
+    ``once``: the optimiser must not copy it into filters or other expressions, so it runs once a row.
+    """
 
     def wrap(f: Callable) -> Callable[..., Column]:
         def call(*columns) -> Column:
-            return F.pandas_udf(f, ddl)(*columns)
+            udf = F.pandas_udf(f, ddl)
+            return (udf.asNondeterministic() if once else udf)(*columns)
 
         call.__name__, call.__doc__ = f.__name__, f.__doc__
         return call
 
     return wrap
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a small scan with fewer files than cores, dealt out to all cores before a costly step.
+
+    A larger scan, a stream and rows in memory stay as they are, so the shuffle is bounded by ``SPREAD_BYTES`` a core.
+    """
+    if rows.isStreaming:
+        return rows
+    cores, files = rows.sparkSession.sparkContext.defaultParallelism, len(rows.inputFiles())
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return rows.repartition(cores) if 0 < files < cores and size < cores * SPREAD_BYTES else rows

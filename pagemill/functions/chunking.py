@@ -86,7 +86,7 @@ def chunks(text: str | None, most: int = MOST_CHARS, least: int = LEAST_CHARS) -
     return [{"text": t.strip(), "heading_ctx": c, "chunk_index": i} for i, (t, c) in enumerate(merged) if t.strip()]
 
 
-@arrow_udf("array<struct<text:string,heading_ctx:string,chunk_index:int>>")
+@arrow_udf("array<struct<text:string,heading_ctx:string,chunk_index:int>>", once=True)
 def _chunks(text: pd.Series) -> pd.Series:
     return text.map(chunks)
 

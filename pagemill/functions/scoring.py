@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrow import spread
+
 THRESHOLD = 80
 
 #: Fixed values: (name, delta, pattern) of the signs of a page that needs a browser.
@@ -128,6 +130,7 @@ def route(score: Column, threshold: int = THRESHOLD) -> Column:
     return F.when(score >= threshold, "fast").otherwise("rich")
 
 
+#: Fixed values from here to ``reasons``: the texts of reasons.
 def route_reason(score: Column, threshold: int = THRESHOLD) -> Column:
     return F.when(score >= threshold, F.format_string(f"Score %d >= {threshold}: Static page, suitable for BeautifulSoup", score)).otherwise(F.format_string(f"Score %d < {threshold}: Dynamic page, requires Crawl4AI", score))
 
@@ -169,6 +172,7 @@ def score_bucket(score: Column) -> Column:
 def analyse(pages, html: str = "html", threshold: int = THRESHOLD):
     """``pages`` with raw_score, score, route, route_reason, score_reasons (first five), text_length, script_count."""
     s = F.col("_signals")
+    pages = spread(pages)
     out = pages.withColumn("_signals", signals(html)).withColumn("raw_score", raw_score(s)).withColumn("score", clamp(F.col("raw_score")))
     score = F.col("score")
     return out.withColumns({"route": route(score, threshold), "route_reason": route_reason(score, threshold), "score_reasons": F.slice(reasons(s), 1, 5), "text_length": s["text_length"], "script_count": s["script_count"]}).drop("_signals")

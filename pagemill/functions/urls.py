@@ -45,7 +45,7 @@ def _clean(urls: pd.Series) -> pd.Series:
     return urls.map(clean_url)
 
 
-@arrow_udf("array<string>")
+@arrow_udf("array<string>", once=True)
 def clean_all(urls: pd.Series) -> pd.Series:
     """``clean_urls`` of each list; a null list gives an empty one."""
     return urls.map(lambda x: [] if x is None else clean_urls(x))
