@@ -35,8 +35,8 @@ def stats(chunks: DataFrame) -> dict:
 
 
 def chunks(chunk_table: DataFrame, pages: DataFrame, url: str) -> list[dict]:
-    """A page's chunks in order; ``NotFound`` if there are none."""
-    rows = search.chunks_of(chunk_table, pages, url).limit(10_000).collect()  # one page
+    """All of a page's chunks in order; ``NotFound`` if there are none."""
+    rows = search.chunks_of(chunk_table, pages, url).collect()  # as many as one page has
     if not rows:
         raise NotFound(url)
     return [r.asDict() for r in rows]

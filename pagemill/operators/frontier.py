@@ -50,31 +50,37 @@ def without_known(urls: DataFrame, completed: DataFrame, pending: DataFrame) ->
     return rows.withColumn("outcome", F.when(F.col("_done"), "dedup_completed").when(F.col("_wait"), "dedup_pending")).drop("_done", "_wait")
 
 
-def first_arrivals(rows: DataFrame, arrival: str = "arrival") -> DataFrame:
-    """Later arrivals of a new URL count as pending."""
-    nth = F.row_number().over(Window.partitionBy("url_hash").orderBy(arrival))
-    return rows.withColumn("outcome", F.when(F.col("outcome").isNull() & (nth > 1), "dedup_pending").otherwise(F.col("outcome")))
+#: Buckets into which a hot key's rows are dealt before the few that are left meet.
+SALT = 32
 
 
-def _capped(rows: DataFrame, key: str, most: Column, counts: DataFrame | None, outcome: str, arrival: str) -> DataFrame:
-    """New rows beyond a key's cap get ``outcome``; ``counts`` (key, n) holds what was added before.
+def _first_of(rows: DataFrame, key: str, most: Column, outcome: str, arrival: str, before: Column | int = 0) -> DataFrame:
+    """Rows without an outcome beyond a key's first ``most`` by arrival get ``outcome``; ``_nth`` numbers the others.
 
     A running number needs a key's rows in order. So that one huge key is no single task, rows that can't
-    fit are refused first: within hash buckets of a key only the first ``most`` by arrival can be among the
-    first ``most`` of the whole key. The second numbering then sees at most buckets times cap rows of a key.
+    be among them are refused first: within hash buckets of a key only the first ``most`` can be among the
+    first ``most`` of the whole key. The second numbering then sees at most buckets times ``most`` rows of a
+    key together; refused ones stay in their buckets.
     """
-    new = F.col("outcome").isNull()
-    salt = F.pmod(F.xxhash64("url"), F.lit(32))
+    salt, new = F.pmod(F.xxhash64("url", arrival), F.lit(SALT)), F.col("outcome").isNull()
     within = F.row_number().over(Window.partitionBy(key, salt, new).orderBy(arrival))
     rows = rows.withColumn("outcome", F.when(new & (within > most), outcome).otherwise(F.col("outcome")))
-    open_, rest = rows.where(new), rows.where(~new)
+    nth = F.row_number().over(Window.partitionBy(key, F.when(new, F.lit(-1)).otherwise(salt)).orderBy(arrival))
+    return rows.withColumn("_nth", nth + before).withColumn("outcome", F.when(new & (F.col("_nth") > most), outcome).otherwise(F.col("outcome")))
+
+
+def first_arrivals(rows: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """Later arrivals of a new URL count as pending, however many pages link to it."""
+    return _first_of(rows, "url_hash", F.lit(1), "dedup_pending", arrival).drop("_nth")
+
+
+def _capped(rows: DataFrame, key: str, most: Column, counts: DataFrame | None, outcome: str, arrival: str) -> DataFrame:
+    """New rows beyond a key's cap get ``outcome``; ``counts`` (key, n) holds what was added before; ``_nth`` counts on from it."""
     before = F.lit(0)
     if counts is not None:
-        open_ = open_.join(counts.select(key, F.col("n").alias("_before")), key, "left")
+        rows = rows.join(counts.select(key, F.col("n").alias("_before")), key, "left")
         before = F.coalesce("_before", F.lit(0))
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(arrival))
-    open_ = open_.withColumn("outcome", F.when(before + nth > most, outcome)).drop("_before")
-    return open_.unionByName(rest)
+    return _first_of(rows, key, most, outcome, arrival, before).drop("_before")
 
 
 def add_discovered(urls: DataFrame, completed: DataFrame, pending: DataFrame, shards: int, domain_counts: DataFrame | None = None, most: int = MOST_PER_DOMAIN) -> DataFrame:
@@ -85,13 +91,13 @@ def add_discovered(urls: DataFrame, completed: DataFrame, pending: DataFrame, sh
     rows = first_arrivals(without_known(urls, completed, pending)).withColumn("domain", S.netloc("url"))
     rows = _capped(rows, "domain", F.lit(most), domain_counts, "domain_limit", "arrival")
     added = F.col("outcome").isNull()
-    return rows.withColumns({"shard": F.when(added, S.shard_of_url("url", shards)), "queue": F.when(added, "priority_low"), "priority": F.when(added, DISCOVERED_PRIORITY), "url_type": F.lit("discovered"), "outcome": F.coalesce("outcome", F.lit("added"))})
+    return rows.withColumns({"shard": F.when(added, S.shard_of_url("url", shards)), "queue": F.when(added, "priority_low"), "priority": F.when(added, DISCOVERED_PRIORITY), "url_type": F.lit("discovered"), "outcome": F.coalesce("outcome", F.lit("added"))}).drop("_nth")
 
 
 def add_scoped(urls: DataFrame, completed: DataFrame, pending: DataFrame, shards: int, page_counts: DataFrame | None = None) -> DataFrame:
     """Outcomes of URLs with a scope struct and current_depth: the first reason that holds against a URL.
 
-    A path prefix is a plain prefix: ``/news`` lets ``/newsletter`` pass.
+    An added URL carries its scope with its own ``current_depth`` and the number of its seed's pages so far. A path prefix is a plain prefix: ``/news`` lets ``/newsletter`` pass.
     """
     s = F.col("scope")
     rows = first_arrivals(without_known(urls, completed, pending)).withColumn("domain", F.lower(S.netloc("url")))
@@ -103,8 +109,12 @@ def add_scoped(urls: DataFrame, completed: DataFrame, pending: DataFrame, shards
     seed = F.coalesce(F.nullif(s["seed_url"], F.lit("")), F.concat(F.lit("https://"), allowed, prefix))
     rows = rows.withColumn("outcome", F.coalesce("outcome", F.when(outside, "scope_filtered").when(deep, "scope_depth_limit"))).withColumn("seed_url", seed)
     rows = _capped(rows, "seed_url", F.coalesce(s["max_pages"], F.lit(10000)), page_counts, "scope_page_limit", "arrival")
-    added = F.col("outcome").isNull()
-    return rows.withColumns({"shard": F.when(added, S.shard_of_url("url", shards)), "queue": F.when(added, "priority_custom"), "priority": F.when(added, CUSTOM_PRIORITY), "url_type": F.lit("custom"), "outcome": F.coalesce("outcome", F.lit("added"))})
+    added, names = F.col("outcome").isNull(), urls.schema["scope"].dataType.names
+
+    def new(field: str, value: Column) -> Column:
+        return F.when(added, value.cast("long")).otherwise(s[field].cast("long") if field in names else F.lit(None))
+
+    return rows.withColumns({"shard": F.when(added, S.shard_of_url("url", shards)), "queue": F.when(added, "priority_custom"), "priority": F.when(added, CUSTOM_PRIORITY), "url_type": F.lit("custom"), "outcome": F.coalesce("outcome", F.lit("added")), "scope": s.withField("current_depth", new("current_depth", F.col("current_depth"))).withField("pages_crawled", new("pages_crawled", F.col("_nth")))}).drop("_nth")
 
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:

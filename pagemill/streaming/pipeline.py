@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -114,15 +114,52 @@ def new_urls(rows: DataFrame, late: str | None = None, time: str = "seen_at") ->
     return rows.dropDuplicates(["url_hash"]) if late is None else rows.withWatermark(time, late).dropDuplicatesWithinWatermark(["url_hash"])
 
 
-def start_upsert(batches: DataFrame, read: Callable[[], DataFrame], write: Callable[[DataFrame], None], merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str, may_run: Callable[[], bool] = lambda: True, **trigger):
-    """A stream merged into a table: ``read`` gives the table, ``merge`` its next state, ``write`` replaces it.
+class MergedTable:
+    """A table that batches are merged into, kept as versions of hash buckets of its keys under a folder.
+
+    A batch rewrites the buckets that it touches, under its own number; a bucket's state is its version of the
+    highest number. So a batch that runs again starts from the same versions and replaces its own.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str], buckets: int = 64):
+        self.spark, self.root, self.schema, self.keys, self.buckets = spark, root.rstrip("/"), schema, keys, buckets
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def versions(self, before: int | None = None) -> dict[int, int]:
+        """The last version of each bucket; ``before``: of lower batches only."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        last: dict[int, int] = {}
+        for status in fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/bucket=*/batch=*")) or []:
+            bucket, batch = (int(x.split("=")[1]) for x in status.getPath().toString().split("/")[-2:])
+            if before is None or batch < before:
+                last[bucket] = max(last.get(bucket, -1), batch)
+        return last
+
+    def read(self, buckets: set[int] | None = None, before: int | None = None) -> DataFrame:
+        """The table as it stands, or the given buckets of it."""
+        paths = [f"{self.root}/bucket={k}/batch={v}" for k, v in self.versions(before).items() if buckets is None or k in buckets]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def apply(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Merges a batch into the buckets that it touches."""
+        touched = {r[0] for r in batch.select(self.bucket()).distinct().collect()}  # at most ``buckets``
+        if touched:
+            new = merge(self.read(touched, batch_id), batch).select(*self.schema.names).withColumn("bucket", self.bucket()).withColumn("batch", F.lit(batch_id))
+            new.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(self.root)
+
+
+def start_upsert(batches: DataFrame, table: MergedTable, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str, may_run: Callable[[], bool] = lambda: True, **trigger):
+    """A stream merged into a table: ``merge`` gives the next state of what a batch touches.
 
     ``may_run`` is asked before each batch; a refused batch is dropped, as under backpressure.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if may_run():
-            write(merge(read(), batch))
+            table.apply(batch, batch_id, merge)
 
     return batches.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply).trigger(**(trigger or {"availableNow": True})).start()
 

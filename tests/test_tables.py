@@ -174,16 +174,18 @@ def test_streams(spark, tmp_path, small):
     pipeline.start_processor(again, out, str(tmp_path / "c2")).awaitTermination()
     first = spark.read.parquet(f"{out}/process.fast/batch=0").count()
     assert spark.read.parquet(f"{out}/processed.final").count() == first
-    table = {"t": spark.createDataFrame([], "url string, domain string, title string, version int")}
-
-    def write(df):
-        table["t"] = spark.createDataFrame(df.collect(), df.schema)
-
-    batches = pipeline.messages(spark, src, pages.schema).selectExpr("url", "'d' as domain", "'t' as title", "page_id as processed_at")
-    pipeline.start_upsert(batches, lambda: table["t"], write, merge.upsert_pages, str(tmp_path / "c3")).awaitTermination()
-    assert table["t"].count() == 20
-    pipeline.start_upsert(batches, lambda: table["t"], write, merge.upsert_pages, str(tmp_path / "c4"), may_run=lambda: False).awaitTermination()
-    assert {r.version for r in table["t"].collect()} == {1}
+    schema = spark.createDataFrame([], "url string, domain string, title string, version int").schema
+    table = pipeline.MergedTable(spark, f"{out}/table", schema, ["url"], 4)
+    batches = pipeline.messages(spark, src, pages.schema, files_per_trigger=1).selectExpr("url", "'d' as domain", "'t' as title", "page_id as processed_at")
+    pipeline.start_upsert(batches, table, merge.upsert_pages, str(tmp_path / "c3")).awaitTermination()
+    assert table.read().count() == 20
+    # A batch that runs again ends in the same table; a later one goes on from it.
+    again = pages.limit(5).selectExpr("url", "'e' as domain", "'new' as title", "page_id as processed_at")
+    for _ in range(2):
+        table.apply(again, 2, merge.upsert_pages)
+        assert sorted(r.version for r in table.read().collect()) == [1] * 15 + [2] * 5
+    pipeline.start_upsert(batches, table, merge.upsert_pages, str(tmp_path / "c4"), may_run=lambda: False).awaitTermination()
+    assert {r.domain for r in table.read().collect()} == {"d"} and table.read().where("title = 'new'").count() == 5
     links = spark.createDataFrame([("s", True, 1, {"links": ["https://A/?ref=1", "https://a/", "x"]})], "url string, success boolean, current_depth int, extracted struct<links:array<string>>")
     assert rows(pipeline.discovered(links)) == [("s", 2, 0, "https://a/")]
 
