@@ -380,20 +380,39 @@ def backfill_page_ids(spark, d):
     return merge.backfill_page_ids(chunks, pages).select("id", "url", "page_id")
 
 
-@query()
+_TOP20 = f"{CHUNKS}, {PAGES}, top as (select c.url, c.chunk_index, round({_SIM}, 4) as similarity, pg.domain, pg.title, c.heading_ctx, c.chunk_text from ch c left join pg on pg.url = c.url where {_SIM} >= 0.1 order by {_SIM} desc, c.url, c.chunk_index limit 20)"
+
+
+@query(f"""with {_TOP20}, rk as (select *, row_number() over (order by similarity desc, url, chunk_index) as rank from top),
+ h as (select *, '[' || rank || '] ' || coalesce(nullif(title, ''), '제목 없음') || ' (' || coalesce(domain, '') || ')' || chr(10) || 'URL: ' || url || chr(10) || '위치: ' || case when coalesce(heading_ctx, '') <> '' then heading_ctx || ' ' else '' end || '(유사도: ' || printf('%.2f', similarity) || ')' as header from rk),
+ u as (select *, header || chr(10) || chr(10) || chunk_text as section from h), v as (select *, sum(length(section)) over (order by rank) as upto from u),
+ w as (select *, 4000 - (upto - length(section)) - length(header) - 10 as room, (select min(rank) from v where upto > 4000) as over_at from v)
+ select coalesce(string_agg(case when rank = over_at then header || chr(10) || chr(10) || left(chunk_text, room::bigint) || '...' else section end, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by rank), '관련 문서를 찾을 수 없습니다.') as context
+ from w where over_at is null or rank < over_at or (rank = over_at and room > 100)""")
 def search_context(spark, d):
     from .operators import search
 
     return search.format_context(search.search(A.page_chunks(spark, d), A.pages(spark, d), _query_vector(spark, d), 20, 0.1))
 
 
-@query()
-def vector_search_probed(spark, d):
+def _probed(spark, d, lists: int, probes: int, k: int) -> DataFrame:
     from .operators import search
 
     chunks, q = A.page_chunks(spark, d), _query_vector(spark, d)
-    centres = search.learn_centres(chunks, 8)
-    return search.search(search.probe(search.assign_lists(chunks, centres), centres, q, 3), A.pages(spark, d), q, 5, 0.1).select("url", "chunk_index", "similarity")
+    centres = search.learn_centres(chunks, lists)
+    return search.search(search.probe(search.assign_lists(chunks, centres), centres, q, probes), A.pages(spark, d), q, k, 0.1).select("url", "chunk_index", "similarity")
+
+
+@query()
+def vector_search_probed(spark, d):
+    """An inverted file of eight lists, three of them probed; its recall is measured in the tests."""
+    return _probed(spark, d, 8, 3, 5)
+
+
+@query(f"with {_TOP20} select url, chunk_index, similarity from top")
+def vector_search_all_lists(spark, d):
+    """With every list probed the inverted file gives the exact result."""
+    return _probed(spark, d, 8, 8, 20)
 
 
 # --- scalar functions, URLs, HTML, chunker ---------------------------------------------------------------
@@ -417,26 +436,19 @@ def url_functions(spark, d):
     return A.raw_pages(spark, d).select("page_id", n.alias("netloc"), S.path_of("url").alias("path"), S.object_key("url", "html").alias("object_key"), S.url_hash("url").alias("url_hash"), S.shard_of_domain(n, 7).cast("long").alias("shard"), S.session_id("url").alias("session_id"), S.domain_url(n).alias("domain_url"))
 
 
-@query("select doc_id, array_to_string(list_transform(string_split(left(text, 60), ','), lambda x: trim(x, ' '))[1:5], '|') as keywords, regexp_replace(left(text, 80), '[^\\x00-\\x7F]', '', 'g') as ascii_text, trim(regexp_replace(text, '\\s+', ' ', 'g')) as collapsed, case when doc_id % 3 <> 0 then to_timestamp(1700000000 + doc_id)::timestamp end as at, left(text, 10) as cut from documents")
+@query("select doc_id, array_to_string(list_transform(string_split(text, ','), lambda x: trim(x, ' '))[1:5], '|') as keywords, regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') as ascii_text, trim(regexp_replace(text, '\\s+', ' ', 'g')) as collapsed, case when doc_id % 3 <> 0 then to_timestamp(1700000000 + doc_id)::timestamp end as at, left(text, 10) as cut from documents")
 def text_functions(spark, d):
+    """Keywords, ASCII letters and collapsed white space of whole texts; ``cut`` is the function that shortens."""
     from .functions import scalars as S
 
     t = A.table(spark, d, "documents")
     at = S.epoch_to_time(F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") + 1700000000).otherwise(0))
-    return t.select("doc_id", F.array_join(S.keywords(F.substring("text", 1, 60), 5), "|").alias("keywords"), S.ascii_only(F.substring("text", 1, 80)).alias("ascii_text"), S.collapse("text").alias("collapsed"), at.alias("at"), F.substring("text", 1, 10).alias("cut"))
+    return t.select("doc_id", F.array_join(S.keywords("text", 5), "|").alias("keywords"), S.ascii_only("text").alias("ascii_text"), S.collapse("text").alias("collapsed"), at.alias("at"), F.substring("text", 1, 10).alias("cut"))
 
 
 _ROBOTS = "case event_id % 5 when 0 then 'User-agent: *' when 1 then 'Crawl-Delay: ' || event_id % 50 when 2 then 'request-rate: 1/' || event_id % 40 when 3 then 'crawl-delay: 2.5 visit-time: ' || event_id % 9 else null end"
 
 
-@query("select doc_id, array_to_string(list_transform(string_split(text, ','), lambda x: trim(x, ' '))[1:5], '|') as keywords, regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') as ascii_text from documents")
-def text_functions_whole(spark, d):
-    """Keywords and ASCII letters of whole texts."""
-    from .functions import scalars as S
-
-    return A.table(spark, d, "documents").select("doc_id", F.array_join(S.keywords("text", 5), "|").alias("keywords"), S.ascii_only("text").alias("ascii_text"))
-
-
 @query(f"with r as (select event_id, lower(coalesce({_ROBOTS}, '')) as t from events) select event_id, greatest(least(coalesce(nullif(regexp_extract(t, 'crawl-delay:\\s*(\\d+\\.?\\d*)', 1), '')::double, 1.0), 30), least(coalesce(nullif(regexp_extract(t, 'request-rate:\\s*1/(\\d+)', 1), '')::double, 0), 30), least(coalesce(nullif(regexp_extract(t, 'visit-time:\\s*(\\d+)', 1), '')::double, 0), 30)) as delay from r")
 def robots_delay(spark, d):
     from .functions.scalars import crawl_delay
@@ -453,13 +465,30 @@ def priorities(spark, d):
     return A.table(spark, d, "events").select("event_id", p.alias("priority"), S.queue_of(p, F.when(n % 9 == 0, "custom").otherwise("root")).alias("queue"), S.restart_needed(n % 300, (n % 7) * 20.0, n % 100).alias("restart"))
 
 
-@query()
+@query(r"""with p as (select page_id, regexp_extract(url, '^(https?)://', 1) as scheme, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) as host, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) as path, regexp_extract(url, '[?]([^#]*)', 1) as q from pages),
+ k as (select *, array_to_string(list_filter(string_split(q, '&'), lambda x: split_part(x, '=', 2) <> '' and not starts_with(lower(x), 'utm_') and lower(split_part(x, '=', 1)) not in ('ref', 'referrer', 'source', 'fbclid', 'gclid')), '&') as kept from p)
+ select page_id, scheme || '://' || host || coalesce(nullif(path, ''), '/') || case when kept = '' then '' else '?' || kept end as url from k""")
 def normalised_urls(spark, d):
     from .functions.urls import normalise
 
     return A.raw_pages(spark, d).select("page_id", normalise("url").alias("url"))
 
 
+@query(f"select page_id, 'https://' || lower({_NET}) || regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) as seed from pages")
+def normalised_seeds(spark, d):
+    """Seeds without a scheme, from the pages' URLs."""
+    from .functions.urls import normalise_seed
+
+    return A.raw_pages(spark, d).select("page_id", normalise_seed(F.regexp_replace("url", "^https?://", "  ")).alias("seed"))
+
+
+@query(f"select page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/a/b?c=' || page_id as link from pages")
+def absolute_links(spark, d):
+    from .functions.urls import absolute
+
+    return A.raw_pages(spark, d).select("page_id", absolute("url", F.concat(F.lit("/a/x/../b?c="), "page_id")).alias("link"))
+
+
 @query("select page_id, url as text from pages")
 def compressed_round_trip(spark, d):
     from .sources.readers import compress, decompress
@@ -467,22 +496,53 @@ def compressed_round_trip(spark, d):
     return A.raw_pages(spark, d).select("page_id", decompress(compress("url")).alias("text"))
 
 
-@query()
+def _plain(c: str) -> str:
+    """SQL of a text without the entities that the pages hold."""
+    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        c = f"replace({c}, '{entity}', '{char}')"
+    return c
+
+
+def _strings(c: str, glue: str = " ") -> str:
+    """SQL of the stripped strings between tags."""
+    blank = "' ' || chr(9) || chr(10) || chr(13)"
+    return _plain(f"array_to_string(list_filter(list_transform(regexp_split_to_array({c}, '<[^>]*>'), lambda x: trim(x, {blank})), lambda x: x <> ''), '{glue}')")
+
+
+def _without(c: str, *patterns: str) -> str:
+    for p in patterns:
+        c = f"regexp_replace({c}, '{p}', '', 'gs')"
+    return c
+
+
+_TITLE = _plain("regexp_extract(html, '<title>([^<]*)</title>', 1)")
+_LANG = "regexp_extract(html, '<html lang=\"([^\"]*)\"', 1)"
+_ARTICLE = _strings("regexp_extract(html, '<article>(.*?)</article>', 1, 's')")
+_BODY = _strings(_without("regexp_extract(html, '<body>(.*)', 1, 's')", "<nav>.*?</nav>", "<footer>.*?</footer>", "<!--.*?-->"))
+_FAST = "route = 'fast'"
+
+
+@query(f"""with {SCORED} select page_id, true as success, route as processor_type, case when {_FAST} then left(trim({_TITLE}), 200) else {_TITLE} end as title, case when {_FAST} then left({_LANG}, 10) end as language,
+ case when {_FAST} then 'H1: ' || left(trim({_plain("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}), 100) else '' end as headings, 0 as n_links, 0 as n_images, left(case when {_FAST} then {_ARTICLE} else {_BODY} end, 10000) as plain_text, length(html)::int as content_length from s""")
 def extracted_pages(spark, d):
+    """Both routes' extraction of all pages, but for Markdown; their links all stand in navigation, which goes."""
     from . import api
 
-    p = api.process(A.raw_pages(spark, d))
-    return p.select("page_id", "success", "processor_type", "extracted.*")
+    x, p = F.col("extracted"), api.process(A.raw_pages(spark, d))
+    return p.select("page_id", "success", "processor_type", x["title"].alias("title"), x["language"].alias("language"), F.array_join(x["headings"], "|").alias("headings"), F.size(x["links"]).alias("n_links"), F.size(x["images"]).alias("n_images"), x["plain_text"].alias("plain_text"), x["content_length"].alias("content_length"))
 
 
-@query()
+@query(f"select page_id, trim({_TITLE}) as title, {_LANG} as language, null::varchar as description, null::varchar as author, null::varchar as canonical_url, '' as keywords from pages")
 def page_metadata(spark, d):
     from .functions.html import metadata
 
-    return A.raw_pages(spark, d).select("page_id", metadata("html").alias("m")).select("page_id", "m.*")
+    m = A.raw_pages(spark, d).select("page_id", metadata("html").alias("m"))
+    return m.select("page_id", "m.title", "m.language", "m.description", "m.author", "m.canonical_url", F.array_join("m.keywords", ",").alias("keywords"))
 
 
-@query()
+@query(f"""with t as (select *, {_without("html", "<script>.*?</script>", "<style>.*?</style>", "<!--.*?-->", "<!DOCTYPE[^>]*>")} as h from pages)
+ select page_id, trim({_TITLE}) as title, trim(regexp_replace({_plain("array_to_string(regexp_split_to_array(h, '<[^>]*>'), ' ')")}, '\\s+', ' ', 'g')) as content_text,
+ '{{"content_length": ' || length(html) || ', "url_path": "' || regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) || '"}}' as metadata from t""")
 def legacy_extraction(spark, d):
     from .functions.html import legacy
 
@@ -535,14 +595,15 @@ def discovered_outcomes(spark, d):
 _SCOPED = "o as (select u.*, case when row_number() over (partition by url order by arrival) > 1 then 'dedup_pending' when domain <> 'd3.example.com' or not starts_with('/p/' || arrival % 40, '/p/1') then 'scope_filtered' when arrival % 5 > 3 then 'scope_depth_limit' end as outcome from u)"
 
 
-@query(f"with {FOUND}, {_SCOPED}, c as (select *, case when outcome is null and row_number() over (partition by outcome is null order by arrival) > 4 then 'scope_page_limit' else coalesce(outcome, 'added') end as final from o) select url, arrival, final as outcome from c")
+@query(f"with {FOUND}, {_SCOPED}, c as (select *, case when outcome is null and row_number() over (partition by outcome is null order by arrival) > 4 then 'scope_page_limit' else coalesce(outcome, 'added') end as final from o), z as (select *, row_number() over (partition by final = 'added' order by arrival) as k from c) select url, arrival, final as outcome, case when final = 'added' then (arrival % 5)::bigint end as depth, case when final = 'added' then k end as pages from z")
 def scoped_outcomes(spark, d):
     from .operators import frontier
 
     u, done, _ = _found(spark, d)
     scope = F.struct(F.lit("https://d3.example.com/").alias("seed_url"), F.lit("d3.example.com").alias("allowed_domain"), F.lit("/p/1").alias("path_prefix"), F.lit(3).alias("max_depth"), F.lit(4).alias("max_pages"))
     none = done.where("false")
-    return frontier.add_scoped(u.withColumn("scope", scope).withColumn("current_depth", F.col("arrival") % 5), none, none, 3).select("url", "arrival", "outcome")
+    out, added = frontier.add_scoped(u.withColumn("scope", scope).withColumn("current_depth", F.col("arrival") % 5), none, none, 3), F.col("outcome") == "added"
+    return out.select("url", "arrival", "outcome", F.when(added, F.col("scope.current_depth")).alias("depth"), F.when(added, F.col("scope.pages_crawled").cast("long")).alias("pages"))
 
 
 QUEUES = CR + ", qs as (select id, (id % 3)::int as shard, 'https://q/' || id as url, case when id % 11 = 0 then 'priority_custom' when id <= 1000 then 'priority_high' when id <= 3000 then 'priority_medium' when id <= 6000 then 'priority_normal' else 'priority_low' end as queue, (1000 - id % 97)::int as priority from cr where id % 2 = 0), st as (select (id % 3)::int as shard, domain, case id % 10 when 1 then 'processing' when 3 then 'failed' else 'completed' end as state from cr where id % 2 = 1)"
@@ -584,11 +645,12 @@ def domain_summary(spark, d):
     return frontier.domain_summary(_queues(spark, d)[1])
 
 
-@query(f"with {QUEUES}, b as (select *, row_number() over (partition by queue order by priority desc, url desc) as r from qs), k as (select url, row_number() over (order by {_QRANK}, r) as position from b where r <= 20) select url, position from k where position <= 50")
+@query(f"with {QUEUES}, b as (select *, row_number() over (partition by shard, queue order by priority desc, url desc) as r from qs), k as (select url, shard, row_number() over (order by list_position([1, 2, 0], shard), {_QRANK}, r) as position from b where r <= 20) select url, shard, position from k where position <= 150")
 def next_batch(spark, d):
+    """Three shards in the order that the seed gives, each queue with its best few."""
     from .operators import frontier
 
-    return frontier.next_batch(_queues(spark, d)[0].withColumn("shard", F.lit(0)), 50).select("url", F.col("position").cast("long"))
+    return frontier.next_batch(_queues(spark, d)[0], 150).select("url", "shard", F.col("position").cast("long"))
 
 
 @query(f"with {QUEUES} select url from qs order by {_QRANK}, priority desc, url desc limit 30")
@@ -605,30 +667,25 @@ def due_retries(spark, d):
     return frontier.due_retries(_queues(spark, d)[0].withColumn("due", F.col("id").cast("double")), 900.0).select("url", "priority")
 
 
-@query(f"select page_id + 1 as rank, {_NET} as domain, 'https://' || {_NET} || '/' as url, case when page_id < 100 then 1000 else 900 end as priority, 'priority_high' as queue from pages where page_id < 400")
-def prepared_queue(spark, d):
-    return _prepared(A.raw_pages(spark, d).where("page_id < 400"))
-
-
 @query(f"with r as (select page_id + 1 as rank, {_NET} as domain from pages), p as (select *, case when rank <= 100 then 1000 when rank <= 1000 then 900 when rank <= 10000 then 800 when rank <= 100000 then 700 else 600 end as priority from r) select rank, domain, 'https://' || domain || '/' as url, priority, case when priority >= 900 then 'priority_high' when priority >= 800 then 'priority_medium' when priority >= 700 then 'priority_normal' else 'priority_low' end as queue from p")
-def prepared_queue_all(spark, d):
-    return _prepared(A.raw_pages(spark, d))
-
-
-def _prepared(pages: DataFrame) -> DataFrame:
-    from .operators import frontier
+def prepared_queue(spark, d):
     from .functions.scalars import netloc
+    from .operators import frontier
 
-    ranks = pages.select((F.col("page_id") + 1).alias("rank"), netloc("url").alias("domain"))
+    ranks = A.raw_pages(spark, d).select((F.col("page_id") + 1).alias("rank"), netloc("url").alias("domain"))
     return frontier.prepare(ranks, 3).select("rank", "domain", "url", "priority", "queue")
 
 
-@query()
+@query(f"""with {QUEUES}, q as (select id, url, queue, priority, case when shard = 1 or (shard = 2 and id % 100 <> 2) then 0 else shard end as shard from qs),
+ l as (select s.shard, count(q.url) as load from (values (0), (1), (2)) s(shard) left join q on q.shard = s.shard group by s.shard), m as (select avg(load) as mean, arg_min(shard, (load, shard)) as least, min(load) as low from l),
+ c as (select q.*, least, row_number() over (partition by q.shard, queue order by priority, url) as r, least(10, count(*) filter (where queue = 'priority_low') over (partition by q.shard)) as n_low from q join l on l.shard = q.shard, m where load > mean * 1.5 and low < mean * 0.5 and queue in ('priority_low', 'priority_normal'))
+ select url, queue, least::int as shard from c where (queue = 'priority_low' and r <= n_low) or (queue = 'priority_normal' and r <= least(10, 25 - n_low))""")
 def rebalanced(spark, d):
+    """Rows that move when almost all of three shards' queues stand in one of them."""
     from .operators import frontier
 
     q, s = _queues(spark, d)
-    q = q.where("shard <> 2 or id % 100 = 2").withColumn("shard", F.when(F.col("shard") == 1, 0).otherwise(F.col("shard")))
+    q = q.withColumn("shard", F.when((F.col("shard") == 1) | ((F.col("shard") == 2) & (F.col("id") % 100 != 2)), 0).otherwise(F.col("shard")))
     return frontier.rebalance(q, s.where("false"), 3).where("moved").select("url", "queue", "shard")
 
 
@@ -664,12 +721,14 @@ def first_arrivals(spark, d):
     return merge.first_by_url(A.crawl_results(spark, d).select(F.col("domain").alias("url"), "id", "crawl_time"), "crawl_time").select("url", F.col("id").alias("first_id"))
 
 
-@query(f"with {CR} select url, error_message, error_type from cr where not success and worker_id is null")
+@query(f"""with {CR} select url, error_message, error_type, '{{"id":' || id || ',"url":"' || url || '","shard_id":' || shard_id || coalesce(',"status_code":' || status_code, '') || coalesce(',"error_type":"' || error_type || '"', '') || coalesce(',"error_message":"' || error_message || '"', '') || '}}' as raw_data from cr where not success and worker_id is null""")
 def dead_letters(spark, d):
+    """Failures without a worker; their records as JSON leave out what is null."""
     from .operators import merge
 
     _, bad = merge.split_valid(A.crawl_results(spark, d).where("not success"), ("worker_id",))
-    return merge.dead_letters(bad, F.col("error_type"), F.col("error_message"), F.col("crawl_time")).select("url", "error_message", "error_type")
+    bad = bad.select("id", "url", "shard_id", "status_code", "error_type", "error_message")
+    return merge.dead_letters(bad, F.col("error_type"), F.col("error_message"), F.lit(0)).select("url", "error_message", "error_type", "raw_data")
 
 
 @query(f"with {CR} select domain, id from cr qualify row_number() over (partition by domain order by crawl_time desc) <= 2")
@@ -679,24 +738,27 @@ def last_history(spark, d):
     return merge.last_n(A.crawl_results(spark, d), "domain", "crawl_time", 2).select("domain", "id")
 
 
-@query()
+@query(f"""with {SCORED} select url, coalesce(nullif(domain, ''), 'unknown') as domain, case when {_FAST} then left(trim({_TITLE}), 200) else {_TITLE} end as title, null::varchar as description, case when {_FAST} then left({_LANG}, 10) end as language, '' as keywords, route as processor, score as static_score,
+ case when score >= 80 then 'Score ' || score || ' >= 80: Static page, suitable for BeautifulSoup' else 'Score ' || score || ' < 80: Dynamic page, requires Crawl4AI' end as route_reason, domain || '/' || {_KEY} || '.html' as raw_html_key, domain || '/' || {_KEY} || '.md' as markdown_key,
+ length(html)::bigint as raw_size_bytes, 200 as status_code, 'text/html' as content_type, to_timestamp(1700000000 + page_id)::timestamp as crawled_at, to_timestamp(1700000001 + page_id)::timestamp as processed_at from s""")
 def stored_pages(spark, d):
+    """Page rows of the processed pages, but for the length of their Markdown."""
     from . import api
     from .operators import merge
 
     p = api.process(A.raw_pages(spark, d)).withColumns({"status_code": F.lit(200), "content_type": F.lit("text/html"), "original_timestamp": F.col("page_id") + 1.7e9, "processor_timestamp": F.col("page_id") + 1.7e9 + 1})
-    return merge.page_records(p)
+    return merge.page_records(p).withColumn("keywords", F.array_join("keywords", ",")).drop("markdown_size_bytes")
 
 
 # --- streams ---------------------------------------------------------------------------------------------
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    import tempfile
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    from .sources.readers import shared_folder
+
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -727,38 +789,27 @@ def stream_routes(spark, d):
     return read[0].unionByName(read[1]).select("page_id", "score", "route")
 
 
-@query("select 'd' || event_id % 23 as key, event_id::varchar as url, case when row_number() over (partition by event_id % 23 order by event_id) <= 100 then 'added' else 'domain_limit' end as outcome from events where event_id < 5000")
-def stream_domain_cap(spark, d):
-    """A cap per domain over the first 5000 events of a stream, with one counter of state a domain."""
-    return _domain_cap(spark, _stream(spark, d, "events").where("event_id < 5000"))
-
-
 @query("select 'd' || event_id % 23 as key, event_id::varchar as url, case when row_number() over (partition by event_id % 23 order by event_id) <= 100 then 'added' else 'domain_limit' end as outcome from events")
-def stream_domain_cap_all(spark, d):
-    """The same cap over all events."""
-    return _domain_cap(spark, _stream(spark, d, "events"))
-
-
-def _domain_cap(spark: SparkSession, events: DataFrame) -> DataFrame:
+def stream_domain_cap(spark, d):
+    """A cap per domain over a whole stream, with one counter of state a domain."""
     from .streaming.pipeline import cap_per_key
 
-    e = events.select(F.concat(F.lit("d"), F.col("event_id") % 23).alias("domain"), F.col("event_id").cast("string").alias("url"), F.col("event_id").alias("arrival"))
+    e = _stream(spark, d, "events").select(F.concat(F.lit("d"), F.col("event_id") % 23).alias("domain"), F.col("event_id").cast("string").alias("url"), F.col("event_id").alias("arrival"))
     out = _folder(spark, "cap")
     q = cap_per_key(e, "domain", 100).writeStream.outputMode("append").option("checkpointLocation", out + "/c").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/t/batch={i}")).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(out + "/t").select("key", "url", "outcome")
 
 
-@query(f"with {CR} select id, crawl_time from cr where not success and error_type in ('timeout', 'connection_error')")
+@query(f"with {CR} select id, crawl_time, 1000.0::double + 30 * 60 as due from cr where not success and error_type in ('timeout', 'connection_error')")
 def retry_due(spark, d):
     from .streaming.pipeline import retry_times
 
-    return retry_times(A.crawl_results(spark, d).where("not success"), 0.0).select("id", "crawl_time")
+    return retry_times(A.crawl_results(spark, d).where("not success"), 1000.0).select("id", "crawl_time", "due")
 
 
 _cr("crawl_summary", f"select count(distinct domain) as domains, count(*) as pages, {BADN}::bigint as errors, round({BADN} / count(*)::double, 4) as error_rate, round(avg(response_time), 4) as avg_delay from cr", reports.crawl_summary)
-_cr("shard_dashboard", "with_g", lambda r: reports.dashboard(r).drop("top_error"))
-ORACLE["shard_dashboard"] = f"with {CR}, g as (select shard_id, error_type, count(*) as n, sum(success::int) as s from cr group by all) select shard_id, sum(n)::bigint as tried, sum(s)::bigint as succeeded, (sum(n) - sum(s))::bigint as failed, max(case when error_type is not null then n end) as top_error_count from g group by shard_id"
+_cr("shard_dashboard", "select shard_id, sum(n)::bigint as tried, sum(s)::bigint as succeeded, (sum(n) - sum(s))::bigint as failed, arg_min(error_type, (-n, error_type)) filter (where error_type is not null) as top_error, max(n) filter (where error_type is not null) as top_error_count from (select shard_id, error_type, count(*) as n, sum(success::int) as s from cr group by all) group by shard_id", reports.dashboard)
 
 
 @query("select page_id, regexp_extract(url, '^(?:[^:/?#]+:)?//([^/?#]*)', 1) as key, strlen(html) as raw_size from pages where page_id % 5 <> 0")

@@ -14,6 +14,18 @@ from ..functions import scalars, urls
 from ..functions.arrow import arrow_udf
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share; a session within one process may use a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        import tempfile
+
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"file://{tempfile.gettempdir()}"
+    return root.rstrip("/")
+
+
 def rank_list(spark: SparkSession, path: str) -> DataFrame:
     """(rank, domain) of a two-column CSV; malformed lines are dropped."""
     return spark.read.schema(schemas.RANK_LIST).option("mode", "DROPMALFORMED").csv(path)
