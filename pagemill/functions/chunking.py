@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -120,7 +121,35 @@ class HashEmbedder:
         return out / np.where(norm == 0, 1, norm)
 
 
-EMBEDDERS = {"local": HashEmbedder, "hash": HashEmbedder}
+class RemoteEmbedder:
+    """Vectors of a service that takes {model, input: [texts]} and answers {data: [{embedding}]}; a batch of texts a request.
+
+    ``post`` sends a JSON body and gives the decoded answer; the standard library does it if none is given.
+    """
+
+    def __init__(self, url: str, model: str, key: str = "", dimension: int = 1536, batch: int = 64, post: Callable[[str, dict, dict], dict] | None = None):
+        self.url, self.model, self.key, self.dimension, self.batch, self.post = url, model, key, dimension, batch, post or _post
+
+    def embed_batch(self, texts: list[str]) -> np.ndarray:
+        out: list[list[float]] = []
+        for i in range(0, len(texts), self.batch):
+            part = texts[i : i + self.batch]
+            data = self.post(self.url, {"model": self.model, "input": part}, {"Authorization": f"Bearer {self.key}"})["data"]
+            if len(data) != len(part) or any(len(x["embedding"]) != self.dimension for x in data):
+                raise ValueError("the service's answer has another shape than was asked for")
+            out += [x["embedding"] for x in data]
+        return np.asarray(out, np.float32).reshape(len(texts), self.dimension)
+
+
+def _post(url: str, body: dict, headers: dict) -> dict:
+    from urllib.request import Request, urlopen
+
+    request = Request(url, json.dumps(body).encode(), {"Content-Type": "application/json", **headers})
+    with urlopen(request, timeout=60) as answer:
+        return json.load(answer)
+
+
+EMBEDDERS = {"local": HashEmbedder, "hash": HashEmbedder, "remote": RemoteEmbedder}
 
 
 def create_embedder(kind: str | None = None, **options):

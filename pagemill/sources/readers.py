@@ -149,3 +149,8 @@ def raw_page_messages(crawled: DataFrame) -> DataFrame:
 def raw_page_failures(crawled: DataFrame) -> DataFrame:
     """Dead letters of pages that could not be fetched, keyed by host."""
     return crawled.where("not success").select(scalars.netloc("url").alias("key"), "url", "error_type", F.substring("error_message", 1, 1000).alias("error_message"), "timestamp")
+
+
+def decoded(records: DataFrame, schema: str, column: str = "raw_data") -> DataFrame:
+    """Records of a JSON column by their schema; what is no JSON gives nulls."""
+    return records.select(F.from_json(column, schema).alias("r")).select("r.*")

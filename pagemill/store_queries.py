@@ -205,3 +205,113 @@ def fixed_chunks(spark, d):
 
     text = "intro\n\n# One\n\nBody of one, long enough to stand as a chunk by itself.\n\n## Two\n" + "word " * 100 + "\n\n# Three\n" + "x" * 600 + "\n\n# Four\nend"
     return chunk_rows(spark.createDataFrame([("u", text), ("short", "tiny"), ("", text)], "url string, markdown string"))
+
+
+#: A snippet for each rule, and the rules with their weights that it must hit, written out apart from the rules' own tables.
+SNIPPETS = (
+    ("<script id=__NEXT_DATA__>", "next_js -25"), ("window.__NUXT__=1", "nuxt_js -20"), ("<b ng-app>", "angular -40"), ('<div id="root"> </div>', "react_csr -35"), ("<i data-reactroot>", "react_ssr -10"), ("<i v-cloak>", "vue_js -30"),
+    ('<i class="svelte-1x">', "svelte -20"), ('<script src="/a/chunk.0af1.js" defer>1', "webpack_bundle -20"), ('<script src="/a.js"> </script>', "heavy_js -5"), ('<img loading="lazy">', "lazy_loading -15"), ("load more", "infinite_scroll -10"),
+    ("axios.get", "ajax_content -25"), ("<noscript>turn on a browser", "noscript_warning -20"), ('<i class="my-spinner">', "loading_ui -25"), ("<body> <div></div> </body>", "empty_body -40"), ("history.push", "spa_router -15"), ('<template id="x">', "web_components -15"),
+    ("<article>", "article_tag 20"), ('<i id="main">', "main_content 15"), ("<h1>a</h1>", "header_structure 10"), ("<p>" + "x" * 200 + "</p>", "long_paragraphs 15"), ("<p>a</p>\n<p>b</p>\n<p>c</p>", "multiple_paragraphs 10"), ("generator Hugo", "static_generator 25"),
+    ('<meta name="description" content="' + "x" * 50 + '">', "ssr_content 10"), ("<table>\n<tr></tr></table>", "table_data 10"), ("<ul>\n<li>a</li><li>b</li><li>c</li></ul>", "list_content 10"), ("wp-includes", "wordpress 15"), ("generator: Drupal", "cms_meta 15"),
+    ("<p>plain text", ""), ("<ARTICLE>NG-APP", "angular -40,article_tag 20"),
+)
+
+
+@query("select * from (values " + ", ".join(f"({i}::bigint, '{hits}', {100 - 35 + sum(int(h.split()[1]) for h in hits.split(',') if h)})" for i, (_, hits) in enumerate(SNIPPETS)) + ") t(id, hits, raw_score)")
+def fixed_rules(spark, d):
+    """Each rule by a snippet of its own: what it hits, and the score of so short a page."""
+    from .functions import scoring
+
+    pages = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(SNIPPETS)], "id long, html string")
+    names = F.array(*[F.lit(f"{n} {x}") for n, x, _ in scoring.rules()])
+    hits = F.filter(F.arrays_zip(scoring.signals("html")["hits"].alias("hit"), names.alias("name")), lambda x: x["hit"])
+    return scoring.analyse(pages.withColumn("hits", F.array_join(F.transform(hits, lambda x: x["name"]), ","))).select("id", "hits", F.col("raw_score").cast("int"))
+
+
+# --- sessions, buffers, expansion, messages ----------------------------------------------------------------------
+
+_SESSIONS = f"{CR}, h as (select 's' || id % 11 as session_id, crawl_time as timestamp, id from cr), n as (select max(timestamp) - interval '40 hours' as now from h)"
+
+
+def _history(spark, d):
+    h = A.crawl_results(spark, d).select(F.concat(F.lit("s"), F.col("id") % 11).alias("session_id"), F.col("crawl_time").cast("timestamp").alias("timestamp"), "id")
+    return h, h.agg(F.max("timestamp").alias("t")).first().t
+
+
+@query(f"with {_SESSIONS} select session_id, max(id) as id from (select session_id, first_value(id) over (partition by session_id order by timestamp desc) as id from h where timestamp > (select now from n) - interval '8 hours') group by session_id")
+def session_progress(spark, d):
+    """The last record of each session that is not older than two days."""
+    from .operators import progress
+
+    h, last = _history(spark, d)
+    return progress.latest_progress(progress.alive(h, F.lit(last).cast("timestamp"))).select("session_id", "id")
+
+
+@query(f"with {_SESSIONS} select session_id, count(*) as n, min(id) as first from (select *, row_number() over (partition by session_id order by timestamp desc, id desc) as r from h) where r <= 100 group by session_id")
+def session_history(spark, d):
+    from .operators import progress
+
+    h, _ = _history(spark, d)
+    order = h.withColumn("at", F.struct("timestamp", "id"))
+    return progress.trimmed_history(order, time="at").groupBy("session_id").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+
+
+@query(f"with {_SESSIONS}, b as (select session_id, timestamp - to_hours((substr(session_id, 2)::int * 24)) as start_time, id from h), z as (select max(start_time) as t from b), o as (select session_id from b group by session_id having min(start_time) < (select t from z) - interval '35 days') select id from b where session_id not in (select session_id from o)")
+def session_cleanup(spark, d):
+    """Rows of sessions that began within thirty-five days of the last start."""
+    from .operators import progress
+
+    h, _ = _history(spark, d)
+    b = h.withColumn("start_time", (F.col("timestamp") - F.make_dt_interval(hours=F.substring("session_id", 2, 9).cast("int") * 24)))
+    last = b.agg(F.max("start_time").alias("t")).first().t
+    return progress.without_old_sessions(b, F.lit(last).cast("timestamp"), 35).select("id")
+
+
+@query("select 'w' || event_id % 4 as writer, event_id // 4 // 25 as flush, count(*) as n from events group by all")
+def buffer_flushes(spark, d):
+    """Writers' buffers of 25 rows, or five seconds, of rows that come 0.1 seconds apart."""
+    from .operators import progress
+
+    e = A.table(spark, d, "events").select(F.concat(F.lit("w"), F.col("event_id") % 4).alias("writer"), (F.col("event_id") / 40).alias("at"))
+    return progress.flushes(e, "writer", "at", 25, 5.0).groupBy("writer", "flush").agg(F.count("*").alias("n"))
+
+
+@query("""with recursive l as (select event_id as s, (event_id * 3 + k) % (select count(*) from events) as t from events, (values (1), (2)) v(k)), r(u, depth) as (select event_id, 0 from events where event_id < 5 union select l.t, r.depth + 1 from r join l on l.s = r.u where r.depth < 4)
+ select 'u' || u as url, min(depth)::int as depth from r group by u""")
+def expanded_links(spark, d):
+    """Links followed from five seeds to a depth of four, each URL once."""
+    from .operators import progress
+
+    e = A.table(spark, d, "events")
+    n, out = e.count(), _folder(spark, "depth")
+    url = lambda c: F.concat(F.lit("u"), c)
+    links = e.select("event_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("k")).select(url("event_id").alias("source_url"), url((F.col("event_id") * 3 + F.col("k")) % n).alias("url"))
+
+    def put(level, depth):
+        level.write.parquet(f"{out}/{depth}")
+        return spark.read.parquet(f"{out}/{depth}")
+
+    return progress.expand(e.where("event_id < 5").select(url("event_id").alias("url")), links, 4, put)
+
+
+@query(f"""with {CR} select 'throughput' as metric_type, '{{"shard_id":' || shard_id || ',"n":' || count(*) || '}}' as data from cr group by shard_id""")
+def metrics_messages(spark, d):
+    from .operators import progress
+
+    n = A.crawl_results(spark, d).groupBy("shard_id").agg(F.count("*").alias("n"))
+    return progress.metric_events(n, "throughput", F.lit(0.0)).select("metric_type", "data")
+
+
+@query("select count(*) filter (where length(html) < 5000) as success, count(*) filter (where length(html) >= 5000) as failed from pages")
+def sent_messages(spark, d):
+    from .operators import progress
+
+    return progress.send_outcome(A.raw_pages(spark, d), F.length("html") < 5000)
+
+
+@query("select event_id as id, event_id % 7 as k from events")
+def decoded_records(spark, d):
+    """Records written as JSON and read again."""
+    e = A.table(spark, d, "events").select(F.to_json(F.struct(F.col("event_id").alias("id"), (F.col("event_id") % 7).alias("k"))).alias("raw_data"))
+    return readers.decoded(e, "id long, k long")

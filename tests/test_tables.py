@@ -197,3 +197,58 @@ def test_report_sections(spark, small):
     out = api.failure_report(r, adapters.AS_OF, 24 * 31, "d7.example.com")
     assert set(out) == {"overall", "errors", "domains", "times", "domain", "domain_errors"} and out["overall"].first().total_requests > 0
     assert reports.dlq_stats_if_exists(spark, "nothing_here", adapters.AS_OF).first().dlq_total == 0
+
+
+def test_batches_of_rows(spark):
+    from pagemill.operators import progress
+
+    got = list(progress.in_batches(spark.range(25, numPartitions=3), 10))
+    assert [len(b) for b in got] == [10, 10, 5] and sorted(r.id for b in got for r in b) == list(range(25))
+
+
+def test_remote_embedder(spark):
+    from pagemill.functions import chunking
+
+    asked = []
+
+    def post(url, body, headers):
+        asked.append((url, len(body["input"]), headers["Authorization"]))
+        return {"data": [{"embedding": [float(len(t)), 1.0]} for t in body["input"]]}
+
+    e = chunking.create_embedder("remote", url="https://e", model="m", key="k", dimension=2, batch=2, post=post)
+    assert e.embed_batch(["a", "bb", "ccc"]).tolist() == [[1, 1], [2, 1], [3, 1]] and asked == [("https://e", 2, "Bearer k"), ("https://e", 1, "Bearer k")]
+    assert e.embed_batch([]).shape == (0, 2)
+    with pytest.raises(ValueError, match="shape"):
+        chunking.create_embedder("remote", url="u", model="m", dimension=3, post=post).embed_batch(["a"])
+
+
+def test_flushes_by_age(spark):
+    from pagemill.operators import progress
+
+    rows = spark.createDataFrame([("a", t) for t in (0.0, 1.0, 4.9, 5.0, 5.1, 30.0)] + [("b", 0.0)], "w string, t double")
+    got = sorted((r.w, r.t, r.flush) for r in progress.flushes(rows, "w", "t", 3, 5.0).collect())
+    assert [f for _, _, f in got] == [0, 0, 0, 1, 1, 2, 0]
+
+
+def test_recall_of_the_inverted_file(spark):
+    """The five nearest chunks by three of eight lists, for every twentieth vector, against all chunks."""
+    import numpy as np
+
+    from pagemill.operators import search
+
+    sf = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
+    centres = search.learn_centres(rows, 8)
+    lists = {r.id: r.list_id for r in search.assign_lists(rows, centres).select("id", "list_id").collect()}
+    vectors = {r.id: np.array(r.embedding, float) for r in rows.collect()}
+    ids = sorted(vectors)
+    unit = np.array([vectors[i] / np.linalg.norm(vectors[i]) for i in ids])
+    c = np.array(centres)
+    found = total = 0
+    for k in range(0, len(ids), 20):
+        probed = set(np.argsort(-(c @ unit[k]) / np.linalg.norm(c, axis=1), kind="stable")[:3].tolist())
+        best = np.argsort(-(unit @ unit[k]), kind="stable")[:5]
+        found += sum(lists[ids[j]] in probed for j in best)
+        total += 5
+    assert found >= 0.6 * total, found / total
+    print("recall", found / total)
