@@ -549,16 +549,29 @@ def legacy_extraction(spark, d):
     return A.raw_pages(spark, d).select("page_id", legacy("html", "url").alias("m")).select("page_id", "m.*")
 
 
-@query()
+_LINKED = _without("html", "<nav>.*?</nav>", "<footer>.*?</footer>", "<!--.*?-->")
+
+
+@query(f"""with h as (select url, list_filter(regexp_extract_all({_LINKED}, '<a [^>]*href="(/[^"]*)"', 1), lambda x: x <> '') as hrefs from pages)
+ select url as source_url, 1 as current_depth, (generate_subscripts(hrefs, 1) - 1)::int as position, regexp_extract(url, '^(https?://[^/?#]+)', 1) || unnest(hrefs) as url from h""")
 def discovered_links(spark, d):
+    """Links of all pages outside of navigation, as they go to the frontier."""
     from . import api
     from .streaming.pipeline import discovered
 
     return discovered(api.process(A.raw_pages(spark, d)))
 
 
-@query()
+@query(r"""with t as (select doc_id, trim(text, ' ' || chr(9) || chr(10) || chr(13)) as body from documents where length(text) >= 200),
+ p as (select doc_id, body, list_filter(list_transform(string_split(regexp_replace(body, '\n\n+', chr(2), 'g'), chr(2)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), lambda x: x <> '') as parts from t where body <> ''),
+ g as (select doc_id, case when length(body) <= 500 then body else list_reduce(parts, lambda a, x: case when length(string_split(a, chr(1))[-1]) + 2 + length(x) <= 500 then a || chr(10) || chr(10) || x else a || chr(1) || x end) end as pieces from p),
+ s as (select doc_id, list_transform(string_split(pieces, chr(1)), lambda y: case when length(y) <= 500 then y else list_reduce(string_split(regexp_replace(y, '([.!?])\s+', '\1' || chr(2), 'g'), chr(2)), lambda a, x: case when length(string_split(a, chr(1))[-1]) + 1 + length(x) <= 500 then a || ' ' || x else a || chr(1) || x end) end) as pieces from g),
+ c as (select doc_id, flatten(list_transform(string_split(array_to_string(pieces, chr(1)), chr(1)), lambda y: list_transform(range(0, length(y), 500), lambda k: y[k + 1:k + 500]))) as pieces from s),
+ m as (select doc_id, string_split(list_reduce(pieces, lambda a, x: case when length(string_split(a, chr(1))[-1]) < 50 then a || chr(10) || chr(10) || x else a || chr(1) || x end), chr(1)) as pieces from c),
+ f as (select doc_id, case when len(pieces) > 1 and length(pieces[-1]) < 50 then list_append(pieces[1:-3], pieces[-2] || chr(10) || chr(10) || pieces[-1]) else pieces end as pieces from m)
+ select 'doc:' || doc_id as url, unnest(range(0, least(len(pieces), 20)))::int as chunk_index, trim(unnest(pieces[1:20]), ' ' || chr(9) || chr(10) || chr(13)) as chunk_text, '' as heading_ctx from f""")
 def document_chunks(spark, d):
+    """Chunks of the documents, which have no headings."""
     from .functions.chunking import chunk_rows
 
     docs = A.table(spark, d, "documents").select(F.concat(F.lit("doc:"), "doc_id").alias("url"), F.col("text").alias("markdown"))
