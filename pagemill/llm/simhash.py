@@ -140,7 +140,10 @@ def links_of(prints: DataFrame, scratch: Scratch, most_bits: int = 2) -> DataFra
     balls = crowded.select("fp", F.explode(F.transform(flips, lambda x: F.col("fp").bitwiseXOR(x))).alias("ball"))
     least = balls.groupBy("ball").agg(F.min("fp").alias("v"), F.collect_set("fp").alias("all")).where(F.size("all") > 1)
     stars = least.select(F.explode("all").alias("u"), "v").where("u <> v").where(near)
-    return pairs.union(stars).distinct()
+    # Written, so that the keys can go.
+    links = scratch.put(pairs.union(stars).distinct().repartition(max(8, int(scratch.spark.conf.get("spark.sql.shuffle.partitions")) // 8)))
+    met.unpersist()
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 3, most_bits: int = 2, similarity: float | None = None) -> DataFrame:
@@ -157,7 +160,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scratch = Scratch(docs.sparkSession, "simhash")
     marked = scratch.hold(fingerprints(docs, id_col, text_col, words_in_shingle))
     nodes = scratch.hold(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(scratch.hold(links_of(nodes, scratch, most_bits)), scratch)
+    links = links_of(nodes, scratch, most_bits)
+    roots = components(links, scratch)
+    scratch.drop(links)
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.join(apart(rooted.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("fp", "component")
     return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component")
