@@ -7,6 +7,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 os.environ["TZ"] = "UTC"
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # tasks run side by side already
 time.tzset()
 sys.path.insert(0, ROOT)
 SMALL = "/root/testdata/sf0.001"
