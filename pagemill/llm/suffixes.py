@@ -18,7 +18,6 @@ at last as single windows. The first level's runs are those of ``repeats``.
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -60,10 +59,11 @@ def multikey_quicksort(keys: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def settle(runs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Runs (rows of ``ROW``) that repeat whole, one run of each context of names with several contexts, and the table of both.
+def settle(runs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Runs (rows of ``ROW``) that repeat whole, and one run of each context of names with several contexts.
 
-    Runs as (id, rid, at, n, lead). A context cut by a splitter may give one run for each bucket.
+    Both as written tables (id, rid, at, n, lead), so that what they come from can go. A context cut by a splitter
+    may give one run for each bucket.
     """
     ddl = f"bucket int, edge tinyint, whole boolean, open boolean, {ROW}"
     names = [f.name for f in schema_of(ddl)]
@@ -111,10 +111,15 @@ def settle(runs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, Dat
             opened += [tuple(x[c] for c in mark) for x in xs if not x.open]
     kind = schema_of("id bigint, rid bigint, at int, n int, lead int")
 
-    def with_edges(df: DataFrame, more: list[tuple]) -> DataFrame:
-        return df.union(session.createDataFrame(more, kind)) if more else df
+    files = max(4, int(session.conf.get("spark.sql.shuffle.partitions")) // 16)
 
-    return with_edges(found.where("whole").select(*mark), whole), with_edges(found.where("open").select(*mark), opened), found
+    def written(flag: str, more: list[tuple]) -> DataFrame:
+        df = found.where(flag).select(*mark)
+        return scratch.put((df.union(session.createDataFrame(more, kind)) if more else df).repartition(files))
+
+    out = written("whole", whole), written("open", opened)
+    found.unpersist()
+    return out
 
 
 def finer(texts: DataFrame, width: int, step: int) -> DataFrame:
@@ -169,19 +174,16 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     step = min(STEP, max(1, width // 8))
     part = min(PART, max(1, width // 2))
     first = scratch.put(anchors(rows, byte_values, width, part, tokens=True))
-    whole, opened, found = settle(first, scratch)
-    texts = dealt_texts(rows, scratch)
-    gone, held = [whole], [found]
+    whole, opened = settle(first, scratch)
+    scratch.drop(first)
+    texts, marks = dealt_texts(rows, scratch), whole
     for s in [step, 1] if step > 1 else [1]:
         runs = scratch.hold(finer(with_marks(texts, opened, "inner"), width, s))
-        whole, opened, found = settle(runs, scratch)
-        gone.append(whole)
-        held += [runs, found]
-    # Written, so that what the levels held can go.
-    marks = scratch.put(reduce(DataFrame.union, gone).repartition(max(8, int(scratch.spark.conf.get("spark.sql.shuffle.partitions")) // 8)))
-    for frame in held:
-        frame.unpersist()
-    scratch.drop(first)
+        coarser = opened
+        whole, opened = settle(runs, scratch)
+        runs.unpersist()
+        scratch.drop(coarser)
+        marks = marks.union(whole)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         unpress, out = zstandard.ZstdDecompressor(), []
