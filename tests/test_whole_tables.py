@@ -39,4 +39,4 @@ def test_text_functions_of_whole_texts(spark, tmp_path):
     texts = ["é" * 90 + " tail, " + "b " * 60 + ", c, d,e , f, g", "a" * 70 + ",ü\n, x", "", ",,", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r[0]: r[1:] for r in same_rows(spark, tmp_path, "documents", docs, "text_functions")}
-    assert got[0][1].startswith(" tail, b b") and got[1] == ("a" * 70 + "|ü\n|x", "a" * 70 + ",\n, x")
+    assert got[0][1].startswith(" tail, b b") and got[1][:2] == ("a" * 70 + "|ü\n|x", "a" * 70 + ",\n, x")
