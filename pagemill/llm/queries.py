@@ -1,11 +1,11 @@
-"""The queries op1 to op10 and pipeline over the tables of a data folder, and their SQL where SQL can say it."""
+"""The queries op1 to op13 and pipeline over the tables of a data folder, and their SQL where SQL can say it."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, languages, packing, quality, secrets, simhash, substrings, suffixes, vectors, warc
+from . import audit, decontaminate, infill, languages, packing, quality, secrets, simhash, substrings, suffixes, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +69,20 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", F.col("component").alias("component_id"), (F.col("vec_id") == F.col("component")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_array_dedup, op3_best_fit_packing, op4_simhash_near_dedup, op5_warc_archive, op6_substring_dedup, op7_benchmark_decontamination, op8_quality_classifier, op9_language_id, op10_embedding_near_dedup)}
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digest(text: Column) -> Column:
+        return F.sha2(text.cast("binary"), 256)
+
+    cut = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    again = infill.restored(F.col("output"), F.col("form"))
+    return cut.select("doc_id", "n", "form", F.length("prefix").cast("long").alias("prefix_chars"), F.length("middle").cast("long").alias("middle_chars"), digest(F.col("output")).alias("output_sha256"), digest(again).alias("restored_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_array_dedup, op3_best_fit_packing, op4_simhash_near_dedup, op5_warc_archive, op6_substring_dedup, op7_benchmark_decontamination, op8_quality_classifier, op9_language_id, op10_embedding_near_dedup, op12_fill_in_middle, op13_filter_audit)}
 
 
 def _spans_sql() -> str:
@@ -104,4 +117,22 @@ ORACLE_SQL: dict[str, str] = {
     "op10_embedding_near_dedup": """with recursive v as (select vec_id, embedding::double[] as e from embeddings), ok as (select * from v where e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
  l as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95), r(n, c) as (select vec_id, vec_id from v union select l.b, r.c from r join l on l.a = r.n)
  select vec_id, (select count(*) from l where l.a = vec_id) as n_links, (select min(c) from r where n = vec_id) as component_id, (select min(c) from r where n = vec_id) = vec_id as kept from v""",
+    "op12_fill_in_middle": r"""with t as (select doc_id, coalesce(text, '') as text, sha256('7:' || coalesce(doc_id::varchar, '')) as h from documents),
+ u as (select *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') as units, [('0x' || h[1 + 8 * k : 8 + 8 * k])::bigint for k in range(4)] as d from t),
+ c as (select *, len(units)::bigint as n, least(d[1] % (len(units) + 1), d[2] % (len(units) + 1)) as lo, greatest(d[1] % (len(units) + 1), d[2] % (len(units) + 1)) as hi from u),
+ f as (select *, case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or d[3] % 100 >= 100 then 'plain' when d[4] % 100 < 50 then 'spm' else 'psm' end as form,
+  array_to_string(units[1:lo], '') as pre, array_to_string(units[lo + 1 : hi], '') as mid, array_to_string(units[hi + 1 :], '') as suf from c)
+ select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix_chars, case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256, sha256(text) as restored_sha256 from f""",
+    "op13_filter_audit": r"""with recursive t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents), w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words, min(doc_id) over (partition by text) as first from t),
+ l as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by 1),
+ d as (select part, (case when len(words) < 200 then 'A' else '' end) || (case when 100 * list_unique(words) < 50 * len(words) then 'B' else '' end) || (case when 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) then 'C' else '' end)
+  || (case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end) || (case when doc_id > first then 'E' else '' end) as fails, coalesce(good, false) as good, coalesce(toxic, false) as toxic from w left join l using (doc_id)),
+ g as (select part, fails, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic from d group by all),
+ o(ord) as (select '' union all select ord || f from o, unnest(['A', 'B', 'C', 'D', 'E']) as x(f) where not contains(ord, f)), p as (select ord, unnest(range(1, 6))::int as step from o where length(ord) = 5),
+ e as (select part, ord, step, n, good, toxic, fails, contains(fails, ord[step]) as fail, len(list_filter(string_split(ord[1 : step - 1], ''), lambda f: f <> '' and contains(fails, f))) > 0 as gone from g, p),
+ r as (select part, ord, step, sum(case when fail or gone then 0 else n end) as kept, sum(case when fail and not gone then n else 0 end) as removed, sum(case when fail and gone then n else 0 end) as redundant, sum(case when fails = ord[step] then n else 0 end) as unique_fails,
+  sum(case when fail and not gone then good else 0 end) as good_lost, sum(case when fail and not gone then toxic else 0 end) as toxic_lost from e group by all),
+ s as (select part, ord[step] as f, sum(removed) as shapley from r group by all)
+ select r.part, r.ord as filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant, unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost, shapley::bigint as shapley from r join s on s.part = r.part and s.f = r.ord[step]""",
 }
