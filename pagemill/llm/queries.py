@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, decontaminate, infill, languages, packing, quality, secrets, simhash, substrings, suffixes, vectors, warc
+from . import audit, decontaminate, infill, languages, packing, quality, restaurants, secrets, simhash, substrings, suffixes, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,12 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", F.col("component").alias("component_id"), (F.col("vec_id") == F.col("component")).alias("kept"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null id draws as an empty one, which is learned from."""
+    learn = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 != 2
+    return restaurants.score_texts(table(spark, sf_dir, "documents"), learn)
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digest(text: Column) -> Column:
         return F.sha2(text.cast("binary"), 256)
@@ -82,7 +88,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_array_dedup, op3_best_fit_packing, op4_simhash_near_dedup, op5_warc_archive, op6_substring_dedup, op7_benchmark_decontamination, op8_quality_classifier, op9_language_id, op10_embedding_near_dedup, op12_fill_in_middle, op13_filter_audit)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_array_dedup, op3_best_fit_packing, op4_simhash_near_dedup, op5_warc_archive, op6_substring_dedup, op7_benchmark_decontamination, op8_quality_classifier, op9_language_id, op10_embedding_near_dedup, op11_lm_scoring, op12_fill_in_middle, op13_filter_audit)}
 
 
 def _spans_sql() -> str:
