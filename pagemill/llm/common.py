@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -63,6 +64,11 @@ class Scratch:
         """Keeps a frame that several steps read on the executors' disks; lost parts are computed again."""
         return df.persist(StorageLevel.DISK_ONLY)
 
+    def release(self) -> None:
+        """Lets the session notice which frames are gone: only then do the files of their shuffles go."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *frames: DataFrame) -> None:
         jvm = self.spark._jvm
         for df in frames:
