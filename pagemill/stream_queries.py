@@ -140,4 +140,4 @@ def stream_claims(spark, d):
     # As many claims as pages are more than enough; those of an empty queue give nothing.
     last = p.agg(F.max("page_id")).first()[0] or 0
     ask = p.select((F.col("page_id") % 3).cast("int").alias("shard"), F.lit("claim").alias("kind"), none.cast("string").alias("url"), none.cast("string").alias("queue"), none.cast("int").alias("priority"), F.expr("page_id div 3").alias("batch"), F.lit(7).alias("size"), (F.col("page_id") + last + 1).alias("arrival"))
-    return _in_turn(spark, "claims", adds.union(ask), lambda m, out, c: states.start_states(states.claims(m), out, c))
+    return _in_turn(spark, "claims", adds.union(ask), lambda m, out, c: states.start_states(states.claims(m), out, c)).select("shard", "batch", "position", "url")
