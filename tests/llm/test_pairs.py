@@ -226,19 +226,48 @@ def test_empty_tables(spark):
     assert not vectors.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect()
 
 
-@pytest.mark.parametrize("vectors", [500, 50_000, 1_000_000, 30_000_000, 1_000_000_000])
-def test_recall_of_the_tables_of_any_size(vectors):
-    """Pairs at a cosine meet in a table of the shape that so many vectors get: 2000 pairs of 64 dimensions."""
+def vectors_about(rng, n, dims, mean):
+    """Unit vectors whose random pairs have that mean cosine, by a direction common to all."""
+    z = rng.normal(size=(n, dims))
+    v = np.sqrt(1 - mean) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    v[:, 0] += np.sqrt(mean)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def beside(rng, v, cosine):
+    side = rng.normal(size=v.shape)
+    side -= (side * v).sum(axis=1, keepdims=True) * v
+    return cosine * v + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("vectors,dims,mean", [(500, 64, 0.0), (500, 64, 0.5), (500, 64, 0.8), (500, 384, 0.0), (500, 384, 0.5), (500, 384, 0.8), (50_000, 64, 0.0), (50_000, 64, 0.5), (50_000, 64, 0.8), (50_000, 384, 0.5), (1_000_000, 64, 0.0), (1_000_000, 64, 0.5)])
+def test_recall_of_the_tables(vectors, dims, mean):
+    """Fresh pairs right at the cosine meet in a table, at every size and with a common direction."""
     rng = np.random.default_rng(3)
-    a, noise = rng.normal(size=(2, 2000, 64))
-    a /= np.linalg.norm(a, axis=1, keepdims=True)
-    noise -= (noise * a).sum(axis=1, keepdims=True) * a
-    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
-    coder = Coder(rng.normal(size=(1000, 64)) / 8, vectors, 64)
-    x = coder.encode(a)
-    for cosine, least in ((0.95, 0.91), (0.97, 0.97), (0.99, 0.995)):
-        y = coder.encode(cosine * a + np.sqrt(1 - cosine**2) * noise)
-        assert (np.bitwise_count((x ^ y).astype(np.uint64)) <= 1).any(axis=1).mean() >= least
+    coder = Coder(vectors_about(rng, min(vectors, 2000), dims, mean), vectors, 64)
+    a = vectors_about(rng, 2000, dims, mean)
+    assert (np.bitwise_count((coder.encode(a) ^ coder.encode(beside(rng, a, 0.95))).astype(np.uint64)) <= 1).any(axis=1).mean() >= 0.94
+
+
+@pytest.mark.parametrize("vectors", [30_000_000, 1_000_000_000])
+def test_recall_of_the_tables_of_very_many(vectors):
+    rng = np.random.default_rng(4)
+    coder = Coder(vectors_about(rng, 2000, 64, 0.0), vectors, 64)
+    a = vectors_about(rng, 2000, 64, 0.0)
+    assert (np.bitwise_count((coder.encode(a) ^ coder.encode(beside(rng, a, 0.95))).astype(np.uint64)) <= 1).any(axis=1).mean() >= 0.94
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.8])
+def test_links_beside_a_common_direction(spark, mean):
+    """600 pairs planted at 0.96 among 2000 vectors, against all pairs."""
+    rng = np.random.default_rng(5)
+    v = vectors_about(rng, 1400, 64, mean)
+    v = np.concatenate([v, beside(rng, v[:600], 0.96)])
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(4)
+    found = {r.vec_id: r.n_links for r in link_vectors(rows).collect()}
+    want = (v @ v.T >= 0.95).sum(axis=1) - 1
+    assert all(found[i] <= want[i] for i in range(2000))
+    assert sum(found.values()) >= 0.95 * want.sum() > 1000
 
 
 def test_planted_links_of_many_dimensions(spark):
