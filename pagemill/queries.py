@@ -13,6 +13,9 @@ from .sources import adapters as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+#: Queries of the same kind that read no given table, for the tests alone.
+FIXED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+FIXED_SQL: dict[str, str] = {}
 
 #: crawl_results in the other engine's SQL.
 CR = """cr as (select event_id as id, 'https://d' || ((event_id*7919) % 4001) || '.example.com/p/' || event_id as url, 'd' || ((event_id*7919) % 4001) || '.example.com' as domain,
@@ -59,14 +62,15 @@ def pct(a: str, b: str) -> str:
     return f"round(case when {b} <> 0 then ({a})::double * 100.0 / ({b})::double end, 2)"
 
 
-def query(sql: str | None = None, name: str | None = None):
-    """Registers a query under its function's name, with its SQL."""
+def query(sql: str | None = None, name: str | None = None, fixed: bool = False):
+    """Registers a query under its function's name, with its SQL; ``fixed`` ones, which read no given table, for the tests alone."""
+    of, sqls = (FIXED, FIXED_SQL) if fixed else (QUERIES, ORACLE)
 
     def add(f):
         key = name or f.__name__
-        QUERIES[key] = f
+        of[key] = f
         if sql:
-            ORACLE[key] = sql
+            sqls[key] = sql
         return f
 
     return add
@@ -242,7 +246,7 @@ def dlq_stats(spark, d):
     return reports.dlq_stats(A.crawler_dlq(spark, d), A.AS_OF)
 
 
-@query("select 0::bigint as dlq_total, 0::bigint as dlq_last_1hour, 0::bigint as dlq_data_errors, 0::bigint as dlq_unique_errors")
+@query("select 0::bigint as dlq_total, 0::bigint as dlq_last_1hour, 0::bigint as dlq_data_errors, 0::bigint as dlq_unique_errors", fixed=True)
 def dlq_stats_missing(spark, d):
     return reports.dlq_stats_if_exists(spark, "crawler_dlq_that_is_not_there", A.AS_OF)
 
@@ -704,7 +708,7 @@ def rebalanced(spark, d):
 
 # --- upserts ---------------------------------------------------------------------------------------------
 
-UPS = PAGES + ", t as (select url, domain, title, static_score, crawled_at, version from (select *, 3 as version from pg where id % 2 = 0)), ar as (select url, 'x' as domain, 'new' || k as title, static_score + k as static_score, crawled_at + to_days(k) as crawled_at, k as processed_at from pg, (values (1), (2)) v(k) where id % 3 = 0), n as (select url, arg_max(title, processed_at) as title, arg_max(static_score, processed_at) as static_score, arg_min(domain, processed_at) as domain, arg_min(crawled_at, processed_at) as crawled_at, count(*) as k from ar group by url)"
+UPS = PAGES + ", t as (select url, domain, title, static_score, crawled_at, version from (select *, 3 as version from pg where id % 2 = 0)), ar as (select url, 'x' as domain, 'new' || k as title, static_score + k as static_score, crawled_at + to_days(k) as crawled_at, k as processed_at from pg, (values (1), (2)) v(k) where id % 2 = 1 or id % 3 = 0), n as (select url, arg_max(title, processed_at) as title, arg_max(static_score, processed_at) as static_score, arg_min(domain, processed_at) as domain, arg_min(crawled_at, processed_at) as crawled_at, count(*) as k from ar group by url)"
 
 
 @query(f"with {UPS} select coalesce(t.url, n.url) as url, coalesce(t.domain, n.domain) as domain, coalesce(n.title, t.title) as title, coalesce(n.static_score, t.static_score) as static_score, coalesce(t.crawled_at, n.crawled_at) as crawled_at, (coalesce(t.version, 0) + coalesce(n.k, 0))::int as version from t full join n on t.url = n.url")
@@ -714,7 +718,7 @@ def upserted_pages(spark, d):
     p = A.pages(spark, d)
     target = p.where("id % 2 = 0").select("url", "domain", "title", "static_score", "crawled_at", F.lit(3).alias("version"))
     k = F.explode(F.array(F.lit(1), F.lit(2)))
-    batch = p.where("id % 3 = 0").withColumn("k", k).select("url", F.lit("x").alias("domain"), F.concat(F.lit("new"), "k").alias("title"), (F.col("static_score") + F.col("k")).alias("static_score"), (F.col("crawled_at") + F.make_dt_interval(F.col("k"))).alias("crawled_at"), F.col("k").alias("processed_at"))
+    batch = p.where("id % 2 = 1 or id % 3 = 0").withColumn("k", k).select("url", F.lit("x").alias("domain"), F.concat(F.lit("new"), "k").alias("title"), (F.col("static_score") + F.col("k")).alias("static_score"), (F.col("crawled_at") + F.make_dt_interval(F.col("k"))).alias("crawled_at"), F.col("k").alias("processed_at"))
     return merge.upsert_pages(target, batch)
 
 

@@ -43,7 +43,7 @@ def seed_file(spark, d):
     return readers.seed_list(spark, out)
 
 
-@query("select * from (values (4::bigint, 2::bigint, 1::bigint, 1::bigint, 50.0::double, 2.5::double)) t(total, passed, failed, skipped, pass_rate, seconds)")
+@query("select * from (values (4::bigint, 2::bigint, 1::bigint, 1::bigint, 50.0::double, 2.5::double)) t(total, passed, failed, skipped, pass_rate, seconds)", fixed=True)
 def test_report_summary(spark, d):
     out = _folder(spark, "report")
     tests = [("a", "passed", 0.5), ("b", "passed", 1.0), ("c", "failed", 1.0), ("d", "skipped", 0.0)]
@@ -66,11 +66,11 @@ def stored_objects(spark, d):
     return _stored(spark, d)[1].select("key", "content", F.col("original_size").cast("long").alias("original_size"), "content_type")
 
 
-@query(f"with {_OBJECTS} select pg.id, pg.domain, o.content as markdown from pg left join o using (markdown_key) where pg.url = (select url from pages where page_id = 7)")
+@query(f"with {_OBJECTS} select pg.id, pg.domain, o.content as markdown from pg left join o using (markdown_key) where pg.url = (select url from pages where page_id = 9)")
 def page_content(spark, d):
-    """One page by its URL, with its stored text; page 7 has none."""
+    """One page by its URL, with its stored text."""
     p, o = _stored(spark, d)
-    return readers.page_with_content(p, o, A.raw_pages(spark, d).where("page_id = 7").first().url).select("id", "domain", "markdown")
+    return readers.page_with_content(p, o, A.raw_pages(spark, d).where("page_id = 9").first().url).select("id", "domain", "markdown")
 
 
 @query(f"with {_OBJECTS} select id from o")
@@ -109,13 +109,13 @@ def upserted_hours(spark, d):
     return merge.upsert_hourly(even, odd).select("stat_hour", "total_processed", "fast_processed", "rich_processed")
 
 
-@query(f"""with {CR}, t as (select distinct domain as url, 'old' as title from cr where id % 2 = 0), n as (select domain as url, arg_min('new ' || id, (crawl_time, id)) as title from cr where id % 3 = 0 group by domain)
+@query(f"""with {CR}, t as (select distinct domain as url, 'old' as title from cr where id % 2 = 0), n as (select domain as url, arg_min('new ' || id, (crawl_time, id)) as title from cr where id % 2 = 1 or id % 3 = 0 group by domain)
  select coalesce(t.url, n.url) as url, coalesce(n.title, t.title) as title from t full join n on t.url = n.url""")
 def upserted_crawled(spark, d):
     """The older page table: the first arrival of a batch overwrites."""
     c = A.crawl_results(spark, d)
     target = c.where("id % 2 = 0").select(F.col("domain").alias("url")).distinct().select("url", F.lit("old").alias("title"), F.lit(None).cast("struct<t:timestamp,id:bigint>").alias("created_at"))
-    batch = c.where("id % 3 = 0").select(F.col("domain").alias("url"), F.concat(F.lit("new "), "id").alias("title"), F.struct(F.col("crawl_time").cast("timestamp").alias("t"), "id").alias("created_at"))
+    batch = c.where("id % 2 = 1 or id % 3 = 0").select(F.col("domain").alias("url"), F.concat(F.lit("new "), "id").alias("title"), F.struct(F.col("crawl_time").cast("timestamp").alias("t"), "id").alias("created_at"))
     return merge.upsert_crawled(target, batch).select("url", "title")
 
 
@@ -184,13 +184,13 @@ def _fixed(spark):
 @query("""select * from (values
  ('https://a.org/dir/one', true, 'One', '# Head' || chr(10) || chr(10) || 'First **bold** and [link](/x?a=1&utm_source=q).' || chr(10) || chr(10) || '* one' || chr(10) || '* two' || chr(10) || chr(10) || 'Enough words follow here so that the article counts as the main content of the page, as over a hundred do.' || chr(10) || chr(10) || '![](i.png)', 'https://a.org/x?a=1&utm_source=q', 'https://a.org/dir/i.png', 'H1: Head'),
  ('https://b.org/', true, 'Two', 'Short _text_' || chr(10) || chr(10) || 'up[mail](mailto:x@y.z)[c](HTTP://C.org)', 'mailto:x@y.z|HTTP://C.org', '', ''),
- ('https://c.org/', false, null, null, null, null, null)) t(url, success, title, markdown, links, images, headings)""")
+ ('https://c.org/', false, null, null, null, null, null)) t(url, success, title, markdown, links, images, headings)""", fixed=True)
 def fixed_extraction(spark, d):
     x = F.col("extracted")
     return _fixed(spark).select("url", "success", x["title"].alias("title"), x["markdown"].alias("markdown"), F.array_join(x["links"], "|").alias("links"), F.array_join(x["images"], "|").alias("images"), F.array_join(x["headings"], "|").alias("headings"))
 
 
-@query("select * from (values ('https://a.org/dir/one', 1, 0, 'https://a.org/x?a=1'), ('https://b.org/', 1, 0, 'http://c.org/')) t(source_url, current_depth, position, url)")
+@query("select * from (values ('https://a.org/dir/one', 1, 0, 'https://a.org/x?a=1'), ('https://b.org/', 1, 0, 'http://c.org/')) t(source_url, current_depth, position, url)", fixed=True)
 def fixed_links(spark, d):
     """Links found in the fixed pages, as they go to the frontier."""
     from .streaming.pipeline import discovered
@@ -198,7 +198,7 @@ def fixed_links(spark, d):
     return discovered(_fixed(spark))
 
 
-@query("""select * from (values ('u', 0, 'intro' || chr(10) || chr(10) || 'Body of one, long enough to stand as a chunk by itself.', ''), ('u', 1, repeat('word ', 99) || 'word', 'One > Two'), ('u', 2, repeat('x', 500), 'Three'), ('u', 3, repeat('x', 100) || chr(10) || chr(10) || 'end', 'Three')) t(url, chunk_index, chunk_text, heading_ctx)""")
+@query("""select * from (values ('u', 0, 'intro' || chr(10) || chr(10) || 'Body of one, long enough to stand as a chunk by itself.', ''), ('u', 1, repeat('word ', 99) || 'word', 'One > Two'), ('u', 2, repeat('x', 500), 'Three'), ('u', 3, repeat('x', 100) || chr(10) || chr(10) || 'end', 'Three')) t(url, chunk_index, chunk_text, heading_ctx)""", fixed=True)
 def fixed_chunks(spark, d):
     """A short beginning takes in what follows it, long text is cut, a short end folds back."""
     from .functions.chunking import chunk_rows
@@ -218,7 +218,7 @@ SNIPPETS = (
 )
 
 
-@query("select * from (values " + ", ".join(f"({i}::bigint, '{hits}', {100 - 35 + sum(int(h.split()[1]) for h in hits.split(',') if h)})" for i, (_, hits) in enumerate(SNIPPETS)) + ") t(id, hits, raw_score)")
+@query("select * from (values " + ", ".join(f"({i}::bigint, '{hits}', {100 - 35 + sum(int(h.split()[1]) for h in hits.split(',') if h)})" for i, (_, hits) in enumerate(SNIPPETS)) + ") t(id, hits, raw_score)", fixed=True)
 def fixed_rules(spark, d):
     """Each rule by a snippet of its own: what it hits, and the score of so short a page."""
     from .functions import scoring

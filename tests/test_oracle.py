@@ -9,9 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pagemill.queries import FIXED, FIXED_SQL
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.queries() | FIXED, entry.oracle_sql() | FIXED_SQL
 
 
 @pytest.fixture(scope="module")
