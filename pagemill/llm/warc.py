@@ -6,7 +6,7 @@ record can be read alone. Pages with equal payloads are found by digest, in rows
 before anything is written: the one with the smallest id is a response and the others revisit it.
 
 Archives are files of bounded size and number of records in the shared folder, each written under a name of its task attempt;
-only files that a committed attempt reports are read, so a lost executor costs its tasks alone.
+the same attempt writes their rows of the index, and only what a committed attempt lists is read, so a lost executor costs its tasks alone.
 """
 
 from __future__ import annotations
@@ -130,10 +130,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         if records:
             yield flush()
 
-    spark = pages.sparkSession
-    # Dealt out anew, so that the index has few files and not one for each writing task.
-    files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 32)
-    return Scratch(spark, "warc-index").put(rows.mapInArrow(write, schema_of("path string, records bigint, bytes bigint")).repartition(files))
+    # A task's archives and its rows of the index are one attempt's: no shuffle comes between, and the index is committed task by task.
+    return Scratch(pages.sparkSession, "warc-index").put(rows.mapInArrow(write, schema_of("path string, records bigint, bytes bigint")))
 
 
 def read_archives(index: DataFrame) -> DataFrame:
