@@ -20,18 +20,14 @@ _heading = re.compile(r"^(#{1,6})\s+(.+)$", re.MULTILINE)
 
 def sections(text: str) -> Iterator[tuple[str, str]]:
     """(body, path of headings) of the parts between headings; headings inside code count, empty parts do not."""
-    found = list(_heading.finditer(text))
-    path: list[tuple[int, str]] = []
-    before = text[: found[0].start()] if found else text
-    if before.strip():
-        yield before.strip(), ""
-    for i, m in enumerate(found):
-        following = found[i + 1] if i + 1 < len(found) else None
-        level = len(m[1])
-        path = [x for x in path if x[0] < level] + [(level, m[2].strip())]
-        body = text[m.end() : following.start() if following else len(text)].strip()
-        if body:
-            yield body, " > ".join(t for _, t in path)
+    body, *rest = _heading.split(text)
+    titles: list[str | None] = [None] * 6  # the open heading of each level
+    parts = [(body, "")]
+    for marks, title, body in zip(rest[::3], rest[1::3], rest[2::3], strict=True):
+        level = len(marks)
+        titles[level - 1 :] = [title.strip()] + [None] * (6 - level)
+        parts.append((body, " > ".join(t for t in titles if t is not None)))
+    yield from ((body.strip(), path) for body, path in parts if body.strip())
 
 
 def gather(parts: list[str], glue: str, most: int) -> Iterator[str]:
