@@ -45,7 +45,7 @@ def chunks(chunk_table: DataFrame, pages: DataFrame, url: str) -> list[dict]:
 def analyse(pages: DataFrame, threshold: int = scoring.THRESHOLD) -> DataFrame:
     """Score, route, metadata, technology and counts of pages."""
     p = scoring.analyse(pages, threshold=threshold)
-    return p.select(*[c for c in p.columns if c != "html"], html.metadata("html").alias("metadata"), scoring.frameworks("html").alias("frameworks"), scoring.cms("html").alias("cms"), scoring.analytics("html").alias("analytics"), *scoring.element_counts("html"))
+    return p.select(*[c for c in p.columns if c != "html" and c not in scoring.COUNTS], html.metadata("html").alias("metadata"), scoring.frameworks("html").alias("frameworks"), scoring.cms("html").alias("cms"), scoring.analytics("html").alias("analytics"), *scoring.element_counts("html"))
 
 
 def analyse_text(spark: SparkSession, text: str, url: str = "", threshold: int = scoring.THRESHOLD) -> DataFrame:
