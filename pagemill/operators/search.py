@@ -94,16 +94,29 @@ def probe(chunks: DataFrame, centres: list[list[float]], query: list[float], pro
     return chunks.where(F.col("list_id").isin([int(i) for i in near]))
 
 
+def bounded_sample(rows: DataFrame, key: str, most: int) -> tuple[int, list]:
+    """The number of rows, and all of them or, of more, about ``most``, chosen and ordered by a hash of the key: a filter before anything is gathered."""
+    n = rows.count()
+    share = F.pmod(F.xxhash64(key), F.lit(1_000_000_007)) < int(most / n * 1_000_000_007) if n > most else F.lit(True)
+    return n, rows.where(share).orderBy(F.xxhash64(key)).collect()
+
+
+def k_means(units, lists: int, turns: int = 10):
+    """Centres of unit vectors, of length one too; a centre that loses all its vectors stays."""
+    import numpy as np
+
+    c = units[np.linspace(0, len(units) - 1, min(lists, len(units))).astype(int)]
+    for _ in range(turns):
+        own = (units @ c.T).argmax(axis=1)
+        c = np.stack([units[own == k].mean(axis=0) if (own == k).any() else c[k] for k in range(len(c))])
+        c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
+    return c
+
+
 def learn_centres(chunks: DataFrame, lists: int = 100, sample: int = 20000, turns: int = 10) -> list[list[float]]:
     """Centres by k-means on a bounded sample of unit vectors."""
     import numpy as np
 
-    rows = chunks.where("embedding is not null").select("id", "embedding").orderBy(F.xxhash64("id")).limit(sample).collect()
+    _, rows = bounded_sample(chunks.where("embedding is not null").select("id", "embedding"), "id", sample)
     v = np.array([r.embedding for r in rows], float)
-    v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-    c = v[np.linspace(0, len(v) - 1, min(lists, len(v))).astype(int)]
-    for _ in range(turns):
-        own = (v @ c.T).argmax(axis=1)
-        c = np.stack([v[own == k].mean(axis=0) if (own == k).any() else c[k] for k in range(len(c))])
-        c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-    return c.tolist()
+    return k_means(v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12), lists, turns).tolist()

@@ -42,6 +42,51 @@ def rate(samples: DataFrame, labels: list[str], width: str = "5 minutes", slide:
     return g.select("name", *labels, F.col("w.end").alias("ts"), F.round(ratio(F.col("i"), F.col("s")), 6).alias("rate"))
 
 
+def sliding_rate(samples: DataFrame, labels: list[str], width: int = 300, slide: int = 60) -> DataFrame:
+    """The rate per second of counters over the last ``width`` seconds at every multiple of ``slide`` seconds: (name, labels, ts, rate).
+
+    A window is open at its start and closed at its end and needs two samples. A value below the one before is a reset: the counter went on from
+    zero. The increase is extrapolated to both edges of the window where a sample lies within 1.1 mean gaps of it, else by half a gap, but never to
+    before the counter was zero. A series has one sample at a time; null values or times are no samples.
+
+    Samples meet their neighbours within panes of ``slide`` seconds, and panes theirs within a window, so no task holds a series.
+    """
+    if width % slide:
+        raise ValueError("the width is no multiple of the slide")
+    key = ["name", *labels]
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    s = samples.where("ts is not null and value is not null").select(*key, micros.alias("t"), F.col("value").cast("double").alias("v"))
+    s = s.withColumn("pane", F.ceil(F.col("t") / F.lit(slide * 1_000_000)).cast("long"))
+    before = F.lag("v").over(Window.partitionBy(*key, "pane").orderBy("t"))
+    s = s.withColumn("lost", F.when(F.col("v") < before, before).otherwise(0.0))
+    first, last = F.min(F.struct("t", "v")), F.max(F.struct("t", "v"))
+    panes = s.groupBy(*key, "pane").agg(first.alias("first"), last.alias("last"), F.sum("lost").alias("lost"), F.count("*").alias("n"))
+    each = panes.select(*key, F.explode(F.sequence(F.col("pane"), F.col("pane") + (width // slide - 1))).alias("end"), F.struct("first", "last", "lost", "n").alias("p"))
+    w = each.groupBy(*key, "end").agg(F.array_sort(F.collect_list("p")).alias("p"))  # a struct a pane, in order of time
+    gaps = F.zip_with(F.slice("p", 1, F.size("p") - 1), F.slice("p", 2, F.size("p") - 1), lambda a, b: F.when(b["first"]["v"] < a["last"]["v"], a["last"]["v"]).otherwise(0.0))
+    total = F.aggregate(gaps, F.lit(0.0), lambda a, x: a + x) + F.aggregate("p", F.lit(0.0), lambda a, x: a + x["lost"])
+    w = w.withColumns({"first": F.element_at("p", 1)["first"], "last": F.element_at("p", -1)["last"], "lost": total, "n": F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x["n"])}).where("n >= 2")
+    span = (F.col("last.t") - F.col("first.t")) / 1e6
+    gap = span / (F.col("n") - 1)
+    rise = F.col("last.v") - F.col("first.v") + F.col("lost")
+
+    def reach(seconds: Column) -> Column:
+        return F.when(seconds >= gap * 1.1, gap / 2).otherwise(seconds)
+
+    end = F.col("end") * F.lit(slide)
+    start = reach(F.col("first.t") / 1e6 - (end - width))
+    zero = F.when((rise > 0) & (F.col("first.v") >= 0), span * F.col("first.v") / rise)
+    whole = span + F.least(start, zero) + reach(end - F.col("last.t") / 1e6)
+    return w.select(*key, F.timestamp_seconds(end).alias("ts"), (rise * whole / span / width).alias("rate"))
+
+
+def matched_success_rate(samples: DataFrame, done: str, failed: str, width: int = 300, slide: int = 60) -> DataFrame:
+    """100 * done / (done + failed) of sliding rates at the times that have both; null where neither rises."""
+    r = sliding_rate(samples.where(F.col("name").isin(done, failed)), [], width, slide)
+    g = r.groupBy("ts").agg(F.max(F.when(F.col("name") == done, F.col("rate"))).alias("a"), F.max(F.when(F.col("name") == failed, F.col("rate"))).alias("b"))
+    return g.where("a is not null and b is not null").select("ts", ratio(F.col("a"), F.col("a") + F.col("b"), 100.0).alias("success_rate"))
+
+
 def success_rate(samples: DataFrame, width: str) -> DataFrame:
     """Completed rate over completed and failed rate, in percent."""
     r = rate(samples, [], width).groupBy("ts").pivot("name", ["crawler_tasks_completed_total", "crawler_tasks_failed_total"]).agg(F.first("rate"))

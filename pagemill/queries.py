@@ -266,6 +266,17 @@ def total_stats(spark, d):
     return reports.total_stats(A.crawled_pages(spark, d), A.AS_OF)
 
 
+@query(f"with {CRAWLED} select date_trunc('day', created_at) as start, count(*) as estimated_total, true as within_error from cp group by 1")
+def estimated_totals(spark, d):
+    """Rows and distinct domains of each day from hourly sketches, made in two batches and merged; whether the estimates are as near to the exact numbers as promised."""
+    rows = A.crawled_pages(spark, d)
+    odd = F.pmod(F.xxhash64("url"), F.lit(2)) == 1
+    sketches = reports.merged_sketches(reports.hourly_sketches(rows.where(odd)), reports.hourly_sketches(rows.where(~odd)))
+    exact = rows.groupBy(F.date_trunc("day", "created_at").alias("start")).agg(F.count_distinct("domain").alias("exact"))
+    near = F.abs(F.col("estimated_distinct") - F.col("exact")) <= F.col("exact") * reports.SKETCH_ERROR + 1
+    return reports.estimated_totals(sketches).join(exact, "start").select("start", "estimated_total", near.alias("within_error"))
+
+
 # --- metrics ---------------------------------------------------------------------------------------------
 
 SAMPLES = CR + ", g as (select time_bucket(interval '60 minutes', crawl_time) + interval '60 minutes' as ts, sum(success::int) as ok, sum((not success)::int) as bad from cr group by 1), l as (select ts, 'crawler_tasks_completed_total' as name, ok as n from g union all select ts, 'crawler_tasks_failed_total', bad from g), sm as (select ts, name, sum(n) over (partition by name order by ts)::double as value from l)"
@@ -293,6 +304,34 @@ def metric_success_rate(spark, d):
     return metrics.success_rate(_samples(spark, d), "360 minutes")
 
 
+_RISING = """s as (select event_type as name, ts, max(v)::double as v from (select event_type, ts, row_number() over (partition by event_type, date_trunc('day', ts) order by ts, event_id) as v from events where ts is not null) group by all),
+ e as (select name, epoch_us(ts) as t, v, ceil(epoch_us(ts) / 60000000.0)::bigint + unnest(range(5)) as e from s), l as (select *, lag(v) over (partition by name, e order by t) as b from e),
+ w as (select name, e * 60 as e, count(*) as n, arg_min(v, t) as fv, min(t) / 1e6 as ft, arg_max(v, t) as lv, max(t) / 1e6 as lt, sum(case when v < b then b else 0 end) as lost from l group by name, e having count(*) >= 2),
+ g as (select *, lt - ft as span, (lt - ft) / (n - 1) as gap, lv - fv + lost as rise from w),
+ r as (select *, least(case when ft - (e - 300) >= gap * 1.1 then gap / 2 else ft - (e - 300) end, case when rise > 0 and fv >= 0 then span * fv / rise end) as before, case when e - lt >= gap * 1.1 then gap / 2 else e - lt end as after from g),
+ sr as (select name, make_timestamp(e::bigint * 1000000) as ts, rise * (span + before + after) / span / 300 as rate from r)"""
+
+
+def _rising(spark, d):
+    """A counter per kind of event, counting from zero every day, with a sample at each event."""
+    from pyspark.sql import Window
+
+    day = Window.partitionBy("event_type", F.date_trunc("day", "ts")).orderBy("ts", "event_id")
+    e = A.table(spark, d, "events").where("ts is not null").select(F.col("event_type").alias("name"), "ts", F.row_number().over(day).alias("v"))
+    return e.groupBy("name", "ts").agg(F.max("v").alias("value"))
+
+
+@query(f"with {_RISING} select name, ts, round(rate, 6) as rate from sr")
+def metric_sliding_rate(spark, d):
+    """Rates over five minutes, every minute, with resets and extrapolation."""
+    return metrics.sliding_rate(_rising(spark, d), []).withColumn("rate", F.round("rate", 6))
+
+
+@query(f"with {_RISING} select ts, round(100 * a.rate / nullif(a.rate + b.rate, 0), 4) as success_rate from (select * from sr where name = 'view') a join (select * from sr where name = 'error') b using (ts)")
+def metric_sliding_success(spark, d):
+    return metrics.matched_success_rate(_rising(spark, d), "view", "error").withColumn("success_rate", F.round("success_rate", 4))
+
+
 @query(f"with {CR} select time_bucket(interval '360 minutes', crawl_time) + interval '360 minutes' as ts, round(sum(response_time) / count(*), 6) as latency_avg from cr where response_time is not null group by 1")
 def metric_latency_average(spark, d):
     return metrics.latency_average(A.crawl_results(spark, d), "360 minutes")

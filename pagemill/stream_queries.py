@@ -26,6 +26,33 @@ def title_similar(spark, d):
     return index.search(titles.where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("title").alias("text")))
 
 
+def _vector_index(spark, d):
+    """The stored inverted file over all vectors, in two batches, and every twentieth vector as queries."""
+    from .operators.vector_index import VectorIndex
+
+    rows = A.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    index = VectorIndex(spark, _folder(spark, "vectors"))
+    index.train(rows)
+    for k in (0, 1):
+        index.add(rows.where(f"id % 2 = {k}"), f"b{k}")
+    return index, rows.where("id % 20 = 0").select(F.col("id").alias("query_id"), "embedding")
+
+
+@query()
+def vector_index_search(spark, d):
+    """The ten nearest by as many lists as the sample needs for 0.95 of them; recall is measured in the tests."""
+    index, queries = _vector_index(spark, d)
+    return index.search(queries).withColumn("similarity", F.round("similarity", 6))
+
+
+@query("""with v as (select vec_id as id, embedding::double[] as e from embeddings), p as (select a.id as query_id, b.id, list_cosine_similarity(a.e, b.e) as s from v a, v b where a.id % 20 = 0)
+ select query_id, id, round(s, 6) as similarity from p qualify row_number() over (partition by query_id order by s desc, id) <= 10""")
+def vector_index_all_lists(spark, d):
+    """The same index with every list read: the exact ten nearest."""
+    index, queries = _vector_index(spark, d)
+    return index.search(queries, probes=len(index.model[0])).withColumn("similarity", F.round("similarity", 6))
+
+
 def _in_turn(spark: SparkSession, name: str, rows: DataFrame, start, most: int = 2) -> DataFrame:
     """Rows (arrival, ...) as messages of a topic that come in several commits; ``start(messages, out, checkpoint)`` runs after each, from its checkpoint. What it wrote."""
     from .functions.msgpack import decode, encode
