@@ -58,38 +58,42 @@ def hourly_success(results: DataFrame) -> DataFrame:
     return g.withColumn("success_rate", percent(F.col("successes"), F.col("total")))
 
 
-def quantiles(df: DataFrame, key: str, value: str, shares: dict[str, float]) -> DataFrame:
-    """(key, one column a share): exact, interpolated quantiles of a group's values, nulls left out.
+def quantiles(df: DataFrame, key: str, value: str, shares: dict[str, float], totals: dict[str, Column] | None = None) -> DataFrame:
+    """(key, one column a share): exact, interpolated quantiles of a group's values, nulls left out; ``totals`` are sums, by name, of the same groups.
 
-    Values are counted, and counts summed in narrow bins, before anything is ordered: running sums over the
-    bins of a group find the bins that hold the wanted ranks, and only their values are ordered. So no task
-    holds a group's values, whatever the number of groups. Keys are not null.
+    A first pass counts the values in narrow bins, together with all totals: running sums over the bins of a group find the bins that hold the
+    wanted ranks. A second pass counts and orders the values of these bins alone, so neither a shuffle nor a task holds a group's values, whatever
+    the number of groups. Keys are not null. Groups without values have their totals, and null quantiles.
     """
-    x = F.col(value)
+    x, totals = F.col(value), totals or {}
     bin_ = F.floor(F.signum(x) * F.log1p(F.abs(x)) * 1000)
-    counted = df.where(x.isNotNull()).groupBy(key, x.cast("double").alias("_x")).agg(F.count("*").alias("_n")).withColumn("_bin", F.floor(F.signum("_x") * F.log1p(F.abs("_x")) * 1000))
-    bins = df.where(x.isNotNull()).groupBy(key, bin_.alias("_bin")).agg(F.count("*").alias("_m"))
+    binned = df.groupBy(key, bin_.alias("_bin")).agg(F.count(x).alias("_m"), *[F.sum(c).alias(name) for name, c in totals.items()])
     one, upto = Window.partitionBy(key), Window.partitionBy(key).orderBy("_bin")
     ranks = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), (F.floor if side == "low" else F.ceil)(F.lit(q) * (F.col("_total") - 1)).alias("rank")) for name, q in shares.items() for side in ("low", "high")])
-    bins = bins.withColumn("_total", F.sum("_m").over(one)).withColumn("_before", F.sum("_m").over(upto) - F.col("_m")).withColumn("_want", F.explode(ranks))
+    bins = binned.where("_bin is not null").withColumn("_total", F.sum("_m").over(one)).withColumn("_before", F.sum("_m").over(upto) - F.col("_m")).withColumn("_want", F.explode(ranks))
     wanted = bins.where((F.col("_want.rank") >= F.col("_before")) & (F.col("_want.rank") < F.col("_before") + F.col("_m"))).select(key, "_bin", "_before", "_total", "_want.*")
-    few = counted.join(wanted, [key, "_bin"])
-    within = F.sum("_n").over(Window.partitionBy(key, "_bin", "name", "side").orderBy("_x")) + F.col("_before")
-    hit = few.withColumn("_upto", within).where((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_n")))
+    # A bin's wanted ranks are one row, so that no value is copied by the join.
+    held = wanted.groupBy(key, "_bin").agg(F.collect_list(F.struct("_before", "_total", "name", "side", "rank")).alias("_want"))
+    met = df.where(x.isNotNull()).select(key, x.cast("double").alias("_x"), bin_.alias("_bin")).join(held.select(key, "_bin"), [key, "_bin"], "left_semi")
+    counted = met.groupBy(key, "_bin", "_x").agg(F.count("*").alias("_n"))
+    few = counted.join(held, [key, "_bin"]).withColumn("_in", F.sum("_n").over(Window.partitionBy(key, "_bin").orderBy("_x"))).select(key, "_x", "_n", "_in", F.explode("_want").alias("_w")).select(key, "_x", "_n", "_w.*", (F.col("_in") + F.col("_w._before")).alias("_upto"))
+    hit = few.where((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_n")))
 
     def at(name: str, q: float) -> Column:
         low, high = (F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("_x"))) for side in ("low", "high"))
         part = F.lit(q) * (F.max("_total") - 1)
         return (low + (high - low) * (part - F.floor(part))).alias(name)
 
-    return hit.groupBy(key).agg(*[at(name, q) for name, q in shares.items()])
+    found = hit.groupBy(key).agg(*[at(name, q) for name, q in shares.items()])
+    return binned.groupBy(key).agg(*[F.sum(name).alias(name) for name in totals]).join(found, key, "left") if totals else found
 
 
 def worker_performance(results: DataFrame) -> DataFrame:
-    known = results.where("worker_id is not null")
-    g = known.groupBy("worker_id").agg(F.count("*").alias("total_requests"), _n(ok()).alias("successes"), _n(~ok()).alias("failures"), _avg().alias("avg_response_time"))
-    g = g.join(quantiles(known, "worker_id", "response_time", {"p95_response_time": 0.95}), "worker_id", "left").withColumn("p95_response_time", F.round("p95_response_time", 2))
-    return g.withColumn("success_rate", percent(F.col("successes"), F.col("total_requests")))
+    totals = {"total_requests": F.lit(1), "successes": ok().cast("int"), "failures": (~ok()).cast("int"), "_time": F.col("response_time"), "_timed": F.col("response_time").isNotNull().cast("int")}
+    g = quantiles(results.where("worker_id is not null"), "worker_id", "response_time", {"p95_response_time": 0.95}, totals)
+    g = g.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("successes", "failures")})
+    g = g.withColumns({"success_rate": percent(F.col("successes"), F.col("total_requests")), "avg_response_time": F.round(F.try_divide("_time", "_timed"), 2), "p95_response_time": F.round("p95_response_time", 2)})
+    return g.select("worker_id", "total_requests", "successes", "failures", "avg_response_time", "p95_response_time", "success_rate")
 
 
 def recent_error_stats(results: DataFrame, as_of: str, minutes: int = 60) -> DataFrame:
@@ -125,9 +129,8 @@ def hourly_recent(results: DataFrame, as_of: str, hours: int = 24) -> DataFrame:
 
 def response_times(results: DataFrame) -> DataFrame:
     known = results.where("response_time is not null").withColumn("status", F.when(ok(), "Success").otherwise("Failure"))
-    g = known.groupBy("status").agg(F.count("*").alias("count"), _avg().alias("avg_time_sec"), F.round(F.max("response_time"), 2).alias("max_sec"))
-    at = quantiles(known, "status", "response_time", {"median_sec": 0.5, "p95_sec": 0.95})
-    return g.join(at, "status").select("status", "count", "avg_time_sec", F.round("median_sec", 2).alias("median_sec"), F.round("p95_sec", 2).alias("p95_sec"), "max_sec")
+    g = quantiles(known, "status", "response_time", {"median_sec": 0.5, "p95_sec": 0.95, "max_sec": 1.0}, {"count": F.lit(1), "_time": F.col("response_time")})
+    return g.select("status", "count", F.round(F.try_divide("_time", "count"), 2).alias("avg_time_sec"), *[F.round(c, 2).alias(c) for c in ("median_sec", "p95_sec", "max_sec")])
 
 
 def timeout_domains(results: DataFrame, n: int = 20) -> DataFrame:

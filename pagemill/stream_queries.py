@@ -168,3 +168,23 @@ def stream_claims(spark, d):
     last = p.agg(F.max("page_id")).first()[0] or 0
     ask = p.select((F.col("page_id") % 3).cast("int").alias("shard"), F.lit("claim").alias("kind"), none.cast("string").alias("url"), none.cast("string").alias("queue"), none.cast("int").alias("priority"), F.expr("page_id div 3").alias("batch"), F.lit(7).alias("size"), (F.col("page_id") + last + 1).alias("arrival"))
     return _in_turn(spark, "claims", adds.union(ask), lambda m, out, c: states.start_states(states.claims(m), out, c)).select("shard", "batch", "position", "url")
+
+
+@query(f"with {CR} select * from (select 'processed_total' as name, count(*)::double as value from cr union all select 'succeeded_total', sum(success::int)::double from cr union all select 'failed_total', sum((not success)::int)::double from cr union all select 'seconds_total', round(sum(response_time), 3) from cr)")
+def stream_statistics(spark, d):
+    """Counters that a stream over all results told with its batches, in several runs of the same query."""
+    from .plans import metrics
+    from .streaming import statistics
+
+    root = _folder(spark, "statistics")
+    A.crawl_results(spark, d).repartition(6, "id").write.parquet(f"{root}/in")
+    listener = statistics.RunStatistics(spark, f"{root}/told", "results")
+    spark.streams.addListener(listener)
+    try:
+        rows = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+        seen = statistics.observed(rows, "results", statistics.result_metrics())
+        seen.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/c").trigger(availableNow=True).start().awaitTermination()
+        listener.done.wait(60)
+    finally:
+        spark.streams.removeListener(listener)
+    return metrics.instant(statistics.samples(spark, f"{root}/told"), []).withColumn("value", F.round("value", 3))

@@ -142,6 +142,67 @@ def test_quantiles_and_counters(spark):
     assert api.validate_metrics(metrics.range_summary(s), ["c", "d"]) == ["d"]
 
 
+def test_quantiles_in_two_passes(spark):
+    """Interpolated quantiles of groups with many equal values, few values and none, and their totals."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    groups = {"many": rng.lognormal(size=500).round(2).tolist() + [1.25] * 300, "one": [3.5], "two": [-2.0, 7.0], "none": []}
+    data = [(k, v) for k, vs in groups.items() for v in vs + [None]]
+    got = reports.quantiles(spark.createDataFrame(data, "k string, v double"), "k", "v", {"a": 0.5, "b": 0.95, "c": 1.0}, {"n": F.lit(1), "s": F.col("v")}).collect()
+    assert {r.k for r in got} == set(groups)
+    for r in got:
+        vs = groups[r.k]
+        assert r.n == len(vs) + 1
+        if vs:
+            assert np.allclose([r.a, r.b, r.c, r.s], [*np.quantile(vs, [0.5, 0.95, 1.0]), sum(vs)])
+        else:
+            assert (r.a, r.b, r.c, r.s) == (None, None, None, None)
+
+
+def test_sliding_rates(spark):
+    """Windows with resets, gaps, single samples and rises from zero, against a plain reading of each window."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    series = {}
+    for name in "abc":
+        t = np.cumsum(rng.choice([0.5, 7, 15, 15, 15, 60, 400], 300)) + 1_700_000_000
+        v = np.cumsum(rng.choice([0, 1, 5], 300)).astype(float)
+        for at in (90, 91, 200):
+            v[at:] -= v[at]
+        series[name] = list(zip(t.tolist(), v.tolist(), strict=True))
+    series["edge"] = [(1_700_000_040.0, 0.0), (1_700_000_100.0, 6.0), (1_700_000_340.0, 9.0)]
+    data = [(n, T.fromtimestamp(t, datetime.timezone.utc).replace(tzinfo=None), v) for n, s in series.items() for t, v in s] + [("a", None, 1.0), ("b", T(2024, 1, 1), None)]
+    got = {(r.name, int(r.ts.replace(tzinfo=datetime.timezone.utc).timestamp())): r.rate for r in metrics.sliding_rate(spark.createDataFrame(data, "name string, ts timestamp, value double"), []).collect()}
+    want = {}
+    for name, s in series.items():
+        for end in range(int(s[0][0]) // 60 * 60, int(s[-1][0]) + 361, 60):
+            w = [(t, v) for t, v in s if end - 300 < t <= end]
+            if len(w) < 2:
+                continue
+            rise = sum(b if b < a else b - a for (_, a), (_, b) in zip(w, w[1:], strict=False))
+            span = w[-1][0] - w[0][0]
+            gap = span / (len(w) - 1)
+            start, stop = (x if x < 1.1 * gap else gap / 2 for x in (w[0][0] - (end - 300), end - w[-1][0]))
+            if rise > 0:
+                start = min(start, span * w[0][1] / rise)
+            want[name, end] = rise * (span + start + stop) / span / 300
+    assert got.keys() == want.keys() and len(want) > 500
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert metrics.sliding_rate(spark.createDataFrame([], "name string, ts timestamp, value double"), []).count() == 0
+
+
+def test_sketches(spark):
+    """Estimates of windows from merged sketches of hours are within the stated error; nulls count as rows alone."""
+    rows = spark.range(60000).select((F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=(F.col("id") % 2880).cast("int"))).alias("created_at"), F.when(F.col("id") % 10 != 0, F.concat(F.lit("d"), (F.col("id") * 7919) % 20011)).alias("domain"))
+    parts = [reports.hourly_sketches(rows.where(F.pmod(F.hash("domain"), F.lit(3)) == k)) for k in range(3)]
+    for r in reports.estimated_totals(reports.merged_sketches(*parts), "1 day", "12 hours").collect():
+        inside = rows.where((F.col("created_at") >= F.lit(r.start)) & (F.col("created_at") < F.lit(r.start) + F.expr("interval 1 day")))
+        n, exact = inside.agg(F.count("*"), F.count_distinct("domain")).first()
+        assert r.estimated_total == n and abs(r.estimated_distinct - exact) <= exact * reports.SKETCH_ERROR
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "r.json").write_text(json.dumps({"tests": [{"name": "a", "status": "passed", "duration": 1.0}, {"name": "b", "status": "failed", "duration": 3.0}]}))
     tests = readers.test_report(spark, str(tmp_path / "r.json"))

@@ -190,3 +190,30 @@ def test_retries_come_when_due(spark, tmp_path):
         states.start_states(states.retries(stream), f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination()
     got = sorted((r.url, r.due // 60_000 - int(t0.replace(tzinfo=datetime.UTC).timestamp()) // 60, r.attempt) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == [("a", 30, 1), ("a", 65, 2), ("a", 96, 3)]
+
+
+def test_run_statistics(spark, tmp_path):
+    """Counters go on after a restart, a batch told twice counts once, and nulls are no failures."""
+    from pagemill.plans import metrics
+    from pagemill.streaming import statistics
+
+    root = f"file://{tmp_path}/s"
+    schema = "id long, success boolean, response_time double"
+
+    def run(data):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        listener = statistics.RunStatistics(spark, f"{root}/told", "results")
+        spark.streams.addListener(listener)
+        try:
+            rows = spark.readStream.schema(schema).parquet(f"{root}/in")
+            seen = statistics.observed(rows, "results", statistics.result_metrics())
+            seen.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/c").trigger(availableNow=True).start().awaitTermination()
+            assert listener.done.wait(60)
+        finally:
+            spark.streams.removeListener(listener)
+        return {r.name: r.value for r in metrics.instant(statistics.samples(spark, f"{root}/told"), []).collect()}
+
+    assert run([(1, True, 0.5), (2, False, None), (3, None, 1.0)]) == {"processed_total": 3, "succeeded_total": 1, "failed_total": 1, "seconds_total": 1.5}
+    assert run([(4, True, 0.25)]) == {"processed_total": 4, "succeeded_total": 2, "failed_total": 1, "seconds_total": 1.75}
+    told = statistics.samples(spark, f"{root}/told").where("name = 'processed_total'").orderBy("value").collect()
+    assert [r.value for r in told if r.value] == [3, 4] and len({r.run for r in told}) == 1
