@@ -75,8 +75,9 @@ def page_content(spark, d):
 
 @query(f"with {_OBJECTS} select id from o")
 def existing_objects(spark, d):
+    """Pages whose own text is stored; pages with one URL share a key."""
     p, o = _stored(spark, d)
-    return readers.objects_exist(p.select("id", F.col("markdown_key").alias("key")), o).select("id")
+    return readers.objects_exist(p.select("id", F.col("markdown_key").alias("key"), F.concat(F.lit("body of "), "id").alias("content")), o).select("id")
 
 
 @query("select page_id, html from pages where page_id % 3 <> 0")
