@@ -1,6 +1,7 @@
 """Upserts as joins: new rows of a key meet the stored row, and the result replaces the table.
 
-Several arrivals of a key in a batch count each: the last by arrival wins, the version grows by their number.
+Several arrivals of a key in a batch count each: the last by arrival wins, the version grows by their number. Of arrivals at one time that
+which was crawled first counts, where rows tell.
 """
 
 from __future__ import annotations
@@ -17,8 +18,11 @@ MESSAGE_CHARS = 1000
 def arrivals(batch: DataFrame, keys: list[str], arrival: str) -> DataFrame:
     """One row per key: the last arrival's values, the first's under ``_first``, and ``_arrivals``. Pre-aggregated."""
     rest = [c for c in batch.columns if c not in keys]
-    row = F.struct(*rest)
-    g = batch.groupBy(*keys).agg(F.max_by(row, F.col(arrival)).alias("_last"), F.min_by(row, F.col(arrival)).alias("_first"), F.count("*").alias("_arrivals"))
+    row, last, first = F.struct(*rest), F.col(arrival), F.col(arrival)
+    if "crawled_at" in rest:
+        crawled = F.unix_micros(F.col("crawled_at").cast("timestamp"))
+        last, first = (F.when(F.col(arrival).isNotNull(), F.struct(arrival, x.alias("crawled"))) for x in (-crawled, crawled))
+    g = batch.groupBy(*keys).agg(F.max_by(row, last).alias("_last"), F.min_by(row, first).alias("_first"), F.count("*").alias("_arrivals"))
     return g.select(*keys, "_last.*", "_first", "_arrivals")
 
 
