@@ -16,6 +16,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ from .search import bounded_sample, k_means
 
 #: Rows that are read to learn centres (about, at most); sample rows a list needs; tasks that share a list; rows of the sample that measure recall.
 SAMPLE, ROWS_A_LIST, SALTS, JUDGES = 20_000, 20, 8, 500
+#: Rows (about) and queries (on average) that meet in one task at a time; queries of a product of matrices.
+SLAB, QUERIES = 20_000, 256
 #: Added to every bound, for what sums in another order may differ by.
 SLACK = 1e-6
 
@@ -42,6 +46,11 @@ def _units(vectors) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as rows."""
+    return column.combine_chunks().flatten().to_numpy().reshape(len(column), -1).astype(float)
+
+
 def probes_for(units: np.ndarray, centres: np.ndarray, k: int, target: float) -> tuple[int, float]:
     """The fewest lists by which the first of the sample find ``target`` of their k nearest among the others, and what share they do find."""
     judges, others = units[:JUDGES], units[JUDGES:]
@@ -121,37 +130,70 @@ class VectorIndex:
         return self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(f"{self.path}/{name}")
 
     def nearest_lists(self, queries: DataFrame, probes: int, id_col: str, vector_col: str) -> DataFrame:
-        """A row per query and list to read: (query_id, list_id, base, weights); the score of a code is base + the sum of weights times code."""
-        centres, steps, _, _ = self.model
-        width = centres.shape[1]
+        """A row per query: (query_id, unit, lists), its direction and the lists it reads."""
+        centres = self.model[0]
 
-        @arrow_udf("weights array<double>, lists array<struct<list_id:int,base:double>>", once=True)
+        @arrow_udf("unit array<double>, lists array<int>", once=True)
         def near(vectors: pd.Series) -> pd.DataFrame:
             if not len(vectors):
-                return pd.DataFrame({"weights": [], "lists": []})
+                return pd.DataFrame({"unit": [], "lists": []})
             units = _units(vectors)
-            bases = units @ centres.T
-            first = np.argsort(-bases, axis=1, kind="stable")[:, :probes]
-            return pd.DataFrame({"weights": list(units * steps), "lists": [[{"list_id": int(i), "base": float(b[i])} for i in f] for f, b in zip(first, bases, strict=True)]})
+            first = np.argsort(-(units @ centres.T), axis=1, kind="stable")[:, :probes]
+            return pd.DataFrame({"unit": list(units), "lists": list(first.astype("int32"))})
 
-        fit = queries.where((F.size(vector_col) == width) & usable(vector_col)).withColumn("_n", near(vector_col))
-        return fit.select(F.col(id_col).alias("query_id"), F.col("_n.weights").alias("weights"), F.explode("_n.lists").alias("l")).select("query_id", "l.list_id", "l.base", "weights")
+        fit = queries.where((F.size(vector_col) == centres.shape[1]) & usable(vector_col)).withColumn("_n", near(vector_col))
+        return fit.select(F.col(id_col).alias("query_id"), "_n.unit", "_n.lists")
 
     def codes_of(self, wanted: DataFrame) -> DataFrame:
-        """Codes of the lists that are named, by a filter on the partitions."""
-        lists = [r.list_id for r in wanted.select("list_id").distinct().collect()]  # no more than there are centres
+        """Codes of the lists that queries (lists) read, by a filter on the partitions."""
+        lists = [r.l for r in wanted.select(F.explode("lists").alias("l")).distinct().collect()]  # no more than there are centres
         return self.table("codes").where(F.col("list_id").isin(lists) if lists else F.lit(False))
 
+    def likely(self, near: DataFrame, k: int) -> DataFrame:
+        """(query_id, id, batch) of all codes that may be among a query's k nearest in its lists.
+
+        Codes are dealt out into slabs of whole lists, or of salts of large ones, and a query goes once to each slab that holds a list of its own. There the
+        scores are products of matrices, and what k others of the slab are sure to beat stays there; so slabs grow in number with the rows, and
+        what they send on with the queries.
+        """
+        centres, steps, _, _ = self.model
+        codes, queries = self.codes_of(near), near.count()
+        groups = max(1, math.ceil(codes.count() / SLAB))
+        salts = min(SALTS, math.ceil(groups / len(centres)))
+        groups, parts = min(groups, len(centres)), max(1, math.ceil(queries / SLAB))
+
+        def meet(key: tuple, asked: pa.Table, stored: pa.Table) -> pa.Table:
+            out = []
+            if asked.num_rows and stored.num_rows:
+                own = stored["list_id"].to_numpy()
+                known = centres[own] + _matrix(stored["code"]) * steps
+                err = stored["err"].to_numpy()
+                units, lists = _matrix(asked["unit"]), asked["lists"].combine_chunks()
+                reads = np.zeros((asked.num_rows, len(centres)), bool)
+                reads[np.repeat(np.arange(asked.num_rows), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()] = True
+                for first in range(0, asked.num_rows, QUERIES):
+                    score = np.where(reads[first : first + QUERIES][:, own], units[first : first + QUERIES] @ known.T, -np.inf)
+                    low = score - err
+                    least = np.partition(low, -k, axis=1)[:, -k] if low.shape[1] > k else np.full(len(low), -np.inf)
+                    row, col = np.nonzero((score + err >= least[:, None]) & (score > -np.inf))
+                    out.append(pa.table({"query_id": asked["query_id"].take(pa.array(row + first)), "id": stored["id"].take(pa.array(col)), "batch": stored["batch"].take(pa.array(col)), "score": score[row, col], "err": err[col]}))
+            return pa.concat_tables(out) if out else pa.table({n: pa.array([], t) for n, t in (("query_id", asked.schema.field("query_id").type), ("id", pa.int64()), ("batch", pa.string()), ("score", pa.float64()), ("err", pa.float64()))})
+
+        slab = F.expr(f"list_id % {groups}")
+        stored = codes.select(slab.alias("slab"), F.expr(f"salt % {salts}").cast("int").alias("salt"), "list_id", "id", "batch", "code", "err", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+        asked = near.withColumns({"slab": F.explode(F.array_distinct(F.transform("lists", lambda x: x % groups))), "part": F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")})
+        asked = asked.withColumns({"salt": F.explode(F.sequence(F.lit(0), F.lit(salts - 1))), "lists": F.filter("lists", lambda x: x % groups == F.col("slab"))})
+        keys, kind = ["slab", "salt", "part"], near.schema["query_id"].dataType.simpleString()
+        met = asked.select(*keys, "query_id", "unit", "lists").groupBy(*keys).cogroup(stored.groupBy(*keys)).applyInArrow(meet, f"query_id {kind}, id long, batch string, score double, err double")
+        met = met.persist(StorageLevel.DISK_ONLY)
+        low = met.select("query_id", (F.col("score") - F.col("err")).alias("low"))
+        kth = low.withColumn("_r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("low")))).where(F.col("_r") <= k).groupBy("query_id").agg(F.min("low").alias("least"))
+        return met.join(kth, "query_id").where(F.col("score") + F.col("err") >= F.col("least")).select("query_id", "id", "batch")
+
     def search(self, queries: DataFrame, k: int = 10, probes: int | None = None, id_col: str = "query_id", vector_col: str = "embedding") -> DataFrame:
         """(query id, id, similarity) of the k nearest rows in the lists read; any number of queries is one join. ``probes``: lists a query reads, else as trained."""
         near = self.nearest_lists(queries, probes or self.model[2], id_col, vector_col)
-        salted = near.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        score = F.col("base") + F.aggregate(F.zip_with("weights", "code", lambda w, c: w * c), F.lit(0.0), lambda s, x: s + x)
-        met = self.codes_of(near).join(salted, ["list_id", "salt"]).select("query_id", "id", "batch", score.alias("score"), "err")
-        low = met.select("query_id", "id", (F.col("score") - F.col("err")).alias("low"))
-        kth = low.withColumn("_r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("low")))).where(F.col("_r") <= k).groupBy("query_id").agg(F.min("low").alias("least"))
-        likely = met.join(kth, "query_id").where(F.col("score") + F.col("err") >= F.col("least")).select("query_id", "id", "batch")
         asked = queries.select(F.col(id_col).alias("query_id"), F.col(vector_col).alias("_q"))
-        found = likely.join(self.table("vectors"), ["id", "batch"]).join(asked, "query_id").select("query_id", "id", cosine("embedding", "_q").alias("similarity"))
+        found = self.likely(near, k).join(self.table("vectors"), ["id", "batch"]).join(asked, "query_id").select("query_id", "id", cosine("embedding", "_q").alias("similarity"))
         best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
         return found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).select(F.col("query_id").alias(id_col), "id", "similarity")
