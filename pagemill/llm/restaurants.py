@@ -3,7 +3,8 @@
 Every word that precedes another is a context with a restaurant of its own; all of them share the restaurant without
 context as parent, whose own parent is uniform over the known words and one unknown. A customer is an occurrence of a
 word in its context; the tables at which a word is served in a restaurant are its customers in the parent. A sweep takes
-customers from their tables and seats each anew; predictive probabilities are averaged over the states of several rounds.
+all customers of each dish from their tables and seats them anew at once, drawn from the posterior of their seatings (blocked
+Gibbs sampling); predictive probabilities are averaged over the states of several rounds.
 
 Work is dealt out twice. *Buckets* own pairs (word, context), by ranges of the word's hash; a word too common for one bucket is
 dealt by word and context. *Owners* own words, by the same ranges: their counts, their restaurants' totals and their place in the parent. Tables
@@ -14,6 +15,7 @@ arrays, one from each sender to each address: a word or pair comes at most once
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 from collections.abc import Callable, Iterator
@@ -31,8 +33,10 @@ from .common import LOWER, Scratch, sampled, schema_of, utf8
 
 #: Tokens of a slice that is encoded at once and of a block of whole documents; text bytes of a bucket, and buckets at least; bytes of text split at once.
 SLICE, BLOCK, BUCKET_BYTES, BUCKETS, PIECE = 200_000, 2_000_000, 16 << 20, 12, 1 << 20
-#: Rounds that are not used, rounds whose states are averaged, customers of each dish that are seated anew in a round.
-BURN_IN, SAMPLES, MOVES = 1, 2, 12
+#: Rounds that are not used and rounds whose states are averaged; each seats all customers anew.
+BURN_IN, SAMPLES = 1, 2
+#: Customers of a dish up to which its seatings are counted one customer after the other, numbers held at once there, and points of an integral beyond.
+LISTED, HELD, POINTS = 2048, 1 << 20, 64
 #: Strength of a context's restaurant and of the parent; discounts come from the counts, within these bounds.
 STRENGTH, PARENT_STRENGTH, DISCOUNTS = 0.5, 1.0, (0.1, 0.95)
 #: Documents that are looked at to find words too common for one bucket, and the most such words (8 bytes each, sent to all tasks).
@@ -365,52 +369,74 @@ def owned(to: int, letters: Iterator[tuple]) -> Iterator[tuple]:
         yield letter(to, OWNED, to, pack(x, n, small(followers.astype(np.int64)), small(before.astype(np.int64))), float(n[real].sum()), float(real.sum()), float((before == 1).sum()), float((before == 2).sum()))
 
 
-def seated(customers: np.ndarray, opening: np.ndarray, discount: float, rng: np.random.Generator, moves: int = MOVES) -> np.ndarray:
-    """Numbers of tables of dishes after Gibbs moves; ``opening``: the weight of a new table, (strength + discount x tables) x probability.
+def log_ways(n: np.ndarray, tables: np.ndarray, discount: float) -> np.ndarray:
+    """Logarithms of how many seatings of ``n`` customers have so many tables, each weighted by (size - 1 - discount) ... (1 - discount) of its tables.
 
-    A chain starts where a growing crowd would be on average. A move takes one customer of each dish, drawn from all of them, from
-    its table, and seats it: at a table with weight size less discount, at a new one with the weight of opening.
+    Up to a summand of ``n`` alone. They are n! / tables! times the coefficient of x ** n in ((1 - (1 - x) ** d) / d) ** tables: an integral along a
+    parabola about the branch cut, through the saddle or near 1, by the trapezoidal rule, which here converges like a geometric series.
     """
-    c, a = customers.astype(np.int64), opening
-    n = len(c)
-    tables, grown = np.ones(n), np.ones(n)
-    todo = np.flatnonzero(c > 1)
-    while len(todo):
-        now = grown[todo]
-        then = np.minimum(c[todo], np.floor(now * 1.4) + 1)
-        tables[todo] += (then - now) * a[todo] / (now - discount * tables[todo] + a[todo])
-        grown[todo] = then
-        todo = todo[then < c[todo]]
-    tables = np.clip(np.floor(tables + rng.random(n)), 1, c).astype(np.int64)
-    slots = tables.copy()
-    sizes = np.ones(int(slots.sum()), np.int64)
-    sizes[np.cumsum(slots) - slots] = c - tables + 1
-
-    def drawn(first: np.ndarray, of: np.ndarray, crowd: np.ndarray) -> np.ndarray:
-        """The table of a customer drawn from each of the dishes ``of``."""
-        ends = np.cumsum(sizes)
-        place = ends[first[of]] - sizes[first[of]] + (rng.random(len(of)) * crowd).astype(np.int64)
-        return np.searchsorted(ends, place, "right")
-
-    everyone = np.arange(n)
-    for _ in range(moves):
-        first = np.cumsum(slots) - slots
-        left = drawn(first, everyone, c)
-        sizes[left] -= 1
-        empty = sizes[left] == 0
-        tables -= empty
-        new = rng.random(n) * (c - 1 - discount * tables + a) < a
-        todo, at = np.flatnonzero(~new), np.zeros(n, np.int64)
-        while len(todo):
-            at[todo] = drawn(first, todo, c[todo] - 1)
-            size = sizes[at[todo]]
-            todo = todo[rng.random(len(todo)) * size >= size - discount]
-        sizes[at[~new]] += 1
-        sizes[left[new & empty]] = 1
-        tables += new
-        more = np.flatnonzero(new & ~empty)
-        sizes = np.insert(sizes, first[more] + slots[more], 1)
-        slots[more] += 1
+    d = discount
+    low, high = np.full(len(n), -80.0), np.zeros(len(n))
+    for _ in range(60):  # the saddle, by the logarithm of its distance from 1
+        z = (low + high) / 2
+        above = np.log(tables * d) + np.log(-np.expm1(np.minimum(z, -1e-15))) + (d - 1) * z - np.log(-np.expm1(np.minimum(d * z, -1e-15))) > np.log(n)
+        low, high = np.where(above, z, low), np.where(above, high, z)
+    m = np.maximum(-np.log(-np.expm1(np.minimum(high, -1e-12))), 2 / n)
+    width = np.minimum(2 + np.sqrt(20 / (n * m * (1 - d))), math.pi / (2 * m))
+    step = 1 + 1j * np.linspace(0, 1, POINTS) * width[:, None]
+    x = -m[:, None] * step**2
+    e = tables[:, None] * np.log((1 - np.exp(d * np.log(-np.expm1(x)))) / d) - n[:, None] * x
+    top = e[:, :1].real
+    f = (step * np.exp(e - top)).real
+    area = (f.sum(axis=1) - f[:, 0] / 2) * m * width
+    return top[:, 0] + np.log(np.maximum(area, 1e-300)) - np.array([math.lgamma(t + 1) for t in tables])
+
+
+def _crowd(c: int, a: float, discount: float, rng: np.random.Generator) -> int:
+    """Tables of one dish with many customers: numbers about the mean, in cells of at most an eighth of their spread, of single numbers where that is small."""
+    z = np.array([-200.0, 0.0])
+    for _ in range(60):  # of sums weighted by a ** tables the saddle, as above
+        y = z.mean()
+        z[0 if math.log(a) + math.log(-math.expm1(min(y, -1e-15))) + (discount - 1) * y > math.log(c) else 1] = y
+    y = math.exp(z[1])
+    mean = a * -math.expm1(discount * z[1]) / discount
+    spread = math.sqrt(max(1.0, mean - a * y**discount * (1 - y) / (y + (1 - discount) * (1 - y))))
+    cell = max(1, int(spread / 8) // 2 * 2 - 1)
+    first = max(1, int(mean - 9 * spread))
+    middle = np.arange(min(first + cell // 2, c), min(c, int(mean + 9 * spread + 12)) + 1, cell).astype(float)
+    weight = log_ways(np.full(len(middle), float(c)), middle, discount) + middle * math.log(a)
+    share = np.cumsum(np.exp(weight - weight.max()))
+    at = np.searchsorted(share, rng.random() * share[-1], "right")
+    return int(min(c, middle[at] - cell // 2 + rng.integers(cell)))
+
+
+def seated(customers: np.ndarray, opening: np.ndarray, discount: float, rng: np.random.Generator, listed: int = LISTED) -> np.ndarray:
+    """Numbers of tables of dishes, all customers of each seated anew; ``opening``: the weight of a new table, (strength + discount x tables) x probability.
+
+    A seating's probability is the product of its tables' weights, that of one with k customers opening x (1 - discount) ... (k - 1 - discount).
+    This draws from it, whatever the dish had before, as endless single moves of its customers would. Seatings by tables are counted one customer
+    after the other for all dishes of up to ``listed``, then by an integral for each larger one, so that a very common pair takes no longer.
+    """
+    c = customers.astype(np.int64)
+    tables = np.ones(len(c), np.int64)
+    order = np.argsort(c, kind="stable")
+    order = order[np.searchsorted(c[order], 2) :]
+    cuts = np.append(runs(c[order]), len(order))
+    ways, now = np.zeros(1), 1
+    for first, end in zip(cuts[:-1], cuts[1:], strict=True):
+        n = int(c[order[first]])
+        if n > listed:
+            for i in order[first:]:
+                tables[i] = _crowd(int(c[i]), float(opening[i]), discount, rng)
+            break
+        for k in range(now, n):  # ways of k + 1 customers from those of k
+            ways = np.logaddexp(np.append(ways + np.log(k - discount * np.arange(1, k + 1)), -np.inf), np.append(-np.inf, ways))
+        now, t = n, np.arange(1, n + 1)
+        for at in range(first, end, max(1, HELD // n)):
+            own = order[at : min(end, at + max(1, HELD // n))]
+            share = ways + t * np.log(opening[own])[:, None]
+            share = np.cumsum(np.exp(share - share.max(axis=1, keepdims=True)), axis=1)
+            tables[own] = 1 + (share[:, :-1] <= (rng.random(len(own)) * share[:, -1])[:, None]).sum(axis=1)
     return tables
 
 
