@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import LOWER, Scratch, apart, arrow_map, components, utf8
+from .common import LOWER, Scratch, apart, arrow_map, components, merged, utf8
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: (segment that is equal, segment that may differ in a bit)
@@ -130,10 +130,10 @@ def links_of(prints: DataFrame, scratch: Scratch, most_bits: int = 2) -> DataFra
     keys = arrow_map(prints.select("fp"), expand, "key bigint, fp bigint, own boolean")
     # A key is of use only where several fingerprints meet and one has it as its own.
     shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("any")).where("n > 1 and any").select("key", "n")
-    met = scratch.hold(keys.join(apart(shared, "key"), "key"))
+    met = scratch.hold(keys.join(merged(apart(shared, "key")), "key"))
     light, heavy = met.where(F.col("n") <= CROWDED), met.where(F.col("n") > CROWDED)
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= most_bits
-    paired = light.where("own").select("key", F.col("fp").alias("u")).join(light.select("key", F.col("fp").alias("v")), "key").where((F.col("u") != F.col("v")) & near)
+    paired = light.where("own").select("key", F.col("fp").alias("u")).join(merged(light.select("key", F.col("fp").alias("v"))), "key").where((F.col("u") != F.col("v")) & near)
     pairs = paired.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
     crowded = heavy.select("fp").distinct()
@@ -161,8 +161,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = scratch.hold(fingerprints(docs, id_col, text_col, words_in_shingle))
     nodes = scratch.hold(marked.groupBy("fp").agg(F.min("id").alias("least")))
     links = links_of(nodes, scratch, most_bits)
-    roots = components(links, scratch)
+    roots = merged(components(links, scratch))
     scratch.drop(links)
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.join(apart(rooted.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("fp", "component")
-    return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component")
+    named = rooted.join(merged(apart(rooted.groupBy("root").agg(F.min("least").alias("component")), "root")), "root").select("fp", "component")
+    return marked.join(merged(named), "fp").select(F.col("id").alias(id_col), "fp", "component")
