@@ -34,7 +34,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near duplicates the document with the smallest id; of equal rows one.
 
-    Sets of five-word shingles link at a Jaccard similarity of 0.8 or more, decided by the whole sets. Null,
+    SimHash fingerprints of sets of five-word shingles propose pairs, and MinHash keys those that two bits do not reach;
+    a pair links at a Jaccard similarity of 0.8 or more, decided by the whole sets. Null,
     empty and blank texts are one group; rows of one id with different texts are judged text by text,
     and all of them stay where they hold a group's smallest id. Documents with a null id are never dropped.
     """

@@ -1,7 +1,7 @@
 """Near-duplicates by the Jaccard similarity of word shingles, for ``simhash.near_duplicates`` with a ``similarity``.
 
-Fingerprints within two bits find few pairs at 0.8, where about ten of 64 bits differ, so there MinHash keys
-propose pairs, and whole sets decide them. A text is the set of its shingles' 64-bit hashes; equal sets
+SimHash fingerprints of the sets propose pairs first. Within two bits they find few pairs at 0.8, where about ten of 64 bits differ, so there
+MinHash keys propose more; whole sets decide all pairs. A text is the set of its shingles' 64-bit hashes; equal sets
 are one node from the start. A node has ``BANDS`` keys, each of ``ROWS`` minima over its set. A pair of
 similarity s shares no key with probability (1 - s ** ROWS) ** BANDS: three in a million at 0.8, fewer above.
 
@@ -14,6 +14,8 @@ its size and not the square of it, and no pair that shares a key is lost.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -62,23 +64,24 @@ def similar(a, b, least: float) -> bool:
     return both >= least * (len(x) + len(y) - both) - 1e-9
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """Rows (id, copy, node, n, keys); ``copy`` is a hash of the text."""
+def _marked(docs: DataFrame, id_col: str, text_col: str, k: int, print_of: Callable[[np.ndarray], int] | None) -> DataFrame:
+    """Rows (id, copy, node, n, fp, keys); ``copy`` is a hash of the text, ``fp`` the set's fingerprint."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        node, size, keys = [], [], []
+        node, size, prints, keys = [], [], [], []
         for text in batch.column(2):
             members = shingle_set(text.as_py(), k)
             node.append(node_of(members))
             size.append(len(members))
+            prints.append(print_of(members) if print_of else 0)
             # A set of one shingle equals another or has nothing in common with it.
             keys.append(band_keys(members) if len(members) > 1 else members[:0])
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys).view(np.int64)))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(size, pa.int32()), lists], ["id", "copy", "node", "n", "keys"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(size, pa.int32()), pa.array(np.array(prints, np.uint64).view(np.int64)), lists], ["id", "copy", "node", "n", "fp", "keys"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(utf8(text_col)).alias("copy"), utf8(text_col).alias("text"))
-    return arrow_map(rows, run, f"id {docs.schema[id_col].dataType.simpleString()}, copy bigint, node bigint, n int, keys array<bigint>")
+    return arrow_map(rows, run, f"id {docs.schema[id_col].dataType.simpleString()}, copy bigint, node bigint, n int, fp bigint, keys array<bigint>")
 
 
 def _sets(docs: DataFrame, text_col: str, copies: DataFrame, k: int) -> DataFrame:
@@ -138,8 +141,10 @@ def _unlinked(nodes: DataFrame, sets: DataFrame, least: float, scratch: Scratch)
     return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """One row per document: (id, node, component), component the smallest id reachable over links.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 5, least: float = 0.8, print_of: Callable[[np.ndarray], int] | None = None, propose: Callable[[DataFrame, Scratch], DataFrame] | None = None) -> DataFrame:
+    """One row per document: (id, node, fp, component), component the smallest id reachable over links.
+
+    ``print_of`` gives a set's fingerprint and ``propose`` pairs of nodes by them, which the sets decide as they do those by MinHash keys.
 
     Links join documents whose sets of shingles have a Jaccard similarity of ``least`` or more. Null texts and
     texts without words are one node. Rows with a null id have a component as others do, but never name
@@ -148,8 +153,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scratch = Scratch(docs.sparkSession, "shingles")
 
     # A table that is written has a known size, so a join need not deal out the other side to a small one.
-    marked = scratch.hold(_marked(docs, id_col, text_col, words_in_shingle))
-    nodes = scratch.hold(marked.groupBy("node").agg(F.min("id").alias("least"), F.min("copy").alias("copy")))
+    marked = scratch.hold(_marked(docs, id_col, text_col, words_in_shingle, print_of))
+    nodes = scratch.hold(marked.groupBy("node").agg(F.min("id").alias("least"), F.min("copy").alias("copy"), F.min("n").alias("n"), F.min("fp").alias("fp")))
     keys = marked.select("node", F.explode("keys").alias("key"))
     shared = scratch.put(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("times")).where("low <> high").select("key", "times"))
     met = scratch.put(keys.join(apart(shared, "key"), "key").distinct())
@@ -157,8 +162,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ranked = scratch.put(met.select("key", "node").join(apart(degree, "node"), "node"))
     pivots = ranked.groupBy("key").agg(F.max(F.struct("degree", "node"))["node"].alias("pivot"))
     star = ranked.select("key", "node").join(apart(pivots, "key"), "key").where("node <> pivot")
-    first = scratch.put(star.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct())
-    copies = scratch.put(nodes.join(degree, "node", "left_semi").select("copy"))
+    proposed, wanted = star.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")), degree.select("node")
+    if propose:
+        # Different sets of one shingle have nothing in common.
+        alike = propose(nodes.where("n > 1").select("node", "fp"), scratch)
+        proposed = proposed.union(alike)
+        wanted = wanted.union(alike.select("u")).union(alike.select("v"))
+    first = scratch.put(proposed.distinct())
+    copies = scratch.put(nodes.join(wanted, "node", "left_semi").select("copy"))
     sets = scratch.put(_sets(docs, text_col, copies, words_in_shingle))
     links = scratch.put(_verified(first, sets, least))
     roots = scratch.put(components(links, scratch))
@@ -173,4 +184,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links, scratch)
     named = nodes.join(roots, nodes.node == roots.node, "left").select(nodes.node, "least", F.coalesce("root", nodes.node).alias("root"))
     out = named.join(apart(named.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("node", "component")
-    return marked.drop("keys").join(out, "node").select(F.col("id").alias(id_col), "node", "component")
+    return marked.drop("keys").join(out, "node").select(F.col("id").alias(id_col), "node", "fp", "component")

@@ -102,7 +102,12 @@ def fingerprint(text: bytes, words_in_shingle: int, seed: int) -> int:
     starts = [0, *ends.tolist()]
     digest, k = xxhash.xxh64_intdigest, words_in_shingle
     hashes = [digest(joined[s:e], seed) for s, e in zip(starts, (ends[k - 1 :] - 1).tolist(), strict=False)]
-    octets = np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8)
+    return majority(np.array(hashes, np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Bits set in over half the hashes; 0 of none."""
+    octets = hashes.view(np.uint8).reshape(-1, 8)
     ones = np.concatenate([np.bincount(octets[:, j], minlength=256) @ BITS for j in range(8)])
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
@@ -146,17 +151,31 @@ def links_of(prints: DataFrame, scratch: Scratch, most_bits: int = 2) -> DataFra
     return links
 
 
+def near_nodes(nodes: DataFrame, scratch: Scratch, most_bits: int = 2) -> DataFrame:
+    """Pairs (u, v), u > v, of nodes (node, fp) that connect all whose fingerprints are within ``most_bits``: each with the first of its fingerprint, and these by links."""
+    firsts = scratch.put(nodes.groupBy("fp").agg(F.min("node").alias("first")))
+    same = nodes.select("node", "fp").join(merged(apart(firsts, "fp")), "fp").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    links = links_of(firsts, scratch, most_bits)
+    a, b = (firsts.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_first")) for c in "uv")
+    between = links.join(merged(a), "u").join(merged(b), "v").select(F.col("u_first").alias("u"), F.col("v_first").alias("v"))
+    out = scratch.put(same.union(between).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    scratch.drop(firsts, links)
+    return out
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 3, most_bits: int = 2, similarity: float | None = None) -> DataFrame:
     """One row per document: (id, fp, component), component the smallest id reachable over links.
 
-    Links are fingerprints within ``most_bits``. With ``similarity`` they are sets of shingles with a Jaccard
-    similarity of that or more instead, see ``shingles``: two bits do not reach 0.8; ``fp`` is then a hash of the set.
+    Links are fingerprints within ``most_bits``. With ``similarity`` those propose pairs of sets of shingles, a fingerprint
+    being of the set, and the whole sets decide: a link is a Jaccard similarity of that or more. Two bits do not reach
+    all pairs at 0.8, so that MinHash keys add the rest, see ``shingles``.
     Null texts and texts without words have fingerprint 0 and are linked like any other; shorter texts
     than a shingle hash whole. Rows with a null id have a component as others do, but never name it
     unless all ids in it are null. Other columns are ignored; an empty table gives an empty one.
     """
     if similarity is not None:
-        return shingles.near_duplicates(docs, id_col, text_col, words_in_shingle, similarity).withColumnRenamed("node", "fp")
+        found = shingles.near_duplicates(docs, id_col, text_col, words_in_shingle, similarity, majority, lambda nodes, scratch: near_nodes(nodes, scratch, most_bits))
+        return found.select(id_col, "fp", "component")
     scratch = Scratch(docs.sparkSession, "simhash")
     marked = scratch.hold(fingerprints(docs, id_col, text_col, words_in_shingle))
     nodes = scratch.hold(marked.groupBy("fp").agg(F.min("id").alias("least")))
