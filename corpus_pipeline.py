@@ -6,16 +6,31 @@ the next one's ``docs``. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm import decontaminate, languages, packing, secrets, simhash
-from pagemill.llm.common import Scratch
+from pagemill.llm.common import Scratch, small_batches
 
 #: A fixed choice: five words to a shingle for near duplicates, linked at this similarity.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
 
+def bounded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage in small Arrow batches: all stages share the executors and their Python workers, where large ones add up."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@bounded
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language (a null or empty text, or one without a letter); ``lang`` becomes the language found.
 
@@ -31,6 +46,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select(*docs.columns)
 
 
+@bounded
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near duplicates the document with the smallest id; of equal rows one.
 
@@ -45,6 +61,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(first, "doc_id", "left_semi").select(*docs.columns).union(docs.where("doc_id is null"))
 
 
+@bounded
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item within its error budget.
 
@@ -53,6 +70,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
+@bounded
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document; each secret in its text becomes ``[SECRET]`` and ``n_chars`` follows."""
     masked = secrets.redact_secrets(docs)
@@ -61,6 +79,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return masked.select(*docs.columns)
 
 
+@bounded
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of 2048 tokens, see ``pack_documents``; a null or empty text is one piece."""
     return packing.pack_documents(docs)
