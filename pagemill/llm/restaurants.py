@@ -15,6 +15,7 @@ arrays, one from each sender to each address: a word or pair comes at most once
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import struct
@@ -29,10 +30,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Scratch, sampled, schema_of, utf8
+from .common import LOWER, Scratch, give_back, sampled, schema_of, small_batches, utf8
 
-#: Tokens of a slice that is encoded at once and of a block of whole documents; text bytes of a bucket, and buckets at least; bytes of text split at once.
-SLICE, BLOCK, BUCKET_BYTES, BUCKETS, PIECE = 200_000, 2_000_000, 16 << 20, 12, 1 << 20
+#: Tokens of a block of whole documents; text bytes of a bucket, and buckets at least; bytes of text encoded at once.
+BLOCK, BUCKET_BYTES, BUCKETS, PIECE = 2_000_000, 16 << 20, 12, 1 << 20
 #: Rounds that are not used and rounds whose states are averaged; each seats all customers anew.
 BURN_IN, SAMPLES = 1, 2
 #: Customers of a dish up to which its seatings are counted one customer after the other, numbers held at once there, and points of an integral beyond.
@@ -41,7 +42,8 @@ LISTED, HELD, POINTS = 2048, 1 << 20, 64
 STRENGTH, PARENT_STRENGTH, DISCOUNTS = 0.5, 1.0, (0.1, 0.95)
 #: Documents that are looked at to find words too common for one bucket, and the most such words (8 bytes each, sent to all tasks).
 LOOK_ROWS, WIDE_WORDS = 20_000, 100_000
-SPACES = re.compile(rb"[\x20\x09-\x0D]")
+SPACES, BLANKS = re.compile(rb"[\x20\x09-\x0D]"), b" \t\n\v\f\r"
+BLANK = np.isin(np.arange(256), list(BLANKS))
 #: No word holds a space: these stand for the end of a text and for what precedes its first word.
 END, START = xxhash.xxh64_intdigest(b"\n"), xxhash.xxh64_intdigest(b" ")
 
@@ -58,20 +60,23 @@ def pack(*arrays: np.ndarray) -> bytes:
     for a in arrays:
         code = a.dtype.str[1:].encode()
         a = np.diff(a, prepend=a.dtype.type(0)) if code == b"u8" else np.ascontiguousarray(a)
-        parts += [struct.pack("<2sQ", code, len(a)), a.view(np.uint8).reshape(len(a), -1).T.tobytes()]
+        parts += [struct.pack("<2sQ", code, len(a)), np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).data]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
-def unpack(data: bytes) -> list[np.ndarray]:
+def unpack(data: bytes, most: int = 256) -> list[np.ndarray]:
+    """The arrays, or the first few of them."""
     raw = zstandard.ZstdDecompressor().decompress(data)
     n, at, out = raw[0], 1, []
-    for _ in range(n):
+    for _ in range(min(n, most)):
         code, size = struct.unpack_from("<2sQ", raw, at)
         kind = np.dtype("<" + code.decode())
         at += 10
         planes = np.frombuffer(raw, np.uint8, size * kind.itemsize, at).reshape(kind.itemsize, size)
         at += size * kind.itemsize
-        a = np.ascontiguousarray(planes.T).view(kind).reshape(size)
+        a = np.empty(size, kind)
+        for k, plane in enumerate(planes):
+            a.view(np.uint8).reshape(size, kind.itemsize)[:, k] = plane
         out.append(np.cumsum(a, dtype=kind) if code == b"u8" else a)
     return out
 
@@ -117,7 +122,10 @@ def delivered(letters: DataFrame, addresses: int, answer: Callable[[int, Iterato
             for to, own in groupby(rows(batches), key=lambda x: x[0]):
                 yield from answer(to, (x[1:] for x in own))
 
-        yield from posted(all_answers()) if ddl == LETTER else all_answers()
+        try:
+            yield from posted(all_answers()) if ddl == LETTER else all_answers()
+        finally:
+            give_back()
 
     dealt = letters.select("to", "kind", "sender", "data").repartition(addresses, "to").sortWithinPartitions("to", "kind", "sender")
     return dealt.mapInArrow(run, schema_of(ddl))
@@ -139,13 +147,42 @@ def by_address(keys: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
 # ---- Blocks of documents -------------------------------------------------------------------------------------------
 
 
-def words_of(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, lower-cased, a stretch at a time so that a very long text is never a list."""
+def turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+
+def hashes_of(words: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """XXH64 of the words that begin at ``first`` in an array of bytes: of words under 32 bytes step by step for all at once."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    data = np.concatenate([words, np.zeros(8, np.uint8)])
+    eights, fours = (np.ndarray(len(data) - k + 1, f"<u{k}", data, strides=(1,)) for k in (8, 4))
+    h = p5 + size.astype(np.uint64)
+    for k in range(3):
+        own = np.flatnonzero((size >= 8 * k + 8) & (size < 32))
+        x = turned(eights[first[own] + 8 * k] * p2, 31) * p1
+        h[own] = turned(h[own] ^ x, 27) * p1 + p4
+    own = np.flatnonzero(size & 4)
+    x = fours[first[own] + (size[own] & 24)].astype(np.uint64) * p1
+    h[own] = turned(h[own] ^ x, 23) * p2 + p3
+    for k in range(3):
+        own = np.flatnonzero((size & 3) > k)
+        x = data[first[own] + (size[own] & 28) + k].astype(np.uint64) * p5
+        h[own] = turned(h[own] ^ x, 11) * p1
+    h = (h ^ h >> np.uint64(33)) * p2
+    h = (h ^ h >> np.uint64(29)) * p3
+    h ^= h >> np.uint64(32)
+    for i in np.flatnonzero(size >= 32):
+        h[i] = xxhash.xxh64_intdigest(words[first[i] : first[i] + size[i]])
+    return h
+
+
+def pieces(text: bytes) -> Iterator[bytes]:
+    """A text in stretches that end where a word does, so that a very long one is never encoded at once."""
     at = 0
     while at < len(text):
         found = SPACES.search(text, at + PIECE) if at + PIECE < len(text) else None
         end = found.start() if found else len(text)
-        yield text[at:end].translate(LOWER).split()
+        yield text[at:end] if at or found else text
         at = end
 
 
@@ -153,38 +190,51 @@ class Block:
     """Tokens of whole documents as places in a sorted list of hashes."""
 
     def __init__(self):
-        self.hashes, self.places, self.tokens = [np.array([START, END], np.uint64)], [], []
-        self.known, self.size, self.lengths, self.rows = 2, 0, [], []
+        self.hashes, self.places = [np.array([START, END], np.uint64)], []
+        self.known, self.size, self.rows = 2, 0, []
+        self.held, self.bytes, self.ends = [], 0, []
 
     def add(self, row: tuple, text: bytes) -> None:
-        n = 1
-        for words in words_of(text):
-            self.tokens += words
-            n += len(words)
-            self.encode(SLICE)
-        self.tokens.append(b"\n")
-        self.lengths.append(n)
+        for piece in pieces(text):
+            self.held += piece, b" "
+            self.bytes += len(piece) + 1
+            self.encode(PIECE)
+        self.held.append(b" ")
+        self.bytes += 1
+        self.ends.append(self.bytes)
         self.rows.append(row)
-        self.size += n
-        self.encode(SLICE)
+        self.encode(PIECE)
 
     def encode(self, least: int) -> None:
-        if len(self.tokens) >= max(1, least):
-            coded = pa.array(self.tokens, pa.binary()).dictionary_encode()
-            self.hashes.append(np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary)))
-            self.places.append(coded.indices.to_numpy() + self.known)
-            self.known += len(coded.dictionary)
-            self.tokens = []
+        """Words of the texts that are held, without a Python object for each, and the end of each text that ends there."""
+        if self.bytes < least:
+            return
+        raw = b"".join(self.held)
+        space = np.concatenate([[True], BLANK[np.frombuffer(raw, np.uint8)]])  # one more, before the first
+        edge = np.flatnonzero(space[1:] != space[:-1])
+        first, last = edge[::2], edge[1::2]
+        offsets = np.concatenate([[0], np.cumsum(last - first)])
+        words = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(raw.translate(LOWER, BLANKS))])
+        coded = words.dictionary_encode()
+        _, ends, data = coded.dictionary.buffers()
+        ends = np.frombuffer(ends or bytes(8), np.int64, len(coded.dictionary) + 1)
+        self.hashes.append(hashes_of(np.frombuffer(data or b"", np.uint8), ends[:-1], np.diff(ends)))
+        place = np.insert(coded.indices.to_numpy() + np.int32(self.known), np.searchsorted(first, self.ends), 1)
+        self.places.append(place)
+        self.known += len(coded.dictionary)
+        self.size += len(place)
+        self.held, self.bytes, self.ends = [], 0, []
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hashes, word, context, document): the last three one for each token."""
-        self.encode(1)
+        self.encode(0)
         keys, at = np.unique(np.concatenate(self.hashes), return_inverse=True)
         at = at.astype(np.int32)
-        word = at[np.concatenate(self.places)]
+        place = np.concatenate(self.places)
+        lengths = self.lengths = np.diff(np.flatnonzero(place == 1), prepend=-1)
+        word = at[place]
         self.hashes, self.places = [], []
         context = np.concatenate([word[:1], word[:-1]])
-        lengths = np.array(self.lengths)
         context[np.cumsum(lengths) - lengths] = at[0]
         return keys, word, context, np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
 
@@ -204,6 +254,12 @@ def runs(codes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
 
 
+def distinct(lists: list[np.ndarray]) -> np.ndarray:
+    """What occurs in any of the lists, sorted; np.unique hashes, which takes several times longer."""
+    x = np.sort(np.concatenate(lists))
+    return x[runs(x)]
+
+
 def dealt_pairs(keys: np.ndarray, word: np.ndarray, context: np.ndarray, n: int, wide: np.ndarray) -> np.ndarray:
     """The bucket of each pair: the word's range, or for a wide word that of a mixture with its context."""
     w = keys[word]
@@ -215,27 +271,35 @@ def dealt_pairs(keys: np.ndarray, word: np.ndarray, context: np.ndarray, n: int,
     return to
 
 
+def used(place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of a list of ``size`` that occur, and where each stands among them."""
+    seen = np.zeros(size, bool)
+    seen[place] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[place]
+
+
 def pair_lists(w: np.ndarray, u: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted pairs as (words, pairs of each, contexts, context of each pair)."""
     first = runs(w)
-    used = np.zeros(len(keys), bool)
-    used[u] = True
-    place = np.cumsum(used) - 1
-    return keys[w[first]], small(np.diff(np.append(first, len(w)))), keys[used], small(place[u])
+    contexts, place = used(u, len(keys))
+    return keys[w[first]], small(np.diff(np.append(first, len(w)))), keys[contexts], small(place)
 
 
 def block_letters(batches: Iterator[pa.RecordBatch], n: int, wide: np.ndarray, emit: Callable[[Block, int], Iterator[tuple]]) -> Iterator[tuple]:
     """Blocks of a task's rows (id, learn, held_out, text); their numbers are the task's and their own."""
     block, number = Block(), TaskContext.get().partitionId() << 20
-    for batch in batches:
-        ids, learn, held, texts = batch.columns
-        for i in range(batch.num_rows):
-            block.add((ids[i].as_py(), learn[i].as_py(), held[i].as_py()), texts[i].as_py())
-            if block.size >= BLOCK:
-                yield from emit(block, number)
-                block, number = Block(), number + 1
-    if block.rows:
-        yield from emit(block, number)
+    try:
+        for batch in batches:
+            ids, learn, held, texts = batch.columns
+            for i in range(batch.num_rows):
+                block.add((ids[i].as_py(), learn[i].as_py(), held[i].as_py()), texts[i].as_py())
+                if block.size >= BLOCK:
+                    yield from emit(block, number)
+                    block, number = Block(), number + 1
+        if block.rows:
+            yield from emit(block, number)
+    finally:
+        give_back()
 
 
 def count_letters(n: int, wide: np.ndarray) -> Callable:
@@ -274,7 +338,7 @@ def posting_letters(n: int, wide: np.ndarray) -> Callable:
         docs, learn = len(block.rows), np.array([r[1] for r in block.rows], bool)
         ids = [r[0] for r in block.rows]
         null = np.array([i is None for i in ids], np.uint8)
-        yield letter(-1 - number, DOCS, 0, pack(np.array([i or 0 for i in ids], np.int64), null, np.array([r[2] for r in block.rows], np.uint8), small(np.array(block.lengths))))
+        yield letter(-1 - number, DOCS, 0, pack(np.array([i or 0 for i in ids], np.int64), null, np.array([r[2] for r in block.rows], np.uint8), small(block.lengths)))
         codes = coded(word, (len(keys), context), (docs, doc))
         del word, context, doc
         first = runs(codes)
@@ -305,8 +369,7 @@ def posting_letters(n: int, wide: np.ndarray) -> Callable:
 
 def merged_pairs(letters: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
     """Pairs of several lists as one, their counts added."""
-    uw = np.unique(np.concatenate([x[0] for x in letters]))
-    uu = np.unique(np.concatenate([x[2] for x in letters]))
+    uw, uu = distinct([x[0] for x in letters]), distinct([x[2] for x in letters])
     codes = [np.repeat(np.searchsorted(uw, w) * len(uu), n) + np.searchsorted(uu, u)[k] for w, n, u, k, _ in letters]
     codes, c = np.concatenate(codes), np.concatenate([x[4].astype(np.int64) for x in letters])
     order = np.argsort(codes)
@@ -329,7 +392,7 @@ def counted(n: int) -> Callable:
             uw, uu, codes, c = merged_pairs(lists)
             yield letter(to, PAIRS, to, b"", float((c == 1).sum()), float((c == 2).sum()))
             w, u = np.divmod(codes, len(uu))
-            asked = np.union1d(uw, uu)
+            asked = distinct([uw, uu])
             followers, before = np.zeros(len(asked), np.int64), np.zeros(len(asked), np.int64)
             followers[np.searchsorted(asked, uu)] = np.bincount(u[c > 0], minlength=len(uu))
             before[np.searchsorted(asked, uw)] = np.bincount(w[c > 0], minlength=len(uw))
@@ -337,9 +400,9 @@ def counted(n: int) -> Callable:
                 yield letter(o, ASK, to, pack(asked[a:b], small(followers[a:b]), small(before[a:b])))
             again = c > 1
             if again.any():
-                (ww, w), (wu, u) = np.unique(w[again], return_inverse=True), np.unique(u[again], return_inverse=True)
+                (ww, w), (wu, u) = used(w[again], len(uw)), used(u[again], len(uu))
                 yield letter(to, MULTI, to, pack(uw[ww], uu[wu], small(w), small(u), small(c[again])))
-                asked = np.union1d(uw[ww], uu[wu])
+                asked = distinct([uw[ww], uu[wu]])
                 for o, a, b in by_address(asked, n):
                     yield letter(o, ASK_MULTI, to, pack(asked[a:b]))
 
@@ -410,6 +473,24 @@ def _crowd(c: int, a: float, discount: float, rng: np.random.Generator) -> int:
     return int(min(c, middle[at] - cell // 2 + rng.integers(cell)))
 
 
+@functools.lru_cache(maxsize=2)
+def _kept(discount: float) -> dict[int, np.ndarray]:
+    """Rows of numbers of ways that a worker keeps for the rounds and buckets to come: at most 16 MB for all up to LISTED."""
+    return {1: np.zeros(1)}
+
+
+def listed_ways(n: int, discount: float) -> np.ndarray:
+    """Logarithms of the ways to seat ``n`` customers at 1 to n tables, counted one customer after the other from the nearest row kept."""
+    rows = _kept(discount)
+    if n not in rows:
+        now = max(k for k in rows if k < n)
+        ways = rows[now]
+        for k in range(now, n):  # ways of k + 1 customers from those of k
+            ways = np.logaddexp(np.append(ways + np.log(k - discount * np.arange(1, k + 1)), -np.inf), np.append(-np.inf, ways))
+        rows[n] = ways
+    return rows[n]
+
+
 def seated(customers: np.ndarray, opening: np.ndarray, discount: float, rng: np.random.Generator, listed: int = LISTED) -> np.ndarray:
     """Numbers of tables of dishes, all customers of each seated anew; ``opening``: the weight of a new table, (strength + discount x tables) x probability.
 
@@ -422,16 +503,13 @@ def seated(customers: np.ndarray, opening: np.ndarray, discount: float, rng: np.
     order = np.argsort(c, kind="stable")
     order = order[np.searchsorted(c[order], 2) :]
     cuts = np.append(runs(c[order]), len(order))
-    ways, now = np.zeros(1), 1
     for first, end in zip(cuts[:-1], cuts[1:], strict=True):
         n = int(c[order[first]])
         if n > listed:
             for i in order[first:]:
                 tables[i] = _crowd(int(c[i]), float(opening[i]), discount, rng)
             break
-        for k in range(now, n):  # ways of k + 1 customers from those of k
-            ways = np.logaddexp(np.append(ways + np.log(k - discount * np.arange(1, k + 1)), -np.inf), np.append(-np.inf, ways))
-        now, t = n, np.arange(1, n + 1)
+        ways, t = listed_ways(n, discount), np.arange(1, n + 1)
         for at in range(first, end, max(1, HELD // n)):
             own = order[at : min(end, at + max(1, HELD // n))]
             share = ways + t * np.log(opening[own])[:, None]
@@ -492,7 +570,7 @@ def bucket_round(sums: Sums, n: int, r: int, seed: int) -> Callable:
                 uw, uu, w, u, c = unpack(data)
             else:
                 replies.append(unpack(data))
-        keys = np.union1d(uw, uu)
+        keys = distinct([uw, uu])
         t, g = (np.concatenate(column) for column in zip(*replies, strict=True))
         at_w, at_u = np.searchsorted(keys, uw)[w], np.searchsorted(keys, uu)[u]
         opening = (STRENGTH + sums.discount * t[at_u]) * sums.parent(g[at_w])
@@ -537,9 +615,9 @@ def scored(sums: list[Sums]) -> Callable:
                 tables.append(unpack(data)[0])
         if not blocks:
             return
-        uw, uu, codes, c = merged_pairs([unpack(data)[:5] for _, data in blocks])
+        uw, uu, codes, c = merged_pairs([unpack(data, 5) for _, data in blocks])
         w, u = np.divmod(codes, len(uu))
-        keys = np.union1d(uw, uu)
+        keys = distinct([uw, uu])
         n, *states = (np.concatenate(column) for column in zip(*replies, strict=True))
         at_w, at_u = np.searchsorted(keys, uw)[w], np.searchsorted(keys, uu)[u]
         mean = np.zeros(len(c))
@@ -554,9 +632,9 @@ def scored(sums: list[Sums]) -> Callable:
         for sender, data in blocks:
             lw, size, lu, k, _, each, doc, times = unpack(data)
             own = np.repeat(np.searchsorted(uw, lw) * len(uu), size) + np.searchsorted(uu, lu)[k]
-            own = np.repeat(np.searchsorted(codes, own), each)
-            docs, at = np.unique(doc, return_inverse=True)
-            total = [np.bincount(at, weights=value[own] * times) for value in (score, base, known)]
+            own = np.searchsorted(codes, own)
+            docs = np.flatnonzero(np.bincount(doc))
+            total = [np.bincount(doc, weights=np.repeat(value[own], each) * times)[docs] for value in (score, base, known)]
             yield letter(sender, SUMS, to, pack(small(docs), total[0], total[1], small(total[2].astype(np.int64))))
 
     return answer
@@ -607,6 +685,7 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     learned, every token is the one unknown word, of probability 1. Other columns are ignored; an empty table gives an empty one.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     learn = F.coalesce(learn, F.lit(False))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), learn.alias("learn"), (~learn).alias("held_out"), utf8(text_col).alias("text"))
     rows, size = texts.agg(F.count("*"), F.sum(F.length("text"))).first()
