@@ -11,7 +11,9 @@ import struct
 from collections.abc import Callable
 from datetime import UTC, datetime, timedelta
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,6 +169,107 @@ def pairs(v) -> list[tuple]:
     return v
 
 
+def _windows(data: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """``n`` bytes from each place on; ``data`` has as many more at its end."""
+    return np.lib.stride_tricks.sliding_window_view(data, n)[at]
+
+
+def _big(data: np.ndarray, at: np.ndarray, form: str) -> np.ndarray:
+    """Big-endian numbers from each place on."""
+    return np.ascontiguousarray(_windows(data, at, np.dtype(form).itemsize)).view(form)[:, 0]
+
+
+def _binary(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The stretches of bytes as values."""
+    ends = np.concatenate(([0], np.cumsum(size)))
+    places = np.arange(ends[-1]) + np.repeat(at - ends[:-1], size)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[places])])
+
+
+#: Longest start of a value that is read at once, and the seconds of the first and the last year.
+_AHEAD, _YEARS = 16, (-62135596800, 253402300799)
+
+
+def _column(data: np.ndarray, at: np.ndarray, ok: np.ndarray, kind: T.DataType) -> tuple[np.ndarray, pa.Array]:
+    """Values of a plain type that begin at ``at``, as a column, and where they end; ``ok`` becomes false where another form than the usual stands."""
+    first = data[at]
+    null, size = first == 0xC0, np.ones(len(at), np.int64)
+    if isinstance(kind, T.StringType):
+        short, byte = (first & 0xE0) == 0xA0, first == 0xD9
+        two = first == 0xDA
+        head = np.select([byte, two], [2, 3], 1)
+        length = np.select([short, byte, two], [first & 31, data[at + 1], _big(data, at + 1, ">u2")], 0).astype(np.int64)
+        good = (null | short | byte | two) & (at + head + length <= len(data))
+        values = _binary(data, at + head, np.where(ok & good, length, 0)).cast(pa.string())
+        size = head + length
+    elif isinstance(kind, T.BooleanType):
+        values, good = pa.array(first == 0xC3), null | (first == 0xC2) | (first == 0xC3)
+    elif isinstance(kind, T.DoubleType):
+        wide = first == 0xCB
+        values, good, size = pa.array(_big(data, at + 1, ">f8").astype(float)), null | wide, np.where(wide, 9, 1)
+    elif isinstance(kind, T.TimestampType):
+        wide = (_windows(data, at, 3) == np.frombuffer(b"\xc7\x0c\xff", np.uint8)).all(axis=1)
+        seconds = _big(data, at + 7, ">i8").astype(np.int64)
+        good, size = null | (wide & (seconds > _YEARS[0]) & (seconds < _YEARS[1] - 9)), np.where(wide, 15, 1)
+        values = pa.array(np.where(good & wide, seconds, 0) * 1_000_000 + _big(data, at + 3, ">u4") // 1000).cast(pa.timestamp("us", "UTC"))
+    else:
+        wide, small = first == 0xD3, (first < 0x80) | (first >= 0xE0)
+        limit = 1 << (_INTEGERS[type(kind)] - 1)
+        numbers = np.where(wide, _big(data, at + 1, ">i8").astype(np.int64), first.view(np.int8))
+        inside = (numbers >= -limit) & (numbers <= limit - 1)
+        good, size = null | ((wide | small) & inside), np.where(wide, 9, 1)
+        values = pa.array(np.where(inside, numbers, 0).astype(f"i{_INTEGERS[type(kind)] // 8}"))
+    ok &= good
+    return np.where(ok, at + size, at), pc.if_else(pa.array(null), pa.scalar(None, values.type), values)
+
+
+_GUESSED = {str: T.StringType(), bool: T.BooleanType(), int: T.LongType(), float: T.DoubleType(), datetime: T.TimestampType(), type(None): T.StringType()}
+
+
+def _alike(column: pa.Array, kind: T.StructType, arrow: pa.DataType) -> tuple[np.ndarray, pa.Array] | None:
+    """Which records are laid out like the column's first one, in the usual forms of plain types, and these as structs; None if the first tells no layout.
+
+    A column is read at a time. What this does not read, in whole or in single records, is left to ``Reader``.
+    """
+    plain = (*_INTEGERS, T.StringType, T.BooleanType, T.DoubleType, T.TimestampType)
+    if column.type != pa.binary() or not len(column) or not column[0].is_valid or not all(type(f.dataType) in plain for f in kind):
+        return None
+    try:
+        layout = Reader(memoryview(column[0].as_buffer()).cast("B")).value()
+    except (ValueError, OverflowError):
+        return None
+    if not isinstance(layout, list) or not layout or not all(isinstance(x, tuple) and not isinstance(x, Ext) for x in layout):
+        return None
+    names = [k for k, _ in layout]
+    types = {f.name: f.dataType for f in kind}
+    for k, v in layout:
+        if not isinstance(k, str) or type(v) not in _GUESSED:
+            return None
+        types.setdefault(k, _GUESSED[type(v)])
+    if len(set(names)) < len(names):
+        return None
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.concatenate((np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], np.zeros(_AHEAD + 256, np.uint8)))
+    at, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+    ok, found = np.asarray(column.is_valid()).copy(), {}
+    head = _head(len(names), (0x80, 16), (None, 0xDE, 0xDF))
+    for start, name in [(head, None), *((packed(k), k) for k in names)]:
+        if len(start) > 256:
+            return None
+        ok &= (_windows(data, at, len(start)) == np.frombuffer(start, np.uint8)).all(axis=1)
+        at = np.where(ok, at + len(start), at)
+        if name is not None:
+            try:
+                at, found[name] = _column(data, at, ok, types[name])
+            except pa.ArrowInvalid:  # text that is none
+                return None
+        ok &= at <= ends
+        at = np.minimum(at, ends)
+    ok &= at == ends
+    children = [found[f.name].cast(f.type) if f.name in found else pa.nulls(len(column), f.type) for f in arrow]
+    return ok, pa.StructArray.from_arrays(children, fields=list(arrow))
+
+
 def decode(messages: DataFrame, column: str, schema: str | T.StructType, record: str = "record", error: str = "error") -> DataFrame:
     """``messages`` with the struct ``record`` and ``error``: null, or why the record of ``column`` can't be read, with a null record.
 
@@ -176,24 +279,32 @@ def decode(messages: DataFrame, column: str, schema: str | T.StructType, record:
     out = T.StructType([*messages.schema.fields, T.StructField(record, kind), T.StructField(error, T.StringType())])
     place, fit, arrow = messages.columns.index(column), fitter(kind), to_arrow_type(kind, timestamp_utc=True)
 
+    def one(value: pa.Scalar) -> tuple:
+        data = value.as_buffer()
+        try:
+            if data is None:
+                raise ValueError("nothing")
+            reader = Reader(memoryview(data).cast("B"))
+            found = fit(reader.value())
+            if found is None or reader.at < len(reader.data):
+                raise ValueError("no record" if found is None else "more than a record")
+            return found, None
+        except (ValueError, OverflowError) as e:
+            return None, str(e)
+
     def read(batches):
         for batch in batches:
-            records, errors = [], []
-            for value in batch.column(place):
-                data = value.as_buffer()
-                try:
-                    if data is None:
-                        raise ValueError("nothing")
-                    reader = Reader(memoryview(data).cast("B"))
-                    found = fit(reader.value())
-                    if found is None or reader.at < len(reader.data):
-                        raise ValueError("no record" if found is None else "more than a record")
-                    records.append(found)
-                    errors.append(None)
-                except (ValueError, OverflowError) as e:
-                    records.append(None)
-                    errors.append(str(e))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(records, arrow), pa.array(errors, pa.string())], out.names)
+            values = batch.column(place)
+            ok, records = _alike(values, kind, arrow) or (np.zeros(len(values), bool), pa.nulls(0, arrow))
+            other = np.flatnonzero(~ok)
+            told = [one(values[int(i)]) for i in other]
+            errors = np.full(len(values), None, object)
+            errors[other] = [e for _, e in told]
+            if len(other):
+                from_all = np.arange(len(values))
+                from_all[other] = len(records) + np.arange(len(other))
+                records = pa.concat_arrays([records, pa.array([r for r, _ in told], arrow)]).take(pa.array(from_all))
+            yield pa.RecordBatch.from_arrays([*batch.columns, records, pa.array(errors, pa.string())], out.names)
 
     return messages.mapInArrow(read, out)
 
@@ -229,6 +340,50 @@ def packed(v) -> bytes:
     return _head(len(v), (0x90, 16), (None, 0xDC, 0xDD)) + b"".join(map(packed, v))
 
 
+def _lengths(lengths: pa.Array, short: tuple[int, int] | None, codes: tuple[int | None, int, int]) -> pa.Array:
+    """The starts of values of these lengths."""
+    known, which = np.unique(np.asarray(lengths.fill_null(0)), return_inverse=True)
+    return pa.array([_head(int(n), short, codes) for n in known], pa.binary()).take(pa.array(which))
+
+
+def _rows(wide: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The first ``size`` bytes of each row of bytes."""
+    ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(wide[np.arange(wide.shape[1]) < size[:, None]])])
+
+
+def packed_column(c: pa.Array) -> pa.Array:
+    """``packed`` of each value: plain types as a column, others one by one."""
+    n, t = len(c), c.type
+    if pa.types.is_signed_integer(t):
+        v = np.asarray(c.cast(pa.int64()).fill_null(0))
+        small = (v >= -32) & (v < 128)
+        wide = np.full((n, 9), 0xD3, np.uint8)
+        wide[:, 1:] = v.astype(">i8").view(np.uint8).reshape(n, 8)
+        wide[small, 0] = v[small] & 0xFF
+        out = _rows(wide, np.where(small, 1, 9))
+    elif pa.types.is_float64(t):
+        wide = np.full((n, 9), 0xCB, np.uint8)
+        wide[:, 1:] = np.asarray(c.fill_null(0.0)).astype(">f8").view(np.uint8).reshape(n, 8)
+        out = _rows(wide, np.full(n, 9))
+    elif pa.types.is_boolean(t):
+        out = pc.if_else(c, pa.scalar(b"\xc3"), pa.scalar(b"\xc2"))
+    elif pa.types.is_timestamp(t) and t.unit == "us":
+        v = np.asarray(c.cast(pa.int64()).fill_null(0))
+        wide = np.tile(np.frombuffer(b"\xc7\x0c\xff" + bytes(12), np.uint8), (n, 1))
+        wide[:, 3:7] = (v % 1_000_000 * 1000).astype(">u4").view(np.uint8).reshape(n, 4)
+        wide[:, 7:] = (v // 1_000_000).astype(">i8").view(np.uint8).reshape(n, 8)
+        out = _rows(wide, np.full(n, 15))
+    elif t == pa.string():
+        data = c.cast(pa.binary())
+        out = pc.binary_join_element_wise(_lengths(pc.binary_length(data), (0xA0, 32), (0xD9, 0xDA, 0xDB)), data, b"")
+    elif t == pa.binary():
+        out = pc.binary_join_element_wise(_lengths(pc.binary_length(c), None, (0xC4, 0xC5, 0xC6)), c, b"")
+    else:
+        return pa.array([packed(v) for v in c.to_pylist()], pa.binary())
+    return pc.if_else(c.is_valid(), out, pa.scalar(b"\xc0")) if c.null_count else out
+
+
 def encode(rows: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows as records of all their columns, in the binary column ``value`` after the columns to ``keep``."""
     out = T.StructType([*(rows.schema[k] for k in keep), T.StructField(value, T.BinaryType())])
@@ -236,7 +391,10 @@ def encode(rows: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) ->
     def write(batches):
         for batch in batches:
             held = [batch.column(k) for k in keep]
-            yield pa.RecordBatch.from_arrays([*held, pa.array([packed(r) for r in batch.to_pylist()], pa.binary())], out.names)
+            starts = [packed(k) for k in batch.schema.names]
+            starts[0] = _head(len(starts), (0x80, 16), (None, 0xDE, 0xDF)) + starts[0]
+            parts = [x for start, c in zip(starts, batch.columns, strict=True) for x in (pa.scalar(start), packed_column(c))]
+            yield pa.RecordBatch.from_arrays([*held, pc.binary_join_element_wise(*parts, b"")], out.names)
 
     return rows.mapInArrow(write, out)
 
